@@ -1,0 +1,125 @@
+"""Linked pages from landed responses.
+
+All plans take responses that carry the id of their address in ``num``. An id
+exists when its newest landing is anything but 404: a server error or a body
+that cannot be decoded yields no page, yet remains a neighbour.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sparsepages.operators.lookup import lookup_id
+from sparsepages.operators.neighbours import clip_next, end_sentinel, largest_id, neighbours
+from sparsepages.operators.responses import (
+    classify_outcome,
+    decode_records,
+    existing_ids,
+    fill_defaults,
+    latest_response,
+    quarantine,
+)
+from sparsepages.schema import SENTINEL
+from sparsepages.sources.landings import url_for
+
+PAGE_TEMPLATE = "/comics/{0}"  # fixed value: the address of a page
+
+
+def classified_records(responses: DataFrame, key: str = "num") -> DataFrame:
+    """Newest landing per id, decoded, with defaults filled in and an outcome."""
+    newest = latest_response(responses.filter(F.col(key).isNotNull()), key)
+    return classify_outcome(fill_defaults(decode_records(newest)))
+
+
+def _record_at(responses: DataFrame, url: str) -> DataFrame:
+    landed = latest_response(responses.filter(F.col("url") == url))
+    return quarantine(classify_outcome(fill_defaults(decode_records(landed))))[0]
+
+
+def last_id(responses: DataFrame, ids: DataFrame, last_url: str | None = None) -> Column:
+    """Upper bound of the search for a next page, as a scalar subquery.
+
+    The number inside the record at ``last_url``, if that address has landed
+    and can be decoded; the largest existing id otherwise.
+    """
+    largest = largest_id(ids)
+    if last_url is None:
+        return largest
+    stated = _record_at(responses, last_url).agg(F.max(F.col("record.num")).cast("bigint")).scalar()
+    return F.coalesce(stated, largest)
+
+
+def assemble_pages(records: DataFrame, steps: DataFrame, key: str = "num") -> DataFrame:
+    """One envelope per record: the record itself and its two neighbours.
+
+    Both sides hold an id once. The records arrive partitioned by id from the
+    aggregate that picked the newest landing, so only the three narrow columns
+    of ``steps`` move.
+    """
+    return records.join(steps, key).select(key, F.col("record").alias("result"), "next_page", "prev_page")
+
+
+def nav_links(df: DataFrame, template: str = PAGE_TEMPLATE, sentinel: int = SENTINEL) -> DataFrame:
+    """Add an address for each neighbour there is; NULL where there is none."""
+    for side in ("next", "prev"):
+        page = F.col(f"{side}_page")
+        df = df.withColumn(f"{side}_url", F.when(page != sentinel, url_for(page, template)))
+    return df
+
+
+def pages(responses: DataFrame, last_url: str | None = None, **options) -> DataFrame:
+    """Every page of the collection, linked.
+
+    Ids are found from three narrow columns in a branch of their own; the
+    bodies are shuffled once, by id. ``options`` go to ``neighbours``.
+    """
+    good, _ = quarantine(classified_records(responses))
+    ids = existing_ids(responses)
+    steps = neighbours(ids, unique=True, **options)
+    if last_url is not None:
+        last = last_id(responses, ids, last_url)
+        steps = steps.withColumn("next_page", clip_next(F.col("next_page"), last))
+    return nav_links(assemble_pages(good, steps))
+
+
+def page_of(responses: DataFrame, num: int, last_url: str | None = None) -> DataFrame:
+    """The page of one id; no row when it is missing or malformed.
+
+    Two partial aggregates over the ids instead of the page table.
+    """
+    good, _ = quarantine(classified_records(lookup_id(responses, num)))
+    ids = existing_ids(responses)
+    last = last_id(responses, ids, last_url)
+    after = ids.filter(F.col("num") > max(num, SENTINEL)).agg(F.min("num")).scalar()
+    before = ids.filter((F.col("num") < num) & (F.col("num") > SENTINEL)).agg(F.max("num")).scalar()
+    page = good.select(
+        "num",
+        F.col("record").alias("result"),
+        clip_next(after, last).alias("next_page"),
+        end_sentinel(before).alias("prev_page"),
+    )
+    return nav_links(page)
+
+
+def home_page(responses: DataFrame, last_url: str | None = None) -> DataFrame:
+    """The page of the newest record; nothing follows it.
+
+    The newest record is the one at ``last_url``, numbered by the id inside it;
+    without such an address it is the one with the largest existing id. Only
+    that record is decoded. No row when it cannot be.
+    """
+    ids = existing_ids(responses).filter(F.col("num") > SENTINEL)
+    if last_url is None:
+        newest = responses.filter(F.col("num") == largest_id(ids))
+        newest = quarantine(classified_records(newest))[0].select("num", "record")
+    else:
+        newest = _record_at(responses, last_url).select(F.col("record.num").cast("bigint").alias("num"), "record")
+    before = ids.filter(F.col("num") < newest.select("num").scalar()).agg(F.max("num")).scalar()
+    page = newest.select(
+        "num",
+        F.col("record").alias("result"),
+        F.lit(SENTINEL).cast("bigint").alias("next_page"),
+        end_sentinel(before).alias("prev_page"),
+    )
+    return nav_links(page)
