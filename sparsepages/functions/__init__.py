@@ -1,4 +1,4 @@
-from sparsepages.functions.decode import decoded_record, filled_record
+from sparsepages.functions.decode import filled_record
 from sparsepages.functions.routes import DEFAULT_ROUTES, Route, route_match, url_path
 from sparsepages.functions.validation import Rule, length_rule, password_rules, range_rule, rule_passes
 
@@ -6,7 +6,6 @@ __all__ = [
     "DEFAULT_ROUTES",
     "Route",
     "Rule",
-    "decoded_record",
     "filled_record",
     "length_rule",
     "password_rules",

@@ -19,44 +19,41 @@ def parsed_body(body: Column) -> Column:
     return F.from_json(body, "map<string,string>")
 
 
-def _entries(parsed: Column, name: str) -> Column:
-    wanted = name.lower()
-    return F.filter(F.map_entries(parsed), lambda e: F.lower(e["key"]) == wanted)
+def lowered_names(parsed: Column) -> Column:
+    """Field names in lower case, last one first."""
+    return F.reverse(F.transform(F.map_keys(parsed), F.lower))
 
 
-def _raw(parsed: Column, name: str) -> Column:
-    return F.try_element_at(_entries(parsed, name), F.lit(-1))["value"]
+def last_values(parsed: Column) -> Column:
+    """Field values in the order of ``lowered_names``."""
+    return F.reverse(F.map_values(parsed))
 
 
-def _is_nested(body: Column, raw: Column, name: str) -> Column:
+def _is_nested(body: Column, raw: Column, at: Column) -> Column:
     # In the map an object and a string holding the same text look alike. Only
     # for values that start like one is the body parsed again with types kept.
     typed = F.from_json(body, "map<string,variant>")
-    value = F.try_element_at(_entries(typed, name), F.lit(-1))["value"]
-    kind = F.schema_of_variant(value)
+    kind = F.schema_of_variant(F.try_element_at(F.reverse(F.map_values(typed)), at))
     nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
     return F.when(raw.startswith("{") | raw.startswith("["), nested).otherwise(False)
 
 
-def decoded_record(body: Column, parsed: Column, schema: T.StructType) -> Column:
-    """A struct of ``schema``, or NULL when the body cannot be bound to it.
-
-    ``parsed`` is ``parsed_body(body)``, passed in as a column so that the text
-    is parsed once for all fields.
-    """
-    values, faults = [], [parsed.isNull()]
+def bound_record(body: Column, names: Column, values: Column, schema: T.StructType) -> Column:
+    """A struct of ``schema``, or NULL when the body cannot be bound to it."""
+    fields, faults = [], [names.isNull()]
     for field in schema.fields:
-        raw = _raw(parsed, field.name)
+        at = F.array_position(names, field.name.lower()).cast("int")
+        raw = F.when(at > 0, F.try_element_at(values, at))
         if isinstance(field.dataType, T.StringType):
-            values.append(raw.alias(field.name))
-            faults.append(_is_nested(body, raw, field.name))
+            fields.append(raw.alias(field.name))
+            faults.append(_is_nested(body, raw, at))
         else:
             value = raw.try_cast(field.dataType)
-            values.append(value.alias(field.name))
+            fields.append(value.alias(field.name))
             # Present but not convertible, an explicit null included.
-            faults.append((F.size(_entries(parsed, field.name)) > 0) & value.isNull())
+            faults.append((at > 0) & value.isNull())
     bad = reduce(lambda a, b: a | b, (F.coalesce(f, F.lit(False)) for f in faults))
-    return F.when(~bad, F.struct(*values))
+    return F.when(~bad, F.struct(*fields))
 
 
 def filled_record(record: Column, schema: T.StructType) -> Column:

@@ -77,92 +77,113 @@ class Rule:
     test: Callable[[Column], Column] | None = None
 
 
-def trimmed(value: Column) -> Column:
-    return F.btrim(value, F.lit(WHITESPACE))
+def field_text(value: Column) -> Column:
+    """Text as a browser field holds it."""
+    return F.replace(value.cast("string"), F.lit("\r"), F.lit(""))
 
 
-def utf16_length(value: Column) -> Column:
-    return F.shiftright(F.octet_length(F.encode(value, "UTF-16BE")), 1)
+def trimmed(text: Column) -> Column:
+    """Without white space at either end.
+
+    Trimming a set of characters walks the whole text; most texts show by their
+    first and last character that there is nothing to trim.
+    """
+    spaces = F.lit(WHITESPACE)
+    touches = F.contains(spaces, F.left(text, F.lit(1))) | F.contains(spaces, F.right(text, F.lit(1)))
+    return F.when(touches, F.btrim(text, spaces)).otherwise(text)
+
+
+def utf16_length(text: Column) -> Column:
+    wide = F.shiftright(F.octet_length(F.encode(text, "UTF-16BE")), 1)
+    return F.when(F.octet_length(text) == F.length(text), F.length(text)).otherwise(wide)
 
 
 def luhn_valid(text: Column) -> Column:
-    digits = F.split(F.reverse(F.regexp_replace(text, "[^0-9]", "")), "")
+    digits = F.regexp_replace(text, "[^0-9]", "")
 
     def weigh(char: Column, i: Column) -> Column:
-        digit = F.coalesce(char.try_cast("int"), F.lit(0))
+        digit = F.ascii(char) - 48
         twice = digit * 2
-        return F.when(i % 2 == 0, digit).otherwise(F.when(twice > 9, twice - 9).otherwise(twice))
+        return F.when(i % 2 == 0, digit).when(twice > 9, twice - 9).otherwise(twice)
 
-    total = F.aggregate(F.transform(digits, weigh), F.lit(0), lambda acc, d: acc + d)
-    return total % 10 == 0
+    weights = F.transform(F.split(F.reverse(digits), ""), weigh)
+    total = F.aggregate(weights, F.lit(0), lambda acc, d: acc + d)
+    return (digits == "") | (total % 10 == 0)
 
 
 def _number_in(value: Column, kind: T.DataType, test: Callable[[Column], Column]) -> Column:
     if isinstance(kind, T.NumericType):
         number = value.cast("double")
         return ~F.isnan(number) & test(number)
-    text = trimmed(value)
-    return F.coalesce(text.rlike(_NUMERIC_TEXT) & test(text.try_cast("double")), F.lit(False))
+    return value.rlike(_NUMERIC_TEXT) & test(value.try_cast("double"))
 
 
-def _is_date(value: Column) -> Column:
-    text = trimmed(value)
+def _is_date(text: Column) -> Column:
     tries = [F.try_to_timestamp(text, F.lit(form)) for form in DATE_FORMATS]
     return F.coalesce(*tries).isNotNull()
 
 
-def rule_passes(rule: Rule, kind: T.DataType) -> Column:
-    """TRUE or FALSE, never NULL: does the column of type ``kind`` meet the rule?"""
-    col, param = F.col(rule.column), rule.param
+def rule_passes(
+    rule: Rule, kind: T.DataType, text: Column | None = None, bare: Column | None = None
+) -> Column:
+    """TRUE or FALSE, never NULL: does the column of type ``kind`` meet the rule?
+
+    For a text column, ``text`` and ``bare`` hand in ``field_text`` of it and
+    that ``trimmed``, so that several rules can share them.
+    """
+    col, name, param = F.col(rule.column), rule.name, rule.param
     if rule.test is not None:
         return F.coalesce(rule.test(col), F.lit(False))
-    if rule.name == "equalTo":
+    if name == "equalTo":
         return col.eqNullSafe(F.col(param))
 
-    is_array = isinstance(kind, T.ArrayType)
-    text = col if is_array else F.replace(col.cast("string"), F.lit("\r"), F.lit(""))
-    if is_array:
-        length, blank = F.size(col), F.coalesce(F.size(col) <= 0, F.lit(True))
+    if isinstance(kind, T.ArrayType):
+        blank, length = F.coalesce(F.size(col) <= 0, F.lit(True)), F.size(col)
+    elif isinstance(kind, T.StringType):
+        text = field_text(col) if text is None else text
+        bare = trimmed(text) if bare is None else bare
+        blank, length = F.coalesce(bare == "", F.lit(True)), utf16_length(bare)
     else:
-        length, blank = utf16_length(trimmed(text)), F.coalesce(trimmed(text) == "", F.lit(True))
-    if rule.name == "required":
+        text = bare = col.cast("string")
+        blank, length = col.isNull(), F.length(text)
+    number = col if isinstance(kind, T.NumericType) else bare
+
+    if name == "required":
         return ~blank
-    if rule.name == "nonalphamin":
+    if name == "nonalphamin":
         word = F.length(F.regexp_replace(text, "[^A-Za-z0-9_]", ""))
         return F.coalesce(utf16_length(text) - word >= param, F.lit(False))
-
-    numeric = isinstance(kind, T.NumericType)
-    if rule.name == "email":
+    if name == "email":
         test = text.rlike(_EMAIL)
-    elif rule.name == "url":
+    elif name == "url":
         test = text.rlike(_URL)
-    elif rule.name == "date":
-        test = F.lit(True) if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else _is_date(text)
-    elif rule.name == "dateISO":
+    elif name == "date":
+        test = _is_date(bare) if isinstance(kind, T.StringType) else F.lit(isinstance(kind, T.DatetimeType))
+    elif name == "dateISO":
         test = text.rlike(_DATE_ISO)
-    elif rule.name == "number":
-        test = ~F.isnan(col.cast("double")) if numeric else text.rlike(_NUMBER)
-    elif rule.name == "digits":
+    elif name == "number":
+        test = ~F.isnan(col.cast("double")) if isinstance(kind, T.NumericType) else text.rlike(_NUMBER)
+    elif name == "digits":
         test = text.rlike(_DIGITS)
-    elif rule.name == "creditcard":
+    elif name == "creditcard":
         test = ~text.rlike("[^0-9 -]") & luhn_valid(text)
-    elif rule.name == "minlength":
+    elif name == "minlength":
         test = length >= param
-    elif rule.name == "maxlength":
+    elif name == "maxlength":
         test = length <= param
-    elif rule.name == "rangelength":
+    elif name == "rangelength":
         test = length.between(*param)
-    elif rule.name == "min":
-        test = _number_in(col if numeric else text, kind, lambda n: n >= param)
-    elif rule.name == "max":
-        test = _number_in(col if numeric else text, kind, lambda n: n <= param)
-    elif rule.name == "range":
-        test = _number_in(col if numeric else text, kind, lambda n: n.between(*param))
-    elif rule.name == "regex":
+    elif name == "min":
+        test = _number_in(number, kind, lambda n: n >= param)
+    elif name == "max":
+        test = _number_in(number, kind, lambda n: n <= param)
+    elif name == "range":
+        test = _number_in(number, kind, lambda n: n.between(*param))
+    elif name == "regex":
         # The first match must be the whole value, so alternatives count in order.
         test = F.regexp_extract(text, param, 0) == text
     else:
-        raise ValueError(f"unknown rule {rule.name!r}")
+        raise ValueError(f"unknown rule {name!r}")
     return blank | F.coalesce(test, F.lit(False))
 
 

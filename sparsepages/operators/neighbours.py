@@ -185,8 +185,13 @@ def bounded_walk(ids: DataFrame, last: Column | int | None = None, key: str = "n
 
 
 def missing_ids(candidates: DataFrame, ids: DataFrame, key: str = "num") -> DataFrame:
-    """Candidates that do not exist. Repeated ids are combined before they move."""
-    return candidates.join(ids.select(key).distinct(), key, "left_anti")
+    """The candidates that do not exist, each once.
+
+    Repeated ids are combined before they move, and both sides leave their
+    aggregate partitioned for the join.
+    """
+    wanted = candidates.select(key).filter(F.col(key).isNotNull()).distinct()
+    return wanted.join(ids.select(key).distinct(), key, "left_anti")
 
 
 def gap_runs(ids: DataFrame, key: str = "num", **options) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparsepages.functions.routes import DEFAULT_ROUTES, Route, route_match, url_path
+from sparsepages.operators.once import computed_once
 
 
 def classify_routes(
@@ -18,5 +19,5 @@ def classify_routes(
 ) -> DataFrame:
     """Add ``route`` and the route values of each address; the first template that fits wins."""
     matched = df.withColumn("__path", url_path(F.col(url)))
-    matched = matched.withColumn("__match", route_match(F.col("__path"), routes, outputs))
+    matched = computed_once(matched, "__match", route_match(F.col("__path"), routes, outputs))
     return matched.select(*df.columns, *[F.col("__match")[c].alias(c) for c in ("route", *outputs)])

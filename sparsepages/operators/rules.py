@@ -8,11 +8,28 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparsepages.functions.validation import Rule, rule_passes
+from sparsepages.functions.validation import Rule, field_text, rule_passes, trimmed
+from sparsepages.operators.once import computed_once
 
 
-def _passes(df: DataFrame, rule: Rule) -> Column:
-    return rule_passes(rule, df.schema[rule.column].dataType)
+def _prepared(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[Column]]:
+    """The table with the text forms its rules share, and one test per rule.
+
+    Two projections, so that each text is cleaned and trimmed once for all
+    rules on its column.
+    """
+    texts = [
+        c
+        for c in dict.fromkeys(r.column for r in rules if r.test is None and r.name != "equalTo")
+        if isinstance(df.schema[c].dataType, T.StringType)
+    ]
+    table = df.withColumns({f"__text_{c}": field_text(F.col(c)) for c in texts}) if texts else df
+    table = table.withColumns({f"__bare_{c}": trimmed(F.col(f"__text_{c}")) for c in texts}) if texts else table
+    tests = []
+    for rule in rules:
+        shared = (F.col(f"__text_{rule.column}"), F.col(f"__bare_{rule.column}")) if rule.column in texts else ()
+        tests.append(rule_passes(rule, df.schema[rule.column].dataType, *shared))
+    return table, tests
 
 
 def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -20,10 +37,9 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     The aggregate leaves one row, which is then turned into one per rule.
     """
-    failed = [
-        F.coalesce(F.count_if(~_passes(df, rule)), F.lit(0)).alias(f"f{i}") for i, rule in enumerate(rules)
-    ]
-    totals = df.agg(F.count("*").alias("checked"), *failed)
+    table, tests = _prepared(df, rules)
+    failed = [F.count_if(~test).alias(f"f{i}") for i, test in enumerate(tests)]
+    totals = table.agg(F.count("*").alias("checked"), *failed)
     lines = F.array(
         *[
             F.struct(
@@ -38,23 +54,20 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return totals.select(F.inline(lines))
 
 
-def _first_failure(df: DataFrame, rules: Sequence[Rule]) -> Column:
-    chain = None
-    for rule in rules:
-        fails = ~_passes(df, rule)
-        chain = F.when(fails, rule.name) if chain is None else chain.when(fails, rule.name)
-    return F.lit(None).cast(T.StringType()) if chain is None else chain
-
-
 def tag_failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add ``failures``, one field per checked column holding its first failing
     rule, and ``first_failure``, the first of those; fields go in the order in
     which the rules name them, and NULL means all is well.
     """
+    table, tests = _prepared(df, rules)
     columns = list(dict.fromkeys(rule.column for rule in rules))
-    fields = [_first_failure(df, [r for r in rules if r.column == c]).alias(c) for c in columns]
+    fields = []
+    for column in columns:
+        fails = [F.when(~test, rule.name) for rule, test in zip(rules, tests) if rule.column == column]
+        fields.append(F.coalesce(*fails).alias(column))
+    tagged = computed_once(table, "failures", F.struct(*fields))
     first = F.coalesce(*[F.col("failures")[c] for c in columns])
-    return df.withColumn("failures", F.struct(*fields)).withColumn("first_failure", first)
+    return tagged.select(*df.columns, "failures", first.alias("first_failure"))
 
 
 def rule_quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:

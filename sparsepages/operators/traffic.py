@@ -31,7 +31,8 @@ ITEMS_PER_SECOND = 5  # fixed value: the target rate
 
 # Spark filters ranks in the map tasks, before the shuffle, up to this limit
 # (spark.sql.optimizer.windowGroupLimitThreshold).
-_RANK_LIMIT = 1000
+_MAP_SIDE_LIMIT = 1000
+_DEALS = (4096, 64)
 
 
 def tag_synthetic(
@@ -76,23 +77,22 @@ def cap_rate(
     ts: str = "ts",
     request_id: str = "request_id",
     by: Sequence[str] = (),
-    parts: int = 256,
 ) -> DataFrame:
     """Keep the first ``limit`` requests of every time bucket, by time and id.
 
     Spark applies a small limit in the map tasks already, so a crowded bucket
     moves at most ``limit`` rows per task. For a larger limit the bucket is
-    first capped in ``parts`` parts of its own; the first ``limit`` overall are
-    among the first ``limit`` of each part, so the result is the same.
+    dealt into many parts, then fewer, each capped on its own: the first
+    ``limit`` overall are among the first ``limit`` of their part, so the
+    result is the same and no task ranks more than a few dozen times ``limit``.
     """
     bucket = time_bucket(F.col(ts), requests.schema[ts].dataType, seconds)
     capped = requests.withColumn("__bucket", bucket)
-    levels = [[]]
-    if limit > _RANK_LIMIT:
-        capped = capped.withColumn("__part", F.pmod(F.xxhash64(request_id), F.lit(parts)))
-        levels.insert(0, ["__part"])
-    for extra in levels:
-        order = Window.partitionBy("__bucket", *by, *extra).orderBy(ts, request_id)
+    for parts in (*_DEALS, 1) if limit > _MAP_SIDE_LIMIT else (1,):
+        groups = ["__bucket", *by]
+        if parts > 1:
+            groups.append(F.pmod(F.xxhash64(request_id), F.lit(parts)))
+        order = Window.partitionBy(*groups).orderBy(ts, request_id)
         capped = capped.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= limit)
     return capped.select(*requests.columns)
 

@@ -26,15 +26,23 @@ from sparsepages.sources.landings import url_for
 PAGE_TEMPLATE = "/comics/{0}"  # fixed value: the address of a page
 
 
+def _newest(responses: DataFrame, key: str = "num") -> DataFrame:
+    landed = responses.filter(F.col(key).isNotNull())
+    return latest_response(landed.select(key, "fetched_at", "status", "body"), key).drop("fetched_at")
+
+
+def _decoded(newest: DataFrame) -> DataFrame:
+    return classify_outcome(fill_defaults(decode_records(newest)))
+
+
 def classified_records(responses: DataFrame, key: str = "num") -> DataFrame:
     """Newest landing per id, decoded, with defaults filled in and an outcome."""
-    newest = latest_response(responses.filter(F.col(key).isNotNull()), key)
-    return classify_outcome(fill_defaults(decode_records(newest)))
+    return _decoded(_newest(responses, key))
 
 
 def _record_at(responses: DataFrame, url: str) -> DataFrame:
     landed = latest_response(responses.filter(F.col("url") == url))
-    return quarantine(classify_outcome(fill_defaults(decode_records(landed))))[0]
+    return quarantine(_decoded(landed))[0]
 
 
 def last_id(responses: DataFrame, ids: DataFrame, last_url: str | None = None) -> Column:
@@ -50,14 +58,16 @@ def last_id(responses: DataFrame, ids: DataFrame, last_url: str | None = None) -
     return F.coalesce(stated, largest)
 
 
+def _envelope(linked: DataFrame, key: str = "num") -> DataFrame:
+    return linked.select(key, F.col("record").alias("result"), "next_page", "prev_page")
+
+
 def assemble_pages(records: DataFrame, steps: DataFrame, key: str = "num") -> DataFrame:
     """One envelope per record: the record itself and its two neighbours.
 
-    Both sides hold an id once. The records arrive partitioned by id from the
-    aggregate that picked the newest landing, so only the three narrow columns
-    of ``steps`` move.
+    Both sides hold an id once, so no key can be crowded.
     """
-    return records.join(steps, key).select(key, F.col("record").alias("result"), "next_page", "prev_page")
+    return _envelope(records.join(steps, key), key)
 
 
 def nav_links(df: DataFrame, template: str = PAGE_TEMPLATE, sentinel: int = SENTINEL) -> DataFrame:
@@ -71,16 +81,18 @@ def nav_links(df: DataFrame, template: str = PAGE_TEMPLATE, sentinel: int = SENT
 def pages(responses: DataFrame, last_url: str | None = None, **options) -> DataFrame:
     """Every page of the collection, linked.
 
-    Ids are found from three narrow columns in a branch of their own; the
-    bodies are shuffled once, by id. ``options`` go to ``neighbours``.
+    Ids are found from three narrow columns in a branch of their own. Bodies
+    are shuffled once, by id, to pick the newest; that leaves them partitioned
+    and sorted for the join, where only ``steps`` moves, and the join drops
+    what was not found before any text is parsed. ``options`` go to
+    ``neighbours``.
     """
-    good, _ = quarantine(classified_records(responses))
     ids = existing_ids(responses)
     steps = neighbours(ids, unique=True, **options)
     if last_url is not None:
-        last = last_id(responses, ids, last_url)
-        steps = steps.withColumn("next_page", clip_next(F.col("next_page"), last))
-    return nav_links(assemble_pages(good, steps))
+        steps = steps.withColumn("next_page", clip_next(F.col("next_page"), last_id(responses, ids, last_url)))
+    good, _ = quarantine(_decoded(_newest(responses).join(steps, "num")))
+    return nav_links(_envelope(good))
 
 
 def page_of(responses: DataFrame, num: int, last_url: str | None = None) -> DataFrame:

@@ -6,8 +6,6 @@ and works on files of any number and size.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,11 +41,15 @@ def candidate_ids(spark: SparkSession, low: int, high: int, key: str = "num") ->
 
 
 def with_ids(responses: DataFrame, template: str, key: str = "num") -> DataFrame:
-    """Read the id back out of the address; NULL for addresses of another shape."""
+    """Read the id back out of the address; NULL where the address is not that of any id.
+
+    Cut out, convert, and compare with the address rebuilt: an id has exactly
+    one address, and no pattern is matched per row.
+    """
     before, after = _split_template(template)
-    pattern = f"^{re.escape(before)}([0-9]+){re.escape(after)}\\z"
-    digits = F.regexp_extract("url", pattern, 1)
-    return responses.withColumn(key, digits.try_cast("bigint"))
+    length = F.length("url") - len(before) - len(after)
+    num = F.substring(F.col("url"), F.lit(len(before) + 1), length).try_cast("bigint")
+    return responses.withColumn(key, F.when(url_for(num, template) == F.col("url"), num))
 
 
 def read_responses(spark: SparkSession, path, fmt: str = "parquet") -> DataFrame:
