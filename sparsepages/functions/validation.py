@@ -31,31 +31,34 @@ DATE_FORMATS = (
     "yyyy-M-d'T'H:mm:ss",
 )
 
-# Characters of an address, by the part they may stand in.
-_LETTER = r"a-zA-Z\x{A0}-\x{D7FF}\x{F900}-\x{FDCF}\x{FDF0}-\x{FFEF}"
-_ALNUM = _LETTER + "0-9"
-_HOSTCHAR = rf"[{_ALNUM}._~-]"
-# Starts with a letter or digit, has a dot between a letter or digit and a
-# letter, and ends with a letter. One pass, no nested repetition.
-_DOMAIN = rf"[{_ALNUM}](?:{_HOSTCHAR}*[{_ALNUM}])?\.[{_LETTER}](?:{_HOSTCHAR}*[{_LETTER}])?"
-_ATOM = rf"[{_ALNUM}!#$%&'*+/=?^_`{{|}}~-]+"
+# Address patterns, put together from character classes. No group with
+# alternatives is repeated and no two repetitions compete, so matching takes
+# neither deep recursion nor more than one or two passes over a long text.
 _WIDE = r"\x{A0}-\x{D7FF}\x{F900}-\x{FDCF}\x{FDF0}-\x{FFEF}"
-_FOLD = r"(?:[ \t]*\r\n)?[ \t]+"
-_QUOTED = (
-    rf'"(?:(?:{_FOLD})?(?:[\x01-\x08\x0B\x0C\x0E-\x1F\x7F!#-\[\]-~{_WIDE}]'
-    rf'|\\[\x01-\x09\x0B-\x7F{_WIDE}]))*+(?:{_FOLD})?"'
-)
-_EMAIL = rf"\A(?:{_ATOM}(?:\.{_ATOM})*|{_QUOTED})@{_DOMAIN}\z"
-
+_LETTER = rf"[a-zA-Z{_WIDE}]"
+_ALNUM = rf"[a-zA-Z0-9{_WIDE}]"
+_HOST = rf"[a-zA-Z0-9{_WIDE}._~-]"
+# A host name starts with a letter or digit, ends with a letter, and has a dot
+# between a letter or digit and a letter.
+_DOTTED = rf"(?={_HOST}*{_ALNUM}\.{_LETTER})"
+_MAIL_HOST = rf"(?={_ALNUM}{_HOST}*+(?<={_LETTER})\z){_DOTTED}{_HOST}*+\z"
+_MAIL_ATOMS = rf"\A[a-zA-Z0-9{_WIDE}!#$%&'*+/=?^_`{{|}}~.-]+@{_MAIL_HOST}"
+_MAIL_DOTS = r"\A\.|\A[^@]*\.[.@]"
+_MAIL_QUOTED = rf'\A"([\x01-\x09\x0B-\x7F{_WIDE}]*)"@{_MAIL_HOST}'
+_MAIL_ESCAPE = rf"\\[\x01-\x09\x0B-\x7F{_WIDE}]"
+_MAIL_QUOTED_PLAIN = rf"\A[\x01-\x09\x0B\x0C\x0E-\x21\x23-\x5B\x5D-\x7F{_WIDE}]*\z"
+
+_URL_END = r"(?=[:/?#]|\z)"
+_URL_HOST = rf"(?={_ALNUM}{_HOST}*+(?<={_LETTER}|{_LETTER}\.){_URL_END}){_DOTTED}{_HOST}*+"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-_PCT = "%[0-9a-fA-F]{2}"
-_USERCHAR = rf"(?:[{_ALNUM}._~!$&'()*+,;=:-]|{_PCT})"
-_PCHAR = rf"(?:[{_ALNUM}._~!$&'()*+,;=:@-]|{_PCT})"
-_PATH = rf"/(?:{_PCHAR}(?:{_PCHAR}|/)*)?"
+_URL_USER = rf"[a-zA-Z0-9{_WIDE}._~!$&'()*+,;=:%-]"
+_URL_CHARS = rf"a-zA-Z0-9{_WIDE}._~!$&'()*+,;=:@%-"
 _URL = (
-    rf"(?i)\A(?:https?|s?ftp)://(?:{_USERCHAR}*@)?(?:{_OCTET}(?:\.{_OCTET}){{3}}|{_DOMAIN}\.?)(?::[0-9]*)?"
-    rf"(?:{_PATH})?(?:\?(?:{_PCHAR}|[/?\x{{E000}}-\x{{F8FF}}])*)?(?:#(?:{_PCHAR}|[/?])*)?\z"
+    rf"\A(?i:https?|s?ftp)://(?:{_URL_USER}*+@)?(?:{_OCTET}(?:\.{_OCTET}){{3}}{_URL_END}|{_URL_HOST})(?::[0-9]*)?"
+    rf"(?:/(?:[{_URL_CHARS}][{_URL_CHARS}/]*)?)?(?:\?[{_URL_CHARS}/?\x{{E000}}-\x{{F8FF}}]*)?(?:#[{_URL_CHARS}/?]*)?\z"
 )
+_URL_BAD_ESCAPE = "%(?![0-9a-fA-F]{2})"
+
 _DATE_ISO = r"\A[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}\z"
 _NUMBER = r"\A-?(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)?(?:\.[0-9]+)?\z"
 _DIGITS = r"\A[0-9]+\z"
@@ -111,6 +114,13 @@ def luhn_valid(text: Column) -> Column:
     return (digits == "") | (total % 10 == 0)
 
 
+def _is_email(text: Column) -> Column:
+    atoms = text.rlike(_MAIL_ATOMS) & ~text.rlike(_MAIL_DOTS)
+    quoted = F.regexp_extract(text, _MAIL_QUOTED, 1)
+    plain = F.regexp_replace(quoted, _MAIL_ESCAPE, "")
+    return F.when(text.startswith('"'), text.rlike(_MAIL_QUOTED) & plain.rlike(_MAIL_QUOTED_PLAIN)).otherwise(atoms)
+
+
 def _number_in(value: Column, kind: T.DataType, test: Callable[[Column], Column]) -> Column:
     if isinstance(kind, T.NumericType):
         number = value.cast("double")
@@ -154,9 +164,9 @@ def rule_passes(
         word = F.length(F.regexp_replace(text, "[^A-Za-z0-9_]", ""))
         return F.coalesce(utf16_length(text) - word >= param, F.lit(False))
     if name == "email":
-        test = text.rlike(_EMAIL)
+        test = _is_email(text)
     elif name == "url":
-        test = text.rlike(_URL)
+        test = text.rlike(_URL) & ~text.rlike(_URL_BAD_ESCAPE)
     elif name == "date":
         test = _is_date(bare) if isinstance(kind, T.StringType) else F.lit(isinstance(kind, T.DatetimeType))
     elif name == "dateISO":
