@@ -1,6 +1,6 @@
 from sparsepages.operators.joins import join_unique
 from sparsepages.operators.lookup import latest_record, lookup_id, lookup_ids
-from sparsepages.operators.neighbours import (
+from sparsepages.operators.nearest import (
     bounded_walk,
     clip_next,
     end_sentinel,

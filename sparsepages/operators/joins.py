@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+# One row in this many decides which keys are frequent.
+_PROBE = 64
+
+
 def join_unique(
     rows: DataFrame,
     table: DataFrame,
     on: str,
     split_by: list[str],
-    sizes: DataFrame | None = None,
     how: str = "left",
     pieces: int = 4096,
     min_rows: int = 1_000_000,
@@ -25,28 +28,27 @@ def join_unique(
     match nothing and are spread in the same way. Keys of at most ``min_rows``
     rows are left alone.
 
-    ``sizes`` may hand in row counts per key as ``(on, n)`` when the caller has
-    them already; otherwise they are counted with a map-side combine.
+    Frequencies are estimated from the rows whose hash falls into one of
+    ``_PROBE`` classes, the same ones on every run. The estimate only decides
+    how a key is split; every row takes part in the join.
     """
-    if sizes is None:
-        sizes = rows.groupBy(on).agg(F.count("*").alias("n"))
+    mark = F.xxhash64(*split_by)
+    probe = rows.filter(F.col(on).isNotNull() & (F.pmod(F.shiftright(mark, 32), F.lit(_PROBE)) == 0))
+    sizes = probe.groupBy(on).agg((F.count("*") * _PROBE).alias("n"))
     share = sizes.agg(F.expr(f"greatest(cast({min_rows} as bigint), (sum(n) + {pieces - 1}) div {pieces})")).scalar()
     frequent = (
-        sizes.filter(F.col(on).isNotNull())
-        .withColumn("__share", share)
+        sizes.withColumn("__share", share)
         .filter("n > __share")
         .select(on, F.expr("(n + __share - 1) div __share").alias("__parts"))
     )
-    part = F.pmod(F.xxhash64(*split_by), F.coalesce("__parts", F.lit(1)))
-    spread = F.pmod(F.xxhash64(*split_by), F.lit(pieces).cast("bigint"))
+    part = F.when(F.col("__parts").isNotNull(), F.pmod(mark, F.col("__parts"))).when(
+        F.col(on).isNull(), F.pmod(mark, F.lit(pieces))
+    )
     dealt = (
         rows.join(F.broadcast(frequent), on, "left")
-        .withColumn("__part", F.when(F.col(on).isNull(), spread).otherwise(part))
-        .drop("__parts")
-    )
-    repeated = (
-        table.join(F.broadcast(frequent), on, "left")
-        .withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("__parts", F.lit(1)) - 1)))
+        .withColumn("__part", F.coalesce(part, F.lit(0)).cast("int"))
         .drop("__parts")
     )
+    parts = F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)).cast("int") - 1)
+    repeated = table.join(F.broadcast(frequent), on, "left").withColumn("__part", F.explode(parts)).drop("__parts")
     return dealt.join(repeated, [on, "__part"], how).drop("__part")

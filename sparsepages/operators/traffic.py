@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparsepages.operators.joins import join_unique
 
 # Words that mark a user agent as synthetic.
 SYNTHETIC_WORDS = ("search", "spider", "crawl", "Bot", "Monitor", "AlwaysOn")
@@ -34,6 +33,9 @@ ITEMS_PER_SECOND = 5  # fixed value: the target rate
 _MAP_SIDE_LIMIT = 1000
 _DEALS = (4096, 64)
 
+# A time bucket holding more than one request in this many is crowded.
+_CROWDED = 65_536
+
 
 def tag_synthetic(
     requests: DataFrame,
@@ -88,11 +90,11 @@ def cap_rate(
     """
     bucket = time_bucket(F.col(ts), requests.schema[ts].dataType, seconds)
     capped = requests.withColumn("__bucket", bucket)
+    # A request without a time belongs to no bucket: it gets one of its own.
+    groups = ["__bucket", F.when(F.col("__bucket").isNull(), F.col(request_id)), *by]
     for parts in (*_DEALS, 1) if limit > _MAP_SIDE_LIMIT else (1,):
-        groups = ["__bucket", *by]
-        if parts > 1:
-            groups.append(F.pmod(F.xxhash64(request_id), F.lit(parts)))
-        order = Window.partitionBy(*groups).orderBy(ts, request_id)
+        part = [F.pmod(F.xxhash64(request_id), F.lit(parts))] if parts > 1 else []
+        order = Window.partitionBy(*groups, *part).orderBy(ts, request_id)
         capped = capped.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= limit)
     return capped.select(*requests.columns)
 
@@ -108,7 +110,6 @@ def sample_rate(
     seconds: int = 1,
     ts: str = "ts",
     request_id: str = "request_id",
-    **split,
 ) -> DataFrame:
     """Keep about ``limit`` requests per time bucket by hash, with ``item_weight`` = how many each stands for.
 
@@ -116,15 +117,27 @@ def sample_rate(
     bucket. The bound on the hash is worked out once per bucket, by whole
     division, so nothing overflows in a crowded one. Requests without a time
     belong to no bucket and stay with weight 1.
+
+    The bounds of the crowded buckets, those holding more than one request in
+    ``_CROWDED``, are broadcast: there are fewer than ``_CROWDED`` of them by
+    that definition. Their requests are thinned where they are read, before
+    anything is shuffled to meet the bounds of all other buckets.
     """
     bucket = time_bucket(F.col(ts), requests.schema[ts].dataType, seconds)
     rows = requests.withColumn("__bucket", bucket)
-    sizes = rows.groupBy("__bucket").agg(F.count("*").alias("n"))
-    bounds = sizes.select(
-        "__bucket",
-        F.expr(f"({limit} * 4294967296L - 1) div n").alias("__bound"),
-        F.greatest(F.lit(1.0), F.col("n") / F.lit(float(limit))).alias("__weight"),
-    )
-    joined = join_unique(rows, bounds, "__bucket", [request_id], sizes=sizes, **split)
-    kept = F.col("__bound").isNull() | (sample_hash(F.col(request_id)) <= F.col("__bound"))
-    return joined.filter(kept).select(*requests.columns, F.coalesce("__weight", F.lit(1.0)).alias("item_weight"))
+    sizes = rows.filter(F.col("__bucket").isNotNull()).groupBy("__bucket").agg(F.count("*").alias("n"))
+    bounds = sizes.withColumn("__bound", F.expr(f"({limit} * 4294967296L - 1) div n"))
+    fair = sizes.agg(F.expr(f"(sum(n) + {_CROWDED - 1}) div {_CROWDED}")).scalar()
+    crowded = bounds.filter((F.col("n") > limit) & (F.col("n") > fair)).select("__bucket", "__bound")
+
+    # The digest is only worked out for requests of buckets over the limit.
+    below = sample_hash(F.col(request_id)) <= F.col("__bound")
+    thinned = rows.join(F.broadcast(crowded), "__bucket", "left").filter(F.col("__bound").isNull() | below)
+    # Requests without a time match no bucket; far below all bucket numbers
+    # they keep apart from each other as well.
+    apart = F.lit(-(2**62)) - F.pmod(F.xxhash64(request_id), F.lit(2**31))
+    keyed = thinned.withColumn("__bucket", F.coalesce("__bucket", apart)).drop("__bound")
+    sized = keyed.join(bounds, "__bucket", "left")
+    kept = sized.filter(F.col("n").isNull() | (F.col("n") <= limit) | below)
+    weight = F.greatest(F.lit(1.0), F.col("n") / F.lit(float(limit)))
+    return kept.select(*requests.columns, F.coalesce(weight, F.lit(1.0)).alias("item_weight"))

@@ -1,4 +1,4 @@
-from sparsepages.plans.pages import (
+from sparsepages.plans.linking import (
     assemble_pages,
     classified_records,
     home_page,

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparsepages.operators.lookup import lookup_id
-from sparsepages.operators.neighbours import clip_next, end_sentinel, largest_id, neighbours
+from sparsepages.operators.nearest import clip_next, end_sentinel, largest_id, neighbours
 from sparsepages.operators.responses import (
     classify_outcome,
     decode_records,
@@ -35,27 +35,30 @@ def _decoded(newest: DataFrame) -> DataFrame:
     return classify_outcome(fill_defaults(decode_records(newest)))
 
 
+def _ids(responses: DataFrame) -> DataFrame:
+    return existing_ids(responses).filter(F.col("num") > SENTINEL)
+
+
 def classified_records(responses: DataFrame, key: str = "num") -> DataFrame:
     """Newest landing per id, decoded, with defaults filled in and an outcome."""
     return _decoded(_newest(responses, key))
 
 
 def _record_at(responses: DataFrame, url: str) -> DataFrame:
-    landed = latest_response(responses.filter(F.col("url") == url))
-    return quarantine(_decoded(landed))[0]
+    landed = responses.filter(F.col("url") == url).select("url", "fetched_at", "status", "body")
+    good, _ = quarantine(_decoded(latest_response(landed)))
+    return good.select(F.col("record.num").cast("bigint").alias("num"), "record")
 
 
-def last_id(responses: DataFrame, ids: DataFrame, last_url: str | None = None) -> Column:
-    """Upper bound of the search for a next page, as a scalar subquery.
+def last_id(responses: DataFrame, largest: Column, last_url: str | None = None) -> Column:
+    """Upper bound of the search for a next page.
 
     The number inside the record at ``last_url``, if that address has landed
-    and can be decoded; the largest existing id otherwise.
+    and can be decoded; ``largest``, the largest existing id, otherwise.
     """
-    largest = largest_id(ids)
     if last_url is None:
         return largest
-    stated = _record_at(responses, last_url).agg(F.max(F.col("record.num")).cast("bigint")).scalar()
-    return F.coalesce(stated, largest)
+    return F.coalesce(_record_at(responses, last_url).agg(F.max("num")).scalar(), largest)
 
 
 def _envelope(linked: DataFrame, key: str = "num") -> DataFrame:
@@ -87,10 +90,11 @@ def pages(responses: DataFrame, last_url: str | None = None, **options) -> DataF
     what was not found before any text is parsed. ``options`` go to
     ``neighbours``.
     """
-    ids = existing_ids(responses)
+    ids = _ids(responses)
     steps = neighbours(ids, unique=True, **options)
     if last_url is not None:
-        steps = steps.withColumn("next_page", clip_next(F.col("next_page"), last_id(responses, ids, last_url)))
+        last = last_id(responses, largest_id(ids), last_url)
+        steps = steps.withColumn("next_page", clip_next(F.col("next_page"), last))
     good, _ = quarantine(_decoded(_newest(responses).join(steps, "num")))
     return nav_links(_envelope(good))
 
@@ -98,20 +102,31 @@ def pages(responses: DataFrame, last_url: str | None = None, **options) -> DataF
 def page_of(responses: DataFrame, num: int, last_url: str | None = None) -> DataFrame:
     """The page of one id; no row when it is missing or malformed.
 
-    Two partial aggregates over the ids instead of the page table.
+    One aggregate over the ids, to a single row, instead of the page table.
     """
-    good, _ = quarantine(classified_records(lookup_id(responses, num)))
-    ids = existing_ids(responses)
-    last = last_id(responses, ids, last_url)
-    after = ids.filter(F.col("num") > max(num, SENTINEL)).agg(F.min("num")).scalar()
-    before = ids.filter((F.col("num") < num) & (F.col("num") > SENTINEL)).agg(F.max("num")).scalar()
-    page = good.select(
-        "num",
-        F.col("record").alias("result"),
-        clip_next(after, last).alias("next_page"),
-        end_sentinel(before).alias("prev_page"),
+    at = F.lit(num).cast("bigint")
+    near = _ids(responses).agg(
+        F.max("num").alias("largest"),
+        F.min(F.when(F.col("num") > at, F.col("num"))).alias("after"),
+        F.max(F.when(F.col("num") < at, F.col("num"))).alias("before"),
+    )
+    last = last_id(responses, F.col("largest"), last_url)
+    steps = near.select(
+        F.struct(
+            clip_next(F.col("after"), last).alias("next_page"),
+            end_sentinel(F.col("before")).alias("prev_page"),
+        )
+    ).scalar()
+    asked = lookup_id(responses, num).filter(F.col("num") > SENTINEL)
+    good, _ = quarantine(classified_records(asked))
+    return nav_links(
+        good.select(
+            "num",
+            F.col("record").alias("result"),
+            steps["next_page"].alias("next_page"),
+            steps["prev_page"].alias("prev_page"),
+        )
     )
-    return nav_links(page)
 
 
 def home_page(responses: DataFrame, last_url: str | None = None) -> DataFrame:
@@ -121,17 +136,21 @@ def home_page(responses: DataFrame, last_url: str | None = None) -> DataFrame:
     without such an address it is the one with the largest existing id. Only
     that record is decoded. No row when it cannot be.
     """
-    ids = existing_ids(responses).filter(F.col("num") > SENTINEL)
+    ids = _ids(responses)
     if last_url is None:
-        newest = responses.filter(F.col("num") == largest_id(ids))
+        top = ids.orderBy(F.col("num").desc()).limit(2)
+        top = top.agg(F.max("num").alias("num"), F.when(F.count("*") == 2, F.min("num")).alias("before"))
+        newest = responses.filter(F.col("num") == top.select("num").scalar())
         newest = quarantine(classified_records(newest))[0].select("num", "record")
+        before = top.select("before").scalar()
     else:
-        newest = _record_at(responses, last_url).select(F.col("record.num").cast("bigint").alias("num"), "record")
-    before = ids.filter(F.col("num") < newest.select("num").scalar()).agg(F.max("num")).scalar()
-    page = newest.select(
-        "num",
-        F.col("record").alias("result"),
-        F.lit(SENTINEL).cast("bigint").alias("next_page"),
-        end_sentinel(before).alias("prev_page"),
+        newest = _record_at(responses, last_url)
+        before = ids.filter(F.col("num") < newest.select("num").scalar()).agg(F.max("num")).scalar()
+    return nav_links(
+        newest.select(
+            "num",
+            F.col("record").alias("result"),
+            F.lit(SENTINEL).cast("bigint").alias("next_page"),
+            end_sentinel(before).alias("prev_page"),
+        )
     )
-    return nav_links(page)

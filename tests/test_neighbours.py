@@ -1,12 +1,10 @@
-import importlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 import sparsepages as sp
-
-module = importlib.import_module("sparsepages.operators.neighbours")
+from sparsepages.operators import nearest as module
 
 
 def walk(ids, start, forward, last):

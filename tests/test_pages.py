@@ -126,7 +126,7 @@ def test_lookup_splits_a_crowded_id(spark):
     rows = [(i, 7 if i % 3 else i % 11) for i in range(3000)] + [(i, None) for i in range(3000, 4000)]
     requests = spark.createDataFrame(rows, "rid long, num long")
     catalogue = spark.createDataFrame([(i, f"v{i}") for i in range(9)], "num long, v string")
-    got = sp.lookup_ids(requests, catalogue, request_id="rid", pieces=16, min_rows=1)
+    got = sp.lookup_ids(requests, catalogue, request_id="rid", pieces=16, min_rows=1)  # splits nearly every id
     want = {i: (n, f"v{n}" if n is not None and n < 9 else None) for i, n in rows}
     out = got.collect()
     assert len(out) == len(rows)

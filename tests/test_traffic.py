@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 import random
 
 import pytest
@@ -56,6 +57,12 @@ def test_cap_rate(spark, limit, seconds, by):
     assert out.columns == ["request_id", "ts", "k"]
 
 
+def test_requests_without_a_time_are_not_capped(spark):
+    rows = [(i, None, "a") for i in range(20)] + [(100 + i, BASE, "a") for i in range(20)]
+    got = {r["request_id"] for r in sp.cap_rate(requests(spark, rows), 3, 1).collect()}
+    assert got == set(range(20)) | {100, 101, 102}
+
+
 def test_cap_rate_above_the_map_side_limit(spark, monkeypatch):
     monkeypatch.setattr(traffic, "_MAP_SIDE_LIMIT", 2)
     rows = random_rows(600, 5)
@@ -75,10 +82,9 @@ def test_buckets_ignore_the_time_zone(spark):
         assert [r["b"] for r in got] == [-1, 0, None]
 
 
-@pytest.mark.parametrize("options", [{}, {"pieces": 8, "min_rows": 1}])
-def test_sample_rate(spark, options):
-    import hashlib
-
+@pytest.mark.parametrize("crowded", [1, 8, 65_536])
+def test_sample_rate(spark, monkeypatch, crowded):
+    monkeypatch.setattr(traffic, "_CROWDED", crowded)
     rows = random_rows(3000, 20) + [(10_000 + i, None, "a") for i in range(50)]
     sizes = {}
     for _, ts, _k in rows:
@@ -92,7 +98,7 @@ def test_sample_rate(spark, options):
             want[rid] = 1.0
         elif h * n < 5 * 2**32:
             want[rid] = max(1.0, n / 5)
-    out = sp.sample_rate(requests(spark, rows), **options)
+    out = sp.sample_rate(requests(spark, rows))
     got = out.collect()
     assert len(got) == len(want) and {r["request_id"]: r["item_weight"] for r in got} == want
     # The weights stand for about all requests.
