@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column
@@ -101,17 +102,30 @@ def utf16_length(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.length(text)).otherwise(wide)
 
 
-def luhn_valid(text: Column) -> Column:
-    digits = F.regexp_replace(text, "[^0-9]", "")
+# What a digit counts at every second place: doubled, less 9 if above 9.
+_DOUBLED = [2 * d - (9 if d > 4 else 0) for d in range(10)]
+# The same for two neighbouring digits, by their value as one number.
+_PAIRS = [right + _DOUBLED[left] for left in range(10) for right in range(10)]
+_LONG_DIGITS = 18  # that many fit into a bigint
 
-    def weigh(char: Column, i: Column) -> Column:
-        digit = F.ascii(char) - 48
-        twice = digit * 2
-        return F.when(i % 2 == 0, digit).when(twice > 9, twice - 9).otherwise(twice)
 
-    weights = F.transform(F.split(F.reverse(digits), ""), weigh)
-    total = F.aggregate(weights, F.lit(0), lambda acc, d: acc + d)
-    return (digits == "") | (total % 10 == 0)
+def luhn_valid(text: Column) -> Column:
+    """Check digit of a text of digits, spaces and dashes; no digits at all pass."""
+    digits = F.translate(text, " -", "")
+    number = F.coalesce(F.right(digits, F.lit(_LONG_DIGITS)).try_cast("bigint"), F.lit(0))
+    pairs = (F.call_function("div", number, F.lit(100**k)) % 100 for k in range(_LONG_DIGITS // 2))
+    short = reduce(lambda a, b: a + b, (F.get(F.lit(_PAIRS), pair.cast("int")) for pair in pairs))
+
+    # Longer than any card number: write every digit as that many strokes.
+    backwards = F.reverse(digits)
+    doubled = F.translate(F.regexp_replace(backwards, ".(.?)", "$1"), "0123456789", "".join(map(str, _DOUBLED)))
+    strokes = F.concat(F.regexp_replace(backwards, "(.).?", "$1"), doubled)
+    for d in (0, 2, 3, 4, 5, 6, 7, 8, 9):
+        strokes = F.replace(strokes, F.lit(str(d)), F.lit("1" * d))
+
+    # ``short`` stands outside the CASE, so that Catalyst converts the number once.
+    is_long = F.length(digits) > _LONG_DIGITS
+    return (~is_long & (short % 10 == 0)) | F.when(is_long, F.length(strokes) % 10 == 0).otherwise(False)
 
 
 def _is_email(text: Column) -> Column:

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,8 +45,11 @@ def tag_synthetic(
     out: str = "is_synthetic",
 ) -> DataFrame:
     """Add a flag: does the user agent contain one of the words? No row is dropped."""
-    pattern = ("" if match_case else "(?i)") + "|".join(re.escape(w) for w in words)
-    return requests.withColumn(out, F.coalesce(F.col(agent).rlike(pattern), F.lit(False)))
+    text = F.col(agent) if match_case else F.lower(agent)
+    tests = [F.contains(F.col("__agent"), F.lit(w if match_case else w.lower())) for w in words]
+    found = reduce(lambda a, b: a | b, tests, F.lit(False))
+    tagged = requests.withColumn("__agent", text).withColumn(out, F.coalesce(found, F.lit(False)))
+    return tagged.drop("__agent")
 
 
 def exclude_handlers(
