@@ -35,6 +35,7 @@ DATE_FORMATS = (
 # Address patterns, put together from character classes. No group with
 # alternatives is repeated and no two repetitions compete, so matching takes
 # neither deep recursion nor more than one or two passes over a long text.
+# The characters each part of an address may hold.
 _WIDE = r"\x{A0}-\x{D7FF}\x{F900}-\x{FDCF}\x{FDF0}-\x{FFEF}"
 _LETTER = rf"[a-zA-Z{_WIDE}]"
 _ALNUM = rf"[a-zA-Z0-9{_WIDE}]"
