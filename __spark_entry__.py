@@ -8,13 +8,17 @@ answer with an error and the poor ones with a body cut short.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-import sparsepages as sp
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import sparsepages as sp  # noqa: E402
 
 URL = "https://example.org/{0}/info.0.json"
 LAST_URL = "https://example.org/info.0.json"

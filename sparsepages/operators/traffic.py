@@ -28,9 +28,8 @@ EXCLUDED_HANDLERS = (
 
 ITEMS_PER_SECOND = 5  # fixed value: the target rate
 
-# Spark filters ranks in the map tasks, before the shuffle, up to this limit
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-_MAP_SIDE_LIMIT = 1000
+# Spark filters ranks in the map tasks, before the shuffle, up to this limit.
+_MAP_SIDE_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 _DEALS = (4096, 64)
 
 # A time bucket holding more than one request in this many is crowded.
@@ -95,7 +94,8 @@ def cap_rate(
     capped = requests.withColumn("__bucket", bucket)
     # A request without a time belongs to no bucket: it gets one of its own.
     groups = ["__bucket", F.when(F.col("__bucket").isNull(), F.col(request_id)), *by]
-    for parts in (*_DEALS, 1) if limit > _MAP_SIDE_LIMIT else (1,):
+    map_side = limit <= int(requests.sparkSession.conf.get(_MAP_SIDE_LIMIT))
+    for parts in (1,) if map_side else (*_DEALS, 1):
         part = [F.pmod(F.xxhash64(request_id), F.lit(parts))] if parts > 1 else []
         order = Window.partitionBy(*groups, *part).orderBy(ts, request_id)
         capped = capped.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= limit)

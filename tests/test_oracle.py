@@ -19,6 +19,17 @@ TYPES = {
 }
 
 
+# No Python workers, no cross joins.
+UNWANTED = (
+    "PythonUDF",
+    "EvalPython",
+    "InPandas",
+    "InArrow",
+    "CartesianProduct",
+    "BroadcastNestedLoopJoin",
+)
+
+
 @pytest.fixture(scope="module")
 def duck(sf):
     con = duckdb.connect()
@@ -39,6 +50,8 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, sf, duck, name):
     df = entry.queries()[name](spark, sf)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert not [word for word in UNWANTED if word in plan]
     want = duck.sql(entry.oracle_sql()[name])
     assert sorted(df.columns) == sorted(want.columns)
     kinds = {c: str(t) for c, t in zip(want.columns, want.types)}

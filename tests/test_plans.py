@@ -1,7 +1,5 @@
 """What the plans must and must not contain."""
 
-import pytest
-
 import __spark_entry__ as entry
 import sparsepages as sp
 
@@ -10,13 +8,6 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
-def test_no_python_workers(spark, sf, name):
-    text = plan(entry.queries()[name](spark, sf))
-    for word in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
-        assert word not in text
-
-
 def test_single_task_window_sees_the_summary_only(spark, sf):
     text = plan(entry.neighbours_large(spark, sf))
     assert text.count("Exchange SinglePartition") == 1

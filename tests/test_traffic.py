@@ -63,10 +63,14 @@ def test_requests_without_a_time_are_not_capped(spark):
     assert got == set(range(20)) | {100, 101, 102}
 
 
-def test_cap_rate_above_the_map_side_limit(spark, monkeypatch):
-    monkeypatch.setattr(traffic, "_MAP_SIDE_LIMIT", 2)
+@pytest.mark.parametrize("threshold", [2, -1])
+def test_cap_rate_above_the_map_side_limit(spark, threshold):
     rows = random_rows(600, 5)
-    got = {r["request_id"] for r in sp.cap_rate(requests(spark, rows), 40, 1).collect()}
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", threshold)
+    try:
+        got = {r["request_id"] for r in sp.cap_rate(requests(spark, rows), 40, 1).collect()}
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     assert got == capped(rows, 40, 1)
 
 
