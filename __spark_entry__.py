@@ -329,6 +329,33 @@ def rule_report_lineitem(spark, sf):
     return sp.rule_report(_table(spark, sf, "lineitem"), _line_rules())
 
 
+def rule_report_orders(spark, sf):
+    text = _table(spark, sf, "orders").select(
+        F.col("o_totalprice").cast("string").alias("price"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        F.date_format("o_orderdate", "d.M.yyyy").alias("day_with_dots"),
+        F.col("o_orderkey").cast("string").alias("num"),
+        F.col("o_orderpriority").alias("priority"),
+    )
+    rules = [
+        sp.Rule("price", "number"),
+        sp.Rule("price", "digits"),
+        *sp.range_rule("price", 1000, 250000),
+        sp.Rule("day", "dateISO"),
+        sp.Rule("day", "date"),
+        sp.Rule("day_with_dots", "dateISO"),
+        sp.Rule("day_with_dots", "date"),
+        sp.Rule("num", "digits"),
+        sp.Rule("num", "creditcard"),
+        *sp.range_rule("num", 500),
+        sp.Rule("priority", "number"),
+        *sp.range_rule("priority", None, 3),
+        *sp.length_rule("priority", None, 8),
+        sp.Rule("priority", "regex", "[1-3]-[A-Z]+"),
+    ]
+    return sp.rule_report(text, rules)
+
+
 def rule_report_documents(spark, sf):
     rules = [
         sp.Rule("text", "required"),
@@ -415,6 +442,7 @@ _QUERIES = [
     sample_rate,
     rule_report,
     rule_report_lineitem,
+    rule_report_orders,
     rule_report_documents,
     tag_failures,
     rule_quarantine,
@@ -489,14 +517,11 @@ def _report(table: str, lines: list[tuple[str, str, str]]) -> str:
 def oracle_sql() -> dict[str, str]:
     url_length, html_length = "length(url)", _UTF16.format("trim(html, E' \\t\\n\\r')")
     text_length = _UTF16.format("trim(text, E' \\t\\n\\r')")
-    luhn = """
-        list_sum(list_transform(
-            range(1, length(l_partkey::varchar) + 1),
-            lambda i: case
-                when i % 2 = 1 then substr(reverse(l_partkey::varchar), i, 1)::int
-                else (2 * substr(reverse(l_partkey::varchar), i, 1)::int) // 10
-                   + (2 * substr(reverse(l_partkey::varchar), i, 1)::int) % 10 end
-        )) % 10 = 0"""
+    def luhn(digits: str) -> str:
+        digit = f"substr(reverse({digits}), i, 1)::int"
+        return f"""list_sum(list_transform(range(1, length({digits}) + 1), lambda i:
+            case when i % 2 = 1 then {digit} else (2 * {digit}) // 10 + (2 * {digit}) % 10 end)) % 10 = 0"""
+
     outcome = """
         case when l.doc_id is null then 'missing'
              when l.toxic = 1 or l.quality = 0 then 'malformed' else 'ok' end"""
@@ -610,7 +635,7 @@ def oracle_sql() -> dict[str, str]:
                 ("l_quantity", "range", "l_quantity between 1 and 40"),
                 ("l_discount", "max", "l_discount <= 0.05::double"),
                 ("l_tax", "min", "l_tax >= 0.02::double"),
-                ("l_partkey", "creditcard", luhn),
+                ("l_partkey", "creditcard", luhn("l_partkey::varchar")),
                 ("l_orderkey", "digits", "l_orderkey >= 0"),
                 ("l_orderkey", "number", "true"),
                 ("l_returnflag", "regex", "l_returnflag in ('A', 'N')"),
@@ -618,6 +643,27 @@ def oracle_sql() -> dict[str, str]:
                 ("l_suppkey", "equalTo", "l_suppkey = l_partkey"),
             ],
         ),
+        "rule_report_orders": _report(
+            """(select o_totalprice::varchar as price, strftime(o_orderdate, '%Y-%m-%d') as day,
+                       strftime(o_orderdate, '%-d.%-m.%Y') as day_with_dots, o_orderkey::varchar as num,
+                       o_totalprice, o_orderkey, o_orderpriority as priority from orders)""",
+            [
+                ("price", "number", "o_totalprice >= 0"),
+                ("price", "digits", "false"),
+                ("price", "range", "o_totalprice between 1000 and 250000"),
+                ("day", "dateISO", "true"),
+                ("day", "date", "true"),
+                ("day_with_dots", "dateISO", "false"),
+                ("day_with_dots", "date", "false"),
+                ("num", "digits", "true"),
+                ("num", "creditcard", luhn("num")),
+                ("num", "min", "o_orderkey >= 500"),
+                ("priority", "number", "false"),
+                ("priority", "max", "false"),
+                ("priority", "maxlength", "length(priority) <= 8"),
+                ("priority", "regex", "regexp_full_match(priority, '[1-3]-[A-Z]+')"),
+            ],
+        ),
         "rule_report_documents": _report(
             "documents",
             [

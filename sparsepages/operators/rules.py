@@ -38,7 +38,7 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     The aggregate leaves one row, which is then turned into one per rule.
     """
     table, tests = _prepared(df, rules)
-    failed = [F.count_if(~test).alias(f"f{i}") for i, test in enumerate(tests)]
+    failed = [F.count(F.when(~test, 1)).alias(f"f{i}") for i, test in enumerate(tests)]
     totals = table.agg(F.count("*").alias("checked"), *failed)
     lines = F.array(
         *[
