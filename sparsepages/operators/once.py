@@ -12,6 +12,8 @@ def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     Catalyst copies a projected expression into every filter above it; a parse
     or a chain of patterns would then run for the filter and again for the
     output. It copies nothing through a generator, and ``explode`` of exactly
-    one element keeps every row.
+    one element keeps every row. The work itself is done in a projection below,
+    where Spark shares common parts of the expression.
     """
-    return df.select("*", F.explode(F.array(value)).alias(name))
+    worked_out = df.withColumn("__once", value)
+    return worked_out.select(*df.columns, F.explode(F.array("__once")).alias(name))

@@ -54,6 +54,11 @@ def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return totals.select(F.inline(lines))
 
 
+# Rules tested in one step of the plan. Spark writes each step as a method of
+# its own, and the JVM leaves methods of many rules uncompiled.
+_RULES_PER_STEP = 2
+
+
 def tag_failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add ``failures``, one field per checked column holding its first failing
     rule, and ``first_failure``, the first of those; fields go in the order in
@@ -64,10 +69,13 @@ def tag_failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     fields = []
     for column in columns:
         fails = [F.when(~test, rule.name) for rule, test in zip(rules, tests) if rule.column == column]
-        fields.append(F.coalesce(*fails).alias(column))
-    tagged = computed_once(table, "failures", F.struct(*fields))
-    first = F.coalesce(*[F.col("failures")[c] for c in columns])
-    return tagged.select(*df.columns, "failures", first.alias("first_failure"))
+        steps = [fails[at : at + _RULES_PER_STEP] for at in range(0, len(fails), _RULES_PER_STEP)]
+        names = [f"__failed_{column}_{i}" for i in range(len(steps))]
+        for name, step in zip(names, steps):
+            table = computed_once(table, name, F.coalesce(*step))
+        fields.append(F.coalesce(*names).alias(column))
+    failures = table.select(*df.columns, F.struct(*fields).alias("failures"))
+    return failures.withColumn("first_failure", F.coalesce(*[F.col("failures")[c] for c in columns]))
 
 
 def rule_quarantine(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
