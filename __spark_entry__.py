@@ -20,6 +20,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import sparsepages as sp  # noqa: E402
 
+try:
+    import corpus_pipeline as pipeline
+    from sparsepages.llm import queries as llm
+except ModuleNotFoundError as missing:  # the subpackage may be left out
+    if missing.name not in ("corpus_pipeline", "sparsepages.llm"):
+        raise
+    llm = pipeline = None
+
 URL = "https://example.org/{0}/info.0.json"
 LAST_URL = "https://example.org/info.0.json"
 KEY_BITS = 36  # no key of these tables comes near 2**36
@@ -456,7 +464,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in _QUERIES}
+    own = {f.__name__: f for f in _QUERIES}
+    return own if llm is None else own | llm.queries() | {"pipeline": pipeline.run}
 
 
 # ---- the same in SQL --------------------------------------------------------
@@ -525,7 +534,7 @@ def oracle_sql() -> dict[str, str]:
     outcome = """
         case when l.doc_id is null then 'missing'
              when l.toxic = 1 or l.quality = 0 then 'malformed' else 'ok' end"""
-    return {
+    own = {
         "expand_urls": "select doc_id + 1 as num, 'https://example.org/' || (doc_id + 1) || '/info.0.json' as url from documents",
         "candidate_ids": "select unnest(generate_series((select min(l_orderkey) + 1 from lineitem), (select max(l_orderkey) + 1 from lineitem))) as num",
         "scan_responses": f"""
@@ -692,3 +701,6 @@ def oracle_sql() -> dict[str, str]:
             where first_failure is not null""",
         "rule_clean": "select * from lineitem where l_quantity between 1 and 40 and l_discount <= 0.05::double",
     }
+    if llm is None:
+        return own
+    return own | llm.oracle_sql() | ({"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {})
