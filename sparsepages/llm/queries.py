@@ -5,14 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import scratch, table
+from .decontaminate import contaminated_words
+from .mixing import mix
 from .neardup import near_duplicates
 from .tokencounts import count_tokens
 from .tokenfile import read_tokens, write_tokens
+from .toxicity import score, train
 from .vocab import vocabulary
 
 
+def quality_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, weight``: labelled good 2, bad 0.5; documents without a label weigh 1."""
+    marks = table(spark, sf_dir, "labels").filter("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    return marks.select("doc_id", F.when(F.col("quality") == 1, 2.0).when(F.col("quality") == 0, 0.5).otherwise(1.0).alias("weight"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), quality_weights(spark, sf_dir))
+
+
 def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -28,7 +51,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_minhash_neardup, op8_token_output, op10_token_counts)}
+    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_source_mixing, op4_minhash_neardup, op8_token_output, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
