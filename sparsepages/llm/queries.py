@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 from .common import scratch, table
 from .decontaminate import contaminated_words
+from .fingerprints import edited_fingerprints
+from .lines import line_report
 from .mixing import mix
 from .neardup import near_duplicates
+from .pii import pseudonymised
+from .substrings import repeated_passages
 from .tokencounts import count_tokens
 from .tokenfile import read_tokens, write_tokens
 from .toxicity import score, train
@@ -40,18 +44,35 @@ def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(table(spark, sf_dir, "documents"))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents")).drop("doc")
+
+
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), path)
     return read_tokens(spark, path)
 
 
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pseudonymised(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", F.size("pii").cast("bigint").alias("n_entities"), "pii", "text")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_source_mixing, op4_minhash_neardup, op8_token_output, op10_token_counts)}
+    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_source_mixing, op4_minhash_neardup, op5_line_dedup, op6_substring_dedup, op7_fingerprints, op8_token_output, op9_pii_surrogates, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
