@@ -3,18 +3,35 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sparsepages.llm.common import scratch, table
-from sparsepages.llm.neardup import near_duplicates
+from sparsepages.llm.decontaminate import without_contaminated
+from sparsepages.llm.mixing import mixed
+from sparsepages.llm.neardup import without_near_duplicates
+from sparsepages.llm.queries import quality_weights
 from sparsepages.llm.tokenfile import read_tokens, write_tokens
+from sparsepages.llm.toxicity import train, without_toxic
 from sparsepages.llm.vocab import vocabulary
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the toxicity threshold; the weights are learned from the labels of ``docs``."""
+    return without_toxic(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that is linked at five words and 80 %."""
-    kept = near_duplicates(docs).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    return without_near_duplicates(docs, words=5, percent=80)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return without_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    return mixed(docs, quality_weights(spark, sf_dir))
 
 
 def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,11 +42,14 @@ def write_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("MinHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("mixing sources to target weights", mix_sources),
     ("token-ID / binary output", write_token_files),
 ]
 
-ORACLE_SQL = None  # stages are not expressible in SQL; tests compare each with a plain version
+ORACLE_SQL = None  # scores, minhashes, keys and token ids have no SQL form; tests compare the stages with plain versions
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

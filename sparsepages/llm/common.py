@@ -48,3 +48,11 @@ def texts_of(batch, name: str = "text") -> list[str]:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id and text hash are in ``gone`` (``gone_id, gone_hash``)."""
+    rows = docs.select(F.struct("*").alias("doc"))
+    few = if_small(settle(gone.distinct()))
+    same = F.col("doc.doc_id").eqNullSafe(F.col("gone_id")) & F.xxhash64("doc.text").eqNullSafe(F.col("gone_hash"))
+    return rows.join(few, same, "left_anti").select("doc.*")

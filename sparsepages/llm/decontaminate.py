@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import if_small, settle
+from .common import if_small, settle, without_rows
 
 SHINGLE = 3
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -50,7 +50,7 @@ def windows_of(benchmark: DataFrame, window: int) -> DataFrame:
 
 
 def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``, one row per row of ``docs``.
+    """``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, text_hash``, one row per row of ``docs``.
 
     A word is hit if it lies in an occurrence of a window of some item; an item
     of fewer words than a window is one window. Null texts have no words; items
@@ -65,7 +65,7 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = 10)
     windows = settle(windows_of(benchmark, window))
     widths = sorted(r[0] for r in windows.select(F.least("n", F.lit(SHINGLE)).alias("w")).distinct().collect())  # at most SHINGLE values
     texts = docs.select(
-        F.col("doc_id"), F.monotonically_increasing_id().alias("row"), words_of(F.col("text")).alias("words")
+        F.col("doc_id"), F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words")
     ).withColumn("n_words", F.size("words"))
 
     # Shingles of each window with their places: `off` words lie before the shingle.
@@ -95,23 +95,24 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = 10)
     # A window whose rarest shingle is nowhere is nowhere.
     prefix = settle(prefix.filter("p.seen > 0").select("win", "n", "pw", "items", F.col("p.off").alias("off"), F.col("p.key").alias("pkey")))
 
-    places = shingled(["row", "doc_id", "n_words"])
+    places = shingled(["row", "doc_id", "text_hash", "n_words"])
     joined = places.join(if_small(prefix), (F.col("key") == F.col("pkey")) & (F.col("w") == F.col("pw")), "left")
     begins = F.col("at") - F.col("off")
     there = (begins >= 1) & (begins + F.col("n") - 1 <= F.col("n_words"))
     same = folded(F.array_join(F.expr("slice(words, at - off, n)"), " ")) == F.col("win")
     hits = joined.filter((F.col("at") == 0) | F.when(there, same).otherwise(False)).select(
-        "row", "doc_id", "n_words", "items", F.when(F.col("at") > 0, begins).otherwise(0).alias("first"), F.coalesce("n", F.lit(1)).alias("n")
+        "row", "doc_id", "text_hash", "n_words", "items", F.when(F.col("at") > 0, begins).otherwise(0).alias("first"), F.coalesce("n", F.lit(1)).alias("n")
     )
     # Words are counted once each: first by place, then by document.
     by_word = (
         hits.withColumn("place", F.explode(F.expr("sequence(first, first + n - 1)")))
         .withColumn("items", F.when(F.col("place") == F.col("first"), F.col("items")))
         .groupBy("row", "place")
-        .agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
+        .agg(F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"), F.first("n_words").alias("n_words"), F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
     )
     by_doc = by_word.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),
+        F.first("text_hash").alias("text_hash"),
         F.max("n_words").cast("bigint").alias("n_words"),
         F.count(F.when(F.col("place") > 0, True)).alias("n_hit"),
         F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
@@ -124,4 +125,11 @@ def contaminated_words(docs: DataFrame, benchmark: DataFrame, window: int = 10)
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(listed, 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        "text_hash",
     )
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
+    """The rows of ``docs`` without any hit word, with all their columns. Rows are known by id and text."""
+    hit = contaminated_words(docs, benchmark, window).filter("contaminated")
+    return without_rows(docs, hit.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")))

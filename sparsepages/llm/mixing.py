@@ -43,8 +43,48 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int =
     return staged.withColumn("target", F.least(F.col("most"), level["level"] * F.col("weight"))).select("source", "source_size", "target")
 
 
+def _keyed(docs: DataFrame, quality: DataFrame | None, *payload: Column) -> DataFrame:
+    """``payload, doc_id, size, key, slice, same`` of every row; ``same`` is the source, comparable also where it is null."""
+    unit = (F.pmod(F.xxhash64("doc_id", "text", F.lit(SEED)), F.lit(1 << 53)) + 0.5) / float(1 << 53)
+    same = F.struct(F.col("source").alias("source"))
+    sized = docs.select(*(p.alias("payload") for p in payload), "doc_id", same.alias("same"), n_words(F.col("text")).alias("size"), unit.alias("unit"))
+    if quality is None:
+        sized = sized.withColumn("weight", F.lit(1.0))
+    else:
+        marks = settle(quality.filter("doc_id is not null").select(F.col("doc_id").alias("marked"), F.col("weight").cast("double").alias("weight")))
+        sized = sized.join(if_small(marks), F.col("doc_id") == F.col("marked"), "left").drop("marked")
+    key = -F.log("unit") / F.greatest(F.coalesce("weight", F.lit(1.0)), F.lit(0.01))
+    return sized.withColumn("key", key).drop("unit", "weight").withColumn("slice", F.floor((1 - F.exp(-F.col("key"))) * SLICES))
+
+
+def _borders(rows: DataFrame, weights: tuple[int, ...]) -> DataFrame:
+    """One row per source: its target, complete epochs, the rest, and the slice of keys where the rest is reached."""
+    slices = rows.groupBy("same", "slice").agg(F.sum("size").alias("slice_size"))
+    # The sizes of one source's slices: at most SLICES rows in a window.
+    upto = Window.partitionBy("same").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = settle(slices.withColumn("before", F.coalesce(F.sum("slice_size").over(upto), F.lit(0))))
+    sizes = slices.groupBy("same").agg(F.sum("slice_size").alias("source_size"))
+    plan = targets(sizes.select("same.source", "source_size"), weights).select(F.struct("source").alias("same"), "source_size", "target")
+    plan = plan.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-9)).otherwise(0)).withColumn(
+        "rest", F.greatest(F.col("target") - F.col("epochs") * F.col("source_size"), F.lit(0.0))
+    )
+    reached = slices.join(plan, "same").filter("before <= rest").groupBy("same", "source_size", "target", "epochs", "rest")
+    border = reached.agg(F.max(F.struct("slice", "before")).alias("b"))
+    return settle(border.select(F.col("same").alias("at"), "source_size", "target", "epochs", "rest", F.col("b.slice").alias("border"), F.col("b.before").alias("before")))
+
+
+def _chosen(rows: DataFrame, border: DataFrame) -> DataFrame:
+    """``rows`` with ``source_size, target, epochs, chosen``; only the slices at the borders are sorted."""
+    joined = rows.join(if_small(border), F.col("same") == F.col("at"))
+    out = [*rows.columns, "source_size", "target", "epochs"]
+    upto = Window.partitionBy("same").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    at_border = joined.filter("slice = border").withColumn("ends", F.col("before") + F.sum("size").over(upto))
+    at_border = at_border.select(*out, (F.col("ends") - F.col("size") / 2 <= F.col("rest")).alias("chosen"))
+    return joined.filter("slice <> border").select(*out, (F.col("slice") < F.col("border")).alias("chosen")).unionByName(at_border)
+
+
 def mix(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """``doc_id, size, source_size, target, taken``, one row per row of ``docs`` (``doc_id, text, source``).
+    """``doc_id, size, source_size, target, taken, source``, one row per row of ``docs`` (``doc_id, text, source``).
 
     ``taken`` is how many words the mix takes of the document, repeats counted.
     Every source first gives its complete epochs: ``floor(target / source_size)``
@@ -63,43 +103,21 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[int, .
     No source is sorted whole: keys are cut into ``SLICES`` slices, whose sizes are
     added up first, and only the slice at the border is sorted row by row.
     """
-    unit = (F.pmod(F.xxhash64("doc_id", "text", F.lit(SEED)), F.lit(1 << 53)) + 0.5) / float(1 << 53)
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), unit.alias("unit"))
-    if quality is not None:
-        sized = sized.join(quality.select("doc_id", F.col("weight").cast("double").alias("weight")), "doc_id", "left")
-    else:
-        sized = sized.withColumn("weight", F.lit(1.0))
-    key = -F.log("unit") / F.greatest(F.coalesce("weight", F.lit(1.0)), F.lit(0.01))
-    rows = settle(
-        sized.select("doc_id", "source", "size", key.alias("key"))
-        .withColumn("slice", F.floor((1 - F.exp(-F.col("key"))) * SLICES))
-        .withColumn("same", F.struct("source"))  # a null source joins like any other
-    )
-    slices = rows.groupBy("same", "slice").agg(F.sum("size").alias("slice_size"))
-    # The sizes of one source's slices: at most SLICES rows in a window.
-    upto = Window.partitionBy("same").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.withColumn("before", F.coalesce(F.sum("slice_size").over(upto), F.lit(0)))
-    sizes = slices.groupBy("same").agg(F.sum("slice_size").alias("source_size"))
-    plan = targets(sizes.select("same.source", "source_size")).select(F.struct("source").alias("same"), "source_size", "target")
-    plan = settle(
-        plan.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-9)).otherwise(0))
-        .withColumn("rest", F.greatest(F.col("target") - F.col("epochs") * F.col("source_size"), F.lit(0.0)))
-    )
-    border = (
-        slices.join(plan, "same")
-        .filter("before <= rest")
-        .groupBy("same")
-        .agg(F.max(F.struct("slice", "before")).alias("b"), F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.first("epochs").alias("epochs"), F.first("rest").alias("rest"))
-    )
-    border = settle(border.select(F.col("same").alias("at"), "source_size", "target", "epochs", "rest", F.col("b.slice").alias("border"), F.col("b.before").alias("before")))
-    joined = rows.join(if_small(border), F.col("same") == F.col("at"))
-    sorted_ = Window.partitionBy("same").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    out = ["doc_id", "source", "size", "source_size", "target", "epochs"]
-    at_border = (
-        joined.filter("slice = border")
-        .withColumn("ends", F.col("before") + F.sum("size").over(sorted_))
-        .select(*out, (F.col("ends") - F.col("size") / 2 <= F.col("rest")).alias("chosen"))
+    rows = settle(_keyed(docs, quality))
+    taken = F.col("epochs") * F.col("size") + F.when(F.col("chosen"), F.col("size")).otherwise(0)
+    return _chosen(rows, _borders(rows, weights)).select(
+        "doc_id", "size", "source_size", "target", taken.cast("bigint").alias("taken"), F.col("same.source").alias("source")
     )
-    others = joined.filter("slice <> border").select(*out, (F.col("slice") < F.col("border")).alias("chosen"))
-    taken = (F.col("epochs") * F.col("size") + F.when(F.col("chosen"), F.col("size")).otherwise(0)).cast("bigint")
-    return others.unionByName(at_border).select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source")
+
+
+def mixed(docs: DataFrame, quality: DataFrame | None = None, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+    """The mix itself: the rows of ``docs`` with all their columns, each as often as ``mix`` takes it.
+
+    Documents without words are in no mix. Texts are read twice and, but for the
+    slices at the borders, not shuffled.
+    """
+    border = _borders(settle(_keyed(docs, quality)), weights)
+    rows = _chosen(_keyed(docs, quality, F.struct("*")), border)
+    copies = (F.col("epochs") + F.when(F.col("chosen"), 1).otherwise(0)).cast("int")
+    taken = rows.filter("size > 0").withColumn("copies", copies).filter("copies > 0")
+    return taken.select("payload", F.explode(F.expr("sequence(1, copies)")).alias("copy")).select("payload.*")

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import if_small, settle
+from .common import if_small, settle, without_rows
 from .linking import connected, linked
 
 HALVES = 32
@@ -123,7 +123,7 @@ def overlapping(percent: int):
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept``: groups of documents linked by ``100 * shared >= percent * union``.
+    """``doc_id, n_shingles, component_id, kept, text_hash``: groups of documents linked by ``100 * shared >= percent * union``.
 
     One row per row of ``docs`` (``doc_id, text``; further columns are not read).
     Candidates are found by tensored banding, links are confirmed on the full sets
@@ -198,8 +198,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     label = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = labelled.join(label, "root").select("set_key", "component_id")
     return (
-        signed.select("doc_id", "n_shingles", "set_key")
+        signed.select("doc_id", "n_shingles", "set_key", "text_hash")
         .join(labels, "set_key", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
-        .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .withColumn("component_id", F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
+        .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_hash")
     )
+
+
+def without_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns.
+
+    Rows are known by id and text, so rows that repeat both stay or go together.
+    """
+    gone = near_duplicates(docs, words, percent).filter("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    return without_rows(docs, gone)

@@ -33,7 +33,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return contaminated_words(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10).drop("text_hash")
 
 
 def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85).drop("text_hash")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import settle
@@ -17,6 +19,7 @@ EPOCHS = 4
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.2
 KNOWN_WORDS = 1 << 20
 SEED = 7
+THRESHOLD = 0.3
 
 _WORD = re.compile(r"\w+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -129,37 +132,39 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, epochs: i
     return [(r[0], r[1]) for r in ordered.mapInArrow(fit, "feature int, weight double").collect()]
 
 
-def score(docs: DataFrame, weights: list[tuple[int, float]], threshold: float = 0.3) -> DataFrame:
-    """``doc_id, held_out, score, predicted``, one row per row of ``docs``.
-
-    Whole texts are scored; a null or empty text gets the score of no feature.
-    Null and repeated ids stay rows of their own; further columns are not read.
-    """
-    dense = np.zeros(1 << BITS, np.float32)
-    bias = 0.0
-    for feature, weight in weights:
-        if feature < 0:
-            bias = weight
-        else:
-            dense[feature] = weight
-    index = np.flatnonzero(dense).astype(np.int32)
-    sent = docs.sparkSession.sparkContext.broadcast((index, dense[index]))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-
-    def judge(batches):
-        import pyarrow as pa
+def scorer(spark: SparkSession, weights: list[tuple[int, float]]):
+    """A function of a text column: the chance, 0 to 1, that the whole text is toxic; null counts as empty."""
+    bias = sum(w for f, w in weights if f < 0)
+    index = np.array([f for f, _ in weights if f >= 0], np.int32)
+    sent = spark.sparkContext.broadcast((index, np.array([w for f, w in weights if f >= 0], np.float32)))
 
+    @F.pandas_udf("double")
+    def chance(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index, values = sent.value
         weights = np.zeros(1 << BITS, np.float32)
         weights[index] = values
         features = Features()
-        for batch in batches:
+        for texts in batches:
             scores = []
-            for text in batch.column("text").to_pylist():
+            for text in texts:
                 found = features.all_of(text)
                 found = np.unique(found[weights[found] != 0])
                 scores.append(1 / (1 + math.exp(-max(-35.0, min(35.0, bias + float(weights[found].sum()))))))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+            yield pd.Series(scores, dtype="float64")
+
+    return chance
 
-    scored = docs.select("doc_id", "text").mapInArrow(judge, f"doc_id {id_type}, score double")
+
+def score(docs: DataFrame, weights: list[tuple[int, float]], threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id, held_out, score, predicted``, one row per row of ``docs``.
+
+    Whole texts are scored; a null or empty text gets the score of no feature.
+    Null and repeated ids stay rows of their own; further columns are not read.
+    """
+    scored = docs.select("doc_id", scorer(docs.sparkSession, weights)(F.col("text")).alias("score"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def without_toxic(docs: DataFrame, weights: list[tuple[int, float]], threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    return docs.filter(scorer(docs.sparkSession, weights)(F.col("text")) < threshold)
