@@ -115,7 +115,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     A passage is a run of neighbouring chunks, ``least_words`` words or more
     together, each of which occurs in a document that comes before this one; so
     the first document with a passage keeps it. ``first_doc_id`` is the first
-    document that has the run's first chunk. Rows of one id count as one document
+    document that has any of the run's chunks. Rows of one id count as one document
     (what they share with each other is no repeat); null ids come last and are
     documents of their own. Digests have 64 bits.
     """
@@ -132,7 +132,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
             F.min("first").alias("first"),
             F.max("last").alias("last"),
             F.sum("n_words").alias("n_words"),
-            F.min_by("origin", "chunk").alias("origin"),
+            F.min("origin").alias("origin"),
         )
         .filter(F.col("n_words") >= least_words)
         .select("doc_id", "doc", "first", "last", "n_words", F.when(F.col("origin") < (1 << 62), F.col("origin")).alias("first_doc_id"))

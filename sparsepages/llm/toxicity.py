@@ -129,7 +129,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, epochs: i
     made = settle(texts.mapInArrow(extract, "doc_id string, toxic int, features array<int>"))
     passes = made.withColumn("epoch", F.explode(F.array(*map(F.lit, range(epochs))))).withColumn("turn", F.xxhash64("doc_id", "epoch"))
     ordered = passes.repartition(1).sortWithinPartitions("epoch", "turn").select("toxic", "features")
-    return [(r[0], r[1]) for r in ordered.mapInArrow(fit, "feature int, weight double").collect()]
+    learned = ordered.mapInArrow(fit, "feature int, weight double").collect()  # 2**BITS rows at most
+    return [(r[0], r[1]) for r in learned] or [(-1, 0.0)]
 
 
 def scorer(spark: SparkSession, weights: list[tuple[int, float]]):
