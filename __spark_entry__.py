@@ -29,8 +29,9 @@ except ModuleNotFoundError as missing:  # the subpackage may be left out
     llm = pipeline = None
 
 URL = "https://example.org/{0}/info.0.json"
+PAGES_URL = "https://blog.tionsh.example.net/de/{0}"
+WIDE = 2**40
 LAST_URL = "https://example.org/info.0.json"
-KEY_BITS = 36  # no key of these tables comes near 2**36
 
 
 # ---- tables in their roles --------------------------------------------------
@@ -53,10 +54,10 @@ def _order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") + 1).alias("num"))
 
 
-def _landings(spark: SparkSession, sf_dir: str, with_last: bool = False) -> DataFrame:
+def _landings(spark: SparkSession, sf_dir: str, with_last: bool = False, first_num: int = 1) -> DataFrame:
     """Responses ``url, status, body, fetched_at`` of two sweeps over all documents."""
     documents, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
-    num = F.col("doc_id") + 1
+    num = F.col("doc_id") + first_num
     text = F.to_json(
         F.struct(
             num.alias("num"),
@@ -87,9 +88,9 @@ def _landings(spark: SparkSession, sf_dir: str, with_last: bool = False) -> Data
     )
     landed = first.unionByName(second)
     if with_last:
-        # The "latest" address serves the newest good record.
-        good = found.filter("toxic = 0 and quality = 1").select("doc_id", "json")
-        last = sp.latest_record(good, "doc_id").select(
+        # The "latest" address serves the newest good record, found from narrow columns.
+        good = documents.select("doc_id").join(labels.filter("toxic = 0 and quality = 1"), "doc_id")
+        last = found.filter(F.col("doc_id") == good.agg(F.max("doc_id")).scalar()).select(
             F.lit(LAST_URL).alias("url"),
             F.lit(200).alias("status"),
             F.col("json").alias("body"),
@@ -117,11 +118,16 @@ def expand_urls(spark, sf):
 
 def candidate_ids(spark, sf):
     low, high = _order_ids(spark, sf).agg(F.min("num"), F.max("num")).first()
-    return sp.candidate_ids(spark, low, high)
+    return sp.candidate_ids(spark, 1 if low is None else low, 0 if high is None else high)
+
+
+def with_ids(spark, sf):
+    return _responses(spark, sf, with_last=True).select("url", "num", "status", "body")
 
 
 def scan_responses(spark, sf):
-    return _responses(spark, sf, with_last=True).select("url", "num", "status", F.length("body").alias("body_length"))
+    """The file of ``pages`` read as landings: it has the addresses, and nothing of the other columns."""
+    return sp.scan_responses(spark, f"{sf}/pages.parquet", PAGES_URL).select("url", "num", "status", "body")
 
 
 def latest_response(spark, sf):
@@ -147,9 +153,10 @@ def project_model(spark, sf):
 
 
 def fill_defaults(spark, sf):
-    # The text of ``props`` has none of the record's fields.
-    decoded = sp.decode_records(_table(spark, sf, "events"), sp.RECORD, "props")
-    return sp.project_model(sp.fill_defaults(decoded), keep=["event_id"])
+    # The text of ``props`` has the first of these fields and none of the others.
+    schema = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("n", T.LongType()), T.StructField("t", T.StringType())])
+    decoded = sp.decode_records(_table(spark, sf, "events"), schema, "props")
+    return sp.project_model(sp.fill_defaults(decoded, schema), schema, ["event_id"])
 
 
 def classify_outcome(spark, sf):
@@ -180,12 +187,19 @@ def lookup_ids(spark, sf):
     return sp.lookup_ids(requests, catalogue, request_id="event_id")
 
 
+def lookup_ids_plain(spark, sf):
+    """Requests that hold nothing but the id."""
+    requests = _table(spark, sf, "events").select(F.when(F.col("user_id") % 3 > 0, F.col("user_id")).alias("num"))
+    catalogue = _table(spark, sf, "labels").select(F.col("doc_id").alias("num"), "quality")
+    return sp.lookup_ids(requests, catalogue)
+
+
 def next_existing(spark, sf):
-    return sp.next_existing(_label_ids(spark, sf), unique=True, key_bits=KEY_BITS)
+    return sp.next_existing(_label_ids(spark, sf), unique=True)
 
 
 def prev_existing(spark, sf):
-    return sp.prev_existing(_label_ids(spark, sf), unique=True, key_bits=KEY_BITS)
+    return sp.prev_existing(_label_ids(spark, sf), unique=True)
 
 
 def neighbours(spark, sf):
@@ -193,21 +207,21 @@ def neighbours(spark, sf):
 
 
 def neighbours_large(spark, sf):
-    return sp.neighbours(_order_ids(spark, sf), key_bits=KEY_BITS, bucket_bits=13)
+    return sp.neighbours(_order_ids(spark, sf), bucket_bits=13)
 
 
 def neighbours_of(spark, sf):
-    return sp.neighbours_of(_document_ids(spark, sf), _label_ids(spark, sf), key_bits=KEY_BITS)
+    return sp.neighbours_of(_document_ids(spark, sf), _label_ids(spark, sf))
 
 
 def neighbours_grouped(spark, sf):
     turns = _table(spark, sf, "conversations").select("conv_id", "turn")
-    steps = sp.neighbours(turns, "turn", by=["conv_id"], sentinel=None, floor=None, key_bits=KEY_BITS)
+    steps = sp.neighbours(turns, "turn", by=["conv_id"], sentinel=None, floor=None)
     return steps.withColumnsRenamed({"next_page": "next_turn", "prev_page": "prev_turn"})
 
 
 def end_sentinel(spark, sf):
-    steps = sp.neighbours(_label_ids(spark, sf), sentinel=None, unique=True, key_bits=KEY_BITS)
+    steps = sp.neighbours(_label_ids(spark, sf), sentinel=None, unique=True)
     return steps.select(
         "num",
         sp.end_sentinel(F.col("next_page"), -1).alias("next_page"),
@@ -217,7 +231,7 @@ def end_sentinel(spark, sf):
 
 def bounded_walk(spark, sf):
     good = _table(spark, sf, "labels").filter("quality = 1").select((F.col("doc_id") + 1).alias("num"))
-    return sp.bounded_walk(_document_ids(spark, sf), sp.largest_id(good), unique=True, key_bits=KEY_BITS)
+    return sp.bounded_walk(_document_ids(spark, sf), sp.largest_id(good), unique=True)
 
 
 def missing_ids(spark, sf):
@@ -225,30 +239,37 @@ def missing_ids(spark, sf):
 
 
 def gap_runs(spark, sf):
-    return sp.gap_runs(_order_ids(spark, sf), key_bits=KEY_BITS)
+    return sp.gap_runs(_order_ids(spark, sf))
 
 
 def assemble_pages(spark, sf):
     labels = _table(spark, sf, "labels").withColumn("num", F.col("doc_id") + 1)
     records = labels.select("num", F.struct("quality", "toxic").alias("record"))
-    steps = sp.neighbours(labels, unique=True, key_bits=KEY_BITS)
+    steps = sp.neighbours(labels, unique=True)
     return sp.assemble_pages(records, steps).select("num", "result.*", "next_page", "prev_page")
 
 
 def nav_links(spark, sf):
-    return sp.nav_links(sp.neighbours(_order_ids(spark, sf), key_bits=KEY_BITS))
+    return sp.nav_links(sp.neighbours(_order_ids(spark, sf)))
 
 
 def pages(spark, sf):
-    return _flat(sp.pages(_responses(spark, sf), key_bits=KEY_BITS))
+    return _flat(sp.pages(_responses(spark, sf)))
 
 
 def pages_up_to_latest(spark, sf):
-    return _flat(sp.pages(_responses(spark, sf, with_last=True), LAST_URL, key_bits=KEY_BITS))
+    return _flat(sp.pages(_responses(spark, sf, with_last=True), LAST_URL))
+
+
+def pages_wide(spark, sf):
+    """Ids that no 32-bit number holds."""
+    schema = T.StructType([T.StructField("num", T.LongType()), *sp.RECORD.fields[1:]])
+    responses = sp.with_ids(_landings(spark, sf, first_num=WIDE), URL)
+    return _flat(sp.pages(responses, schema=schema))
 
 
 def page_of(spark, sf):
-    return _flat(sp.page_of(_responses(spark, sf), 5))
+    return _flat(sp.page_of(_responses(spark, sf), 5, template=URL))
 
 
 def home_page(spark, sf):
@@ -257,7 +278,7 @@ def home_page(spark, sf):
 
 def home_page_numbered(spark, sf):
     """The newest label decides alone: without a "latest" address its record must decode."""
-    return _flat(sp.home_page(_responses(spark, sf)))
+    return _flat(sp.home_page(_responses(spark, sf), template=URL))
 
 
 def classify_routes(spark, sf):
@@ -265,7 +286,7 @@ def classify_routes(spark, sf):
 
 
 def classify_nav_links(spark, sf):
-    steps = sp.nav_links(sp.neighbours(_order_ids(spark, sf), key_bits=KEY_BITS))
+    steps = sp.nav_links(sp.neighbours(_order_ids(spark, sf)))
     return sp.classify_routes(steps.select("num", "next_url"), "next_url")
 
 
@@ -376,6 +397,61 @@ def rule_report_documents(spark, sf):
     return sp.rule_report(_table(spark, sf, "documents"), rules)
 
 
+def _contacts(spark, sf):
+    """Addresses of customers, good, bad, blank and absent."""
+    key = F.col("c_custkey").cast("string")
+    turn = F.col("c_custkey") % 5
+    mail = F.when(turn == 0, "").when(turn == 2, F.concat(F.lit("c"), key, F.lit("@example.org"))).when(turn == 3, F.concat(F.lit("no mail "), key)).when(turn == 4, " \t")
+    site = F.when(turn == 0, F.concat(F.lit("https://example.org/"), key)).when(turn == 1, F.concat(F.lit("example.org/"), key)).when(turn == 3, "").when(turn == 4, "ftp://h.example.org:21/a?b=c")
+    number = F.when(turn == 0, F.concat(F.lit("-"), key)).when(turn == 1, F.concat(key, F.lit(".5"))).when(turn == 2, F.concat(F.lit("x"), key)).when(turn == 4, "")
+    return _table(spark, sf, "customer").select("c_custkey", "c_acctbal", mail.alias("mail"), site.alias("site"), F.when(turn != 1, site).alias("site_again"), number.alias("number"))
+
+
+def rule_report_contacts(spark, sf):
+    rules = [
+        sp.Rule("mail", "required"),
+        sp.Rule("mail", "email"),
+        *sp.length_rule("mail", 12),
+        *sp.length_rule("mail", None, 12),
+        sp.Rule("mail", "nonalphamin", 2),
+        sp.Rule("mail", "regex", "c[0-9]+@.*"),
+        sp.Rule("site", "required"),
+        sp.Rule("site", "url"),
+        sp.Rule("site", "dateISO"),
+        sp.Rule("number", "required"),
+        sp.Rule("number", "number"),
+        sp.Rule("number", "digits"),
+        sp.Rule("number", "creditcard"),
+        *sp.range_rule("number", 0),
+        *sp.range_rule("number", None, 100),
+        sp.Rule("number", "date"),
+        sp.Rule("mail", "lower case", test=lambda c: c == F.lower(c)),
+        sp.Rule("site", "equalTo", "site_again"),
+        sp.Rule("site", "required", when="c_acctbal > 0"),
+        sp.Rule("number", "digits", when=F.col("site") != ""),
+    ]
+    return sp.rule_report(_contacts(spark, sf), rules)
+
+
+def rule_report_conditional(spark, sf):
+    rules = [
+        *sp.range_rule("o_totalprice", None, 200000),
+        sp.Rule("o_totalprice", "max", 200000, when="o_orderstatus = 'F'"),
+        sp.Rule("o_orderpriority", "regex", "[1-3]-.*", when=F.col("o_totalprice") > 100000),
+        sp.Rule("o_custkey", "min", 20, when="nullif(o_orderstatus, 'O') <> 'P'"),
+    ]
+    return sp.rule_report(_table(spark, sf, "orders"), rules)
+
+
+def rule_quarantine_conditional(spark, sf):
+    rules = [
+        sp.Rule("l_quantity", "range", (1, 40), when="l_linenumber > 2"),
+        sp.Rule("l_discount", "max", 0.05, when=F.col("l_returnflag") == "N"),
+    ]
+    bad = sp.rule_quarantine(_table(spark, sf, "lineitem"), rules)[1]
+    return bad.select("l_orderkey", "l_linenumber", "l_partkey", "first_failure")
+
+
 def _quarantine_rules() -> list[sp.Rule]:
     return [
         *sp.range_rule("l_quantity", 1, 40),
@@ -410,6 +486,7 @@ def rule_clean(spark, sf):
 _QUERIES = [
     expand_urls,
     candidate_ids,
+    with_ids,
     scan_responses,
     latest_response,
     latest_per_group,
@@ -423,6 +500,7 @@ _QUERIES = [
     latest_record,
     lookup_id,
     lookup_ids,
+    lookup_ids_plain,
     next_existing,
     prev_existing,
     neighbours,
@@ -437,6 +515,7 @@ _QUERIES = [
     nav_links,
     pages,
     pages_up_to_latest,
+    pages_wide,
     page_of,
     home_page,
     home_page_numbered,
@@ -452,6 +531,9 @@ _QUERIES = [
     rule_report_lineitem,
     rule_report_orders,
     rule_report_documents,
+    rule_report_contacts,
+    rule_report_conditional,
+    rule_quarantine_conditional,
     tag_failures,
     rule_quarantine,
     rule_clean,
@@ -512,14 +594,14 @@ _FOUND = """
 _UTF16 = "(length({0}) + length(regexp_replace({0}, '[^\\x{{10000}}-\\x{{10FFFF}}]', '', 'g')))"
 
 
-def _line(table: str, col: str, rule: str, passes: str) -> str:
+def _line(table: str, col: str, rule: str, passes: str, when: str = "true") -> str:
     return (
         f"select '{col}' as col, '{rule}' as rule, count(*) as checked, "
-        f"cast(count(*) filter (where not coalesce({passes}, false)) as bigint) as failed from {table}"
+        f"cast(count(*) filter (where not coalesce({passes}, false)) as bigint) as failed from {table} where {when}"
     )
 
 
-def _report(table: str, lines: list[tuple[str, str, str]]) -> str:
+def _report(table: str, lines: list[tuple[str, ...]]) -> str:
     return " union all ".join(_line(table, *line) for line in lines)
 
 
@@ -527,25 +609,41 @@ def oracle_sql() -> dict[str, str]:
     url_length, html_length = "length(url)", _UTF16.format("trim(html, E' \\t\\n\\r')")
     text_length = _UTF16.format("trim(text, E' \\t\\n\\r')")
     def luhn(digits: str) -> str:
-        digit = f"substr(reverse({digits}), i, 1)::int"
+        digit = f"try_cast(substr(reverse({digits}), i, 1) as integer)"
         return f"""list_sum(list_transform(range(1, length({digits}) + 1), lambda i:
             case when i % 2 = 1 then {digit} else (2 * {digit}) // 10 + (2 * {digit}) % 10 end)) % 10 = 0"""
 
+    def blank(column: str) -> str:
+        return f"(trim(coalesce({column}, ''), E' \\t') = '')"
+
+    contacts = """(
+        select *, c_custkey % 5 as turn,
+               case turn when 0 then '' when 2 then 'c' || c_custkey || '@example.org' when 3 then 'no mail ' || c_custkey
+                         when 4 then E' \\t' end as mail,
+               case turn when 0 then 'https://example.org/' || c_custkey when 1 then 'example.org/' || c_custkey when 3 then ''
+                         when 4 then 'ftp://h.example.org:21/a?b=c' end as site,
+               case turn when 0 then '-' || c_custkey when 1 then c_custkey || '.5' when 2 then 'x' || c_custkey
+                         when 4 then '' end as number
+        from customer)"""
     outcome = """
         case when l.doc_id is null then 'missing'
              when l.toxic = 1 or l.quality = 0 then 'malformed' else 'ok' end"""
     own = {
         "expand_urls": "select doc_id + 1 as num, 'https://example.org/' || (doc_id + 1) || '/info.0.json' as url from documents",
         "candidate_ids": "select unnest(generate_series((select min(l_orderkey) + 1 from lineitem), (select max(l_orderkey) + 1 from lineitem))) as num",
-        "scan_responses": f"""
+        "with_ids": f"""
             with {_FOUND}
             select 'https://example.org/' || (doc_id + 1) || '/info.0.json' as url, doc_id + 1 as num,
-                   404 as status, 9::integer as body_length from documents
+                   404 as status, 'not found' as body from documents
             union all
-            select 'https://example.org/' || num || '/info.0.json', num, status, cast(length(body) as integer) from f
+            select 'https://example.org/' || num || '/info.0.json', num, status, body from f
             union all
-            select 'https://example.org/info.0.json', null, 200, cast(arg_max(length(body), num) as integer) from f
+            select 'https://example.org/info.0.json', null, 200, arg_max(body, num) from f
             where toxic = 0 and quality = 1 having count(*) > 0""",
+        "scan_responses": """
+            select url, null::integer as status, null::varchar as body,
+                   try_cast(regexp_extract(url, '^https://blog\\.tionsh\\.example\\.net/de/(0|[1-9][0-9]*)$', 1) as bigint) as num
+            from pages""",
         "latest_response": f"""
             with {_FOUND}
             select 'https://example.org/' || (doc_id + 1) || '/info.0.json' as url,
@@ -555,7 +653,7 @@ def oracle_sql() -> dict[str, str]:
         "filter_existing": "select doc_id + 1 as num, case when toxic = 1 then 500 else 200 end as status from labels join documents using (doc_id)",
         "decode_records": "select event_id, cast(json_extract_string(props, '$.k') as integer) as k from events",
         "project_model": f"select {_PAGE} from labels l join (select doc_id + 1 as num, * from documents) e using (doc_id) join documents d using (doc_id) where toxic = 0 and quality = 1",
-        "fill_defaults": "select event_id, 0 as num, null::varchar as title, null::varchar as img, null::varchar as alt, null::varchar as month from events",
+        "fill_defaults": "select event_id, coalesce(cast(props->>'k' as integer), 0) as k, 0::bigint as n, null::varchar as t from events",
         "classify_outcome": f"select d.doc_id + 1 as num, case when l.doc_id is null then 404 when l.toxic = 1 then 500 else 200 end as status, {outcome} as outcome from documents d left join labels l using (doc_id)",
         "quarantine_good": f"select {_PAGE} from labels l join (select doc_id + 1 as num, * from documents) e using (doc_id) join documents d using (doc_id) where toxic = 0 and quality = 1",
         "quarantine_bad": f"""
@@ -567,6 +665,7 @@ def oracle_sql() -> dict[str, str]:
         "latest_record": "select doc_id, quality from labels order by doc_id desc limit 1",
         "lookup_id": "select o_orderkey, o_orderstatus, o_totalprice from orders where o_orderkey = 7",
         "lookup_ids": "select event_id, user_id as num, quality, l.doc_id is not null as found from events left join labels l on user_id = l.doc_id",
+        "lookup_ids_plain": "select num, quality, l.doc_id is not null as found from (select case when user_id % 3 > 0 then user_id end as num from events) left join labels l on num = l.doc_id",
         "next_existing": f"with {_EXISTING} select num, next_page from e",
         "prev_existing": f"with {_EXISTING} select num, prev_page from e",
         "neighbours": f"with {_EXISTING} select num, next_page, prev_page from e",
@@ -592,6 +691,17 @@ def oracle_sql() -> dict[str, str]:
             c as (select num, quality, toxic, prev_page, case when next_page <= last then next_page else 0 end as next_page from e, b)
             select {_PAGE}, next_page, prev_page, {_LINKS}
             from c e join documents d on d.doc_id + 1 = e.num where toxic = 0 and quality = 1""",
+        "pages_wide": f"""
+            with {_EXISTING},
+            w as (
+                select e.num - 1 as doc_id, e.num - 1 + {WIDE} as num, quality, toxic,
+                       case when next_page <> 0 then next_page - 1 + {WIDE} else 0 end as next_page,
+                       case when prev_page <> 0 then prev_page - 1 + {WIDE} else 0 end as prev_page
+                from e
+            )
+            select e.num as num, d.lang as title, d.source as img, d.text as alt, cast(d.n_chars as varchar) as month,
+                   next_page, prev_page, {_LINKS}
+            from w e join documents d using (doc_id) where toxic = 0 and quality = 1""",
         "page_of": f"with {_EXISTING} select {_PAGE}, next_page, prev_page, {_LINKS} from e join documents d on d.doc_id + 1 = e.num where e.num = 5 and toxic = 0 and quality = 1",
         "home_page": f"""
             with {_EXISTING}
@@ -685,6 +795,47 @@ def oracle_sql() -> dict[str, str]:
                 ("text", "dateISO", "regexp_full_match(text, '[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}')"),
             ],
         ),
+        "rule_report_contacts": _report(
+            contacts,
+            [
+                ("mail", "required", f"not {blank('mail')}"),
+                ("mail", "email", f"{blank('mail')} or mail like '%@%'"),
+                ("mail", "minlength", f"{blank('mail')} or length(trim(mail)) >= 12"),
+                ("mail", "maxlength", f"{blank('mail')} or length(trim(mail)) <= 12"),
+                ("mail", "nonalphamin", "length(regexp_replace(mail, '[A-Za-z0-9_]', '', 'g')) >= 2"),
+                ("mail", "regex", f"{blank('mail')} or regexp_full_match(mail, 'c[0-9]+@.*')"),
+                ("site", "required", f"not {blank('site')}"),
+                ("site", "url", f"{blank('site')} or site like '%://%'"),
+                ("site", "dateISO", blank("site")),
+                ("number", "required", f"not {blank('number')}"),
+                ("number", "number", f"{blank('number')} or regexp_full_match(number, '-?[0-9]+(\\.[0-9]+)?')"),
+                ("number", "digits", f"{blank('number')} or regexp_full_match(number, '[0-9]+')"),
+                ("number", "creditcard", f"{blank('number')} or (regexp_full_match(number, '-[0-9]+') and {luhn("replace(number, '-', '')")})"),
+                ("number", "min", f"{blank('number')} or try_cast(number as double) >= 0"),
+                ("number", "max", f"{blank('number')} or try_cast(number as double) <= 100"),
+                ("number", "date", blank("number")),
+                ("mail", "lower case", "mail = lower(mail)"),
+                ("site", "equalTo", "turn <> 1"),
+                ("site", "required", f"not {blank('site')}", "c_acctbal > 0"),
+                ("number", "digits", f"{blank('number')} or regexp_full_match(number, '[0-9]+')", "site <> ''"),
+            ],
+        ),
+        "rule_report_conditional": _report(
+            "orders",
+            [
+                ("o_totalprice", "max", "o_totalprice <= 200000"),
+                ("o_totalprice", "max", "o_totalprice <= 200000", "o_orderstatus = 'F'"),
+                ("o_orderpriority", "regex", "regexp_full_match(o_orderpriority, '[1-3]-.*')", "o_totalprice > 100000"),
+                ("o_custkey", "min", "o_custkey >= 20", "nullif(o_orderstatus, 'O') <> 'P'"),
+            ],
+        ),
+        "rule_quarantine_conditional": """
+            select * from (
+                select l_orderkey, l_linenumber, l_partkey,
+                       case when l_linenumber > 2 and l_quantity not between 1 and 40 then 'range'
+                            when l_returnflag = 'N' and l_discount > 0.05::double then 'max' end as first_failure
+                from lineitem)
+            where first_failure is not null""",
         "tag_failures": """
             select *, coalesce(quantity_failure, discount_failure) as first_failure from (
                 select l_orderkey, l_linenumber, l_partkey,

@@ -46,32 +46,51 @@ def _segment_regex(segment: str, names: list[str]) -> str:
     return out + re.escape(segment[at:])
 
 
-def _template_regex(route: Route) -> tuple[str, list[str]]:
-    """Pattern for a whole path without its leading slash, and its group names."""
-    names: list[str] = []
-    segments = route.template.split("/")
-    tail = ""
-    last = _PARAM.fullmatch(segments[-1])
-    if last and last.group(1):
-        segments.pop()
-        tail = "(?:/(.*))?"
-    parts = [(s, _segment_regex(s, names)) for s in segments]
-    if tail:
-        names.append(last.group(2))
+def _literal(segment: Column, text: str) -> Column:
+    """Equal but for the case of ASCII letters; other letters that lower to the same are longer in bytes."""
+    same = F.lower(segment) == text.lower()
+    return same & (F.octet_length(segment) == len(text.encode()))
 
+
+def _fits(route: Route, segments: Column, count: Column) -> tuple[Column, dict[str, Column]]:
+    """Does the template fit the segments of a path, and which values do its parameters take?
+
+    ``count`` is the number of segments without an empty one at the end. Only
+    segments that mix a parameter with other text are matched by a pattern.
+    """
+    parts = route.template.split("/")
+    last = _PARAM.fullmatch(parts[-1])
+    rest = last.group(2) if last and last.group(1) else None
+    if rest:
+        parts.pop()
     # Only a run of defaulted parameters at the end may be left out.
     required = len(parts)
-    while required:
-        m = _PARAM.fullmatch(parts[required - 1][0])
-        if not m or m.group(2) not in route.defaults:
-            break
+    while required and (m := _PARAM.fullmatch(parts[required - 1])) and m.group(2) in route.defaults:
         required -= 1
-    pattern = "/".join(p for _, p in parts[:required])
-    optional = ""
-    for i in range(len(parts) - 1, required - 1, -1):
-        optional = f"(?:{'/' if i else ''}{parts[i][1]}{optional})?"
-    end = tail if tail else "/?"
-    return f"(?is)^{pattern}{optional}{end}\\z", names
+    if rest and required < len(parts):
+        raise ValueError(f"parameters before {{*{rest}}} cannot have defaults: {route.template!r}")
+
+    test = F.size(segments) >= required if rest else count.between(required, len(parts))
+    values: dict[str, Column] = {}
+    for i, part in enumerate(parts):
+        segment = F.get(segments, F.lit(i))
+        whole, names = _PARAM.fullmatch(part), []
+        pattern = "(?is)^" + _segment_regex(part, names) + "\\z"
+        if whole:
+            good, values[whole.group(2)] = segment != "", segment
+        elif names:
+            good = segment.rlike(pattern)
+            values |= {name: F.regexp_extract(segment, pattern, names.index(name) + 1) for name in names}
+        else:
+            good = _literal(segment, part)
+        test = test & (good if i < required else (count <= i) | good)
+    if rest:
+        values[rest] = F.array_join(F.slice(segments, required + 1, F.greatest(F.size(segments) - required, F.lit(0))), "/")
+    return F.coalesce(test, F.lit(False)), values
+
+
+def path_segments(path: Column) -> Column:
+    return F.split(path, "/")
 
 
 def url_path(url: Column) -> Column:
@@ -85,24 +104,28 @@ def route_match(
     path: Column,
     routes: Sequence[Route] = DEFAULT_ROUTES,
     outputs: Sequence[str] = ("controller", "action", "id"),
+    segments: Column | None = None,
 ) -> Column:
     """Struct of ``route`` and the route values; first template that fits wins.
 
     An ignored path gets the route name ``ignored`` and no values; a path that
-    fits nothing gets NULL throughout.
+    fits nothing gets NULL throughout. ``segments`` hands in ``path_segments`` of
+    the path, so that it is split once for all templates.
     """
+    segments = path_segments(path) if segments is None else segments
+    ends_empty = F.element_at(segments, -1) == ""
+    count = F.size(segments) - ends_empty.cast("int")
     chain = None
     for route in routes:
-        pattern, names = _template_regex(route)
+        hit, values = _fits(route, segments, count)
         fields = [F.lit(IGNORED if route.ignore else route.name).alias("route")]
         for name in outputs:
             value = F.lit(None).cast("string")
             if not route.ignore:
                 value = F.lit(route.defaults.get(name)).cast("string")
-                if name in names:
-                    found = F.regexp_extract(path, pattern, names.index(name) + 1)
-                    value = F.coalesce(F.nullif(found, F.lit("")), value)
+                if name in values:
+                    value = F.coalesce(F.nullif(values[name], F.lit("")), value)
             fields.append(value.alias(name))
-        hit, result = path.rlike(pattern), F.struct(*fields)
+        result = F.struct(*fields)
         chain = F.when(hit, result) if chain is None else chain.when(hit, result)
     return chain

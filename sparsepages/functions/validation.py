@@ -62,6 +62,7 @@ _URL = (
 )
 _URL_BAD_ESCAPE = "%(?![0-9a-fA-F]{2})"
 
+# The forms of text that the rules accept.
 _DATE_ISO = r"\A[0-9]{4}[-/][0-9]{1,2}[-/][0-9]{1,2}\z"
 _NUMBER = r"\A-?(?:[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+)?(?:\.[0-9]+)?\z"
 _DIGITS = r"\A[0-9]+\z"
@@ -74,13 +75,23 @@ class Rule:
 
     ``param`` is the bound, the pair of bounds, the pattern or the other
     column's name. A rule of your own gives ``test``, called with the column
-    and returning a boolean column.
+    and returning a boolean column. With ``when``, a boolean column or SQL
+    text, the rule holds only where that is true: other rows, also where it is
+    NULL, are neither checked nor failed.
     """
 
     column: str
     name: str
     param: Any = None
     test: Callable[[Column], Column] | None = None
+    when: Column | str | None = None
+
+
+def applies(rule: Rule) -> Column | None:
+    """Where the rule holds, never NULL; ``None`` for every row."""
+    if rule.when is None:
+        return None
+    return F.coalesce(F.expr(rule.when) if isinstance(rule.when, str) else rule.when, F.lit(False))
 
 
 def field_text(value: Column) -> Column:
@@ -118,16 +129,19 @@ def luhn_valid(text: Column) -> Column:
     pairs = (F.call_function("div", number, F.lit(100**k)) % 100 for k in range(_LONG_DIGITS // 2))
     short = reduce(lambda a, b: a + b, (F.get(F.lit(_PAIRS), pair.cast("int")) for pair in pairs))
 
-    # Longer than any card number: write every digit as that many strokes.
+    # Longer than any card number: count each digit at both kinds of places by
+    # what its removal takes away, so memory grows with the text only.
     backwards = F.reverse(digits)
-    doubled = F.translate(F.regexp_replace(backwards, ".(.?)", "$1"), "0123456789", "".join(map(str, _DOUBLED)))
-    strokes = F.concat(F.regexp_replace(backwards, "(.).?", "$1"), doubled)
-    for d in (0, 2, 3, 4, 5, 6, 7, 8, 9):
-        strokes = F.replace(strokes, F.lit(str(d)), F.lit("1" * d))
+    places = (F.regexp_replace(backwards, "(.).?", "$1"), F.regexp_replace(backwards, ".(.?)", "$1"))
+    total = F.lit(0).cast("bigint")
+    for kept, worth in zip(places, (range(10), _DOUBLED)):
+        for d in range(1, 10):
+            seen = F.length(kept) - F.length(F.replace(kept, F.lit(str(d)), F.lit("")))
+            total = total + seen.cast("bigint") * worth[d]
 
     # ``short`` stands outside the CASE, so that Catalyst converts the number once.
     is_long = F.length(digits) > _LONG_DIGITS
-    return (~is_long & (short % 10 == 0)) | F.when(is_long, F.length(strokes) % 10 == 0).otherwise(False)
+    return (~is_long & (short % 10 == 0)) | F.when(is_long, total % 10 == 0).otherwise(False)
 
 
 def _is_email(text: Column) -> Column:

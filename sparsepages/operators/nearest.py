@@ -5,8 +5,9 @@ cut into buckets of ``2**bucket_bits`` consecutive values. Ids are distinct, so
 a bucket cannot hold more rows than that, however uneven the collection is.
 Neighbours inside a bucket come from a window per bucket; those across a bucket
 edge come from a table with one row per non-empty bucket, which is itself cut
-into blocks of ``2**STEP_BITS`` until at most ``2**TOP_BITS`` rows can be left.
-Only that last, bounded step is a window without partitions.
+into blocks of ``2**STEP_BITS`` until at most ``2**TOP_BITS`` rows can be left,
+which the type of the ids decides: one such level for 64-bit ids, none for
+32-bit ones. Only that last, bounded step is a window without partitions.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from pyspark.sql import types as T
 
 from sparsepages.schema import SENTINEL
 
-BUCKET_BITS = 16
-STEP_BITS = 16
+BUCKET_BITS = 22
+STEP_BITS = 21
 TOP_BITS = 20
 
 
@@ -29,12 +30,12 @@ def end_sentinel(neighbour: Column, sentinel: int | None = SENTINEL) -> Column:
     return neighbour if sentinel is None else F.coalesce(neighbour, F.lit(sentinel))
 
 
-def _key_bits(df: DataFrame, key: str, given: int | None) -> int:
+def _key_bits(df: DataFrame, key: str) -> int:
     kind = df.schema[key].dataType
     widths = {T.ByteType: 7, T.ShortType: 15, T.IntegerType: 31, T.LongType: 63}
     if type(kind) not in widths:
         raise ValueError(f"ids must be whole numbers, not {kind.simpleString()}")
-    return given or widths[type(kind)]
+    return widths[type(kind)]
 
 
 def _outside(blocks: DataFrame, by: list[str], order: str) -> DataFrame:
@@ -89,18 +90,15 @@ def neighbours(
     floor: int | None = SENTINEL,
     unique: bool = False,
     bucket_bits: int = BUCKET_BITS,
-    key_bits: int | None = None,
 ) -> DataFrame:
     """Each existing id with its ``next_page`` and ``prev_page``.
 
     ``by`` makes one sequence per group. Ids up to ``floor`` do not exist.
     ``unique`` skips the de-duplication when the caller knows there is nothing
-    to remove. ``key_bits`` is the number of bits the largest id needs, if
-    less than its type allows: it saves steps, and a wrong value costs speed
-    only.
+    to remove.
     """
     by = list(by)
-    bits = _key_bits(ids, key, key_bits)
+    bits = _key_bits(ids, key)
     keys = _above(ids.select(*by, key), key, floor)
     block = F.shiftright(key, bucket_bits).alias("__block")
     blocks = keys.groupBy(*by, block).agg(F.min(key).alias("__lo"), F.max(key).alias("__hi"))
@@ -136,11 +134,10 @@ def neighbours_of(
     sentinel: int | None = SENTINEL,
     floor: int | None = SENTINEL,
     bucket_bits: int = BUCKET_BITS,
-    key_bits: int | None = None,
 ) -> DataFrame:
     """The existing neighbours of any id, itself existing or not; one row per distinct probe."""
     by = list(by)
-    bits = _key_bits(ids, key, key_bits)
+    bits = _key_bits(ids, key)
     marked = (
         _above(ids.select(*by, key), key, floor)
         .withColumn("__exists", F.lit(True))

@@ -37,6 +37,11 @@ def filter_existing(df: DataFrame) -> DataFrame:
     return df.filter(_is_found(F.col("status")))
 
 
+def blank_missing(df: DataFrame, body: str = "body") -> DataFrame:
+    """No body where nothing was found: what says so is long, and nothing reads it."""
+    return df.withColumn(body, F.when(_is_found(F.col("status")), F.col(body)))
+
+
 def existing_ids(responses: DataFrame, key: str = "num", version: str = "fetched_at") -> DataFrame:
     """Distinct ids whose newest landing was found.
 

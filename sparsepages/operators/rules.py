@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparsepages.functions.validation import Rule, field_text, rule_passes, trimmed
+from sparsepages.functions.validation import Rule, applies, field_text, rule_passes, trimmed
 from sparsepages.operators.once import computed_once
 
 
@@ -28,24 +28,27 @@ def _prepared(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[Col
     tests = []
     for rule in rules:
         shared = (F.col(f"__text_{rule.column}"), F.col(f"__bare_{rule.column}")) if rule.column in texts else ()
-        tests.append(rule_passes(rule, df.schema[rule.column].dataType, *shared))
+        passes, where = rule_passes(rule, df.schema[rule.column].dataType, *shared), applies(rule)
+        tests.append(passes if where is None else ~where | passes)
     return table, tests
 
 
 def rule_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows checked and rows failed per rule, all rules in one pass.
 
-    The aggregate leaves one row, which is then turned into one per rule.
+    A rule with a condition checks the rows that meet it. The aggregate leaves
+    one row, which is then turned into one per rule.
     """
     table, tests = _prepared(df, rules)
     failed = [F.count(F.when(~test, 1)).alias(f"f{i}") for i, test in enumerate(tests)]
-    totals = table.agg(F.count("*").alias("checked"), *failed)
+    checked = [F.count("*" if (where := applies(rule)) is None else F.when(where, 1)).alias(f"c{i}") for i, rule in enumerate(rules)]
+    totals = table.agg(*checked, *failed)
     lines = F.array(
         *[
             F.struct(
                 F.lit(rule.column).alias("col"),
                 F.lit(rule.name).alias("rule"),
-                F.col("checked"),
+                F.col(f"c{i}").alias("checked"),
                 F.col(f"f{i}").alias("failed"),
             )
             for i, rule in enumerate(rules)

@@ -28,9 +28,8 @@ EXCLUDED_HANDLERS = (
 
 ITEMS_PER_SECOND = 5  # fixed value: the target rate
 
-# Spark filters ranks in the map tasks, before the shuffle, up to this limit.
-_MAP_SIDE_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
-_DEALS = (4096, 64)
+# Parts into which a time bucket is dealt, one round after the other.
+_DEALS = (4096, 64, 1)
 
 # A time bucket holding more than one request in this many is crowded.
 _CROWDED = 65_536
@@ -84,18 +83,17 @@ def cap_rate(
 ) -> DataFrame:
     """Keep the first ``limit`` requests of every time bucket, by time and id.
 
-    Spark applies a small limit in the map tasks already, so a crowded bucket
-    moves at most ``limit`` rows per task. For a larger limit the bucket is
-    dealt into many parts, then fewer, each capped on its own: the first
-    ``limit`` overall are among the first ``limit`` of their part, so the
-    result is the same and no task ranks more than a few dozen times ``limit``.
+    A bucket is dealt into many parts, then fewer, then one, each capped on its
+    own: the first ``limit`` overall are among the first ``limit`` of their part,
+    so the result is the same, and after the first round no task ranks more than
+    64 times ``limit`` rows of a bucket, however crowded it is and whatever the
+    limit. Each round caps in the map tasks as well where Spark does that.
     """
     bucket = time_bucket(F.col(ts), requests.schema[ts].dataType, seconds)
     capped = requests.withColumn("__bucket", bucket)
     # A request without a time belongs to no bucket: it gets one of its own.
     groups = ["__bucket", F.when(F.col("__bucket").isNull(), F.col(request_id)), *by]
-    map_side = limit <= int(requests.sparkSession.conf.get(_MAP_SIDE_LIMIT))
-    for parts in (1,) if map_side else (*_DEALS, 1):
+    for parts in _DEALS:
         part = [F.pmod(F.xxhash64(request_id), F.lit(parts))] if parts > 1 else []
         order = Window.partitionBy(*groups, *part).orderBy(ts, request_id)
         capped = capped.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= limit)

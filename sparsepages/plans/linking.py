@@ -9,10 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparsepages.operators.lookup import lookup_id
 from sparsepages.operators.nearest import clip_next, end_sentinel, largest_id, neighbours
 from sparsepages.operators.responses import (
+    blank_missing,
     classify_outcome,
     decode_records,
     existing_ids,
@@ -20,7 +22,7 @@ from sparsepages.operators.responses import (
     latest_response,
     quarantine,
 )
-from sparsepages.schema import SENTINEL
+from sparsepages.schema import RECORD, SENTINEL
 from sparsepages.sources.landings import url_for
 
 PAGE_TEMPLATE = "/comics/{0}"  # fixed value: the address of a page
@@ -31,26 +33,28 @@ def _newest(responses: DataFrame, key: str = "num") -> DataFrame:
     return latest_response(landed.select(key, "fetched_at", "status", "body"), key).drop("fetched_at")
 
 
-def _decoded(newest: DataFrame) -> DataFrame:
-    return classify_outcome(fill_defaults(decode_records(newest)))
+def _decoded(newest: DataFrame, schema: T.StructType) -> DataFrame:
+    return classify_outcome(fill_defaults(decode_records(newest, schema), schema))
 
 
 def _ids(responses: DataFrame) -> DataFrame:
     return existing_ids(responses).filter(F.col("num") > SENTINEL)
 
 
-def classified_records(responses: DataFrame, key: str = "num") -> DataFrame:
+def classified_records(responses: DataFrame, key: str = "num", schema: T.StructType = RECORD) -> DataFrame:
     """Newest landing per id, decoded, with defaults filled in and an outcome."""
-    return _decoded(_newest(responses, key))
+    return _decoded(_newest(responses, key), schema)
 
 
-def _record_at(responses: DataFrame, url: str) -> DataFrame:
+def _record_at(responses: DataFrame, url: str, schema: T.StructType) -> DataFrame:
     landed = responses.filter(F.col("url") == url).select("url", "fetched_at", "status", "body")
-    good, _ = quarantine(_decoded(latest_response(landed)))
+    good, _ = quarantine(_decoded(latest_response(landed), schema))
     return good.select(F.col("record.num").cast("bigint").alias("num"), "record")
 
 
-def last_id(responses: DataFrame, largest: Column, last_url: str | None = None) -> Column:
+def last_id(
+    responses: DataFrame, largest: Column, last_url: str | None = None, schema: T.StructType = RECORD
+) -> Column:
     """Upper bound of the search for a next page.
 
     The number inside the record at ``last_url``, if that address has landed
@@ -58,7 +62,7 @@ def last_id(responses: DataFrame, largest: Column, last_url: str | None = None)
     """
     if last_url is None:
         return largest
-    return F.coalesce(_record_at(responses, last_url).agg(F.max("num")).scalar(), largest)
+    return F.coalesce(_record_at(responses, last_url, schema).agg(F.max("num")).scalar(), largest)
 
 
 def _envelope(linked: DataFrame, key: str = "num") -> DataFrame:
@@ -81,28 +85,37 @@ def nav_links(df: DataFrame, template: str = PAGE_TEMPLATE, sentinel: int = SENT
     return df
 
 
-def pages(responses: DataFrame, last_url: str | None = None, **options) -> DataFrame:
+def pages(
+    responses: DataFrame, last_url: str | None = None, schema: T.StructType = RECORD, **options
+) -> DataFrame:
     """Every page of the collection, linked.
 
     Ids are found from three narrow columns in a branch of their own. Bodies
-    are shuffled once, by id, to pick the newest; that leaves them partitioned
-    and sorted for the join, where only ``steps`` moves, and the join drops
-    what was not found before any text is parsed. ``options`` go to
-    ``neighbours``.
+    are shuffled once, by id, to pick the newest, without those of landings that
+    found nothing; that leaves them partitioned and sorted for the join, where
+    only ``steps`` moves, and the join drops what was not found before any text
+    is parsed. ``options`` go to ``neighbours``.
     """
     ids = _ids(responses)
     steps = neighbours(ids, unique=True, **options)
     if last_url is not None:
-        last = last_id(responses, largest_id(ids), last_url)
+        last = last_id(responses, largest_id(ids), last_url, schema)
         steps = steps.withColumn("next_page", clip_next(F.col("next_page"), last))
-    good, _ = quarantine(_decoded(_newest(responses).join(steps, "num")))
+    good, _ = quarantine(_decoded(_newest(blank_missing(responses)).join(steps, "num"), schema))
     return nav_links(_envelope(good))
 
 
-def page_of(responses: DataFrame, num: int, last_url: str | None = None) -> DataFrame:
+def page_of(
+    responses: DataFrame,
+    num: int,
+    last_url: str | None = None,
+    template: str | None = None,
+    schema: T.StructType = RECORD,
+) -> DataFrame:
     """The page of one id; no row when it is missing or malformed.
 
-    One aggregate over the ids, to a single row, instead of the page table.
+    One aggregate over the ids, to a single row, instead of the page table. With
+    the address ``template`` the scan reads no bodies but those of the page.
     """
     at = F.lit(num).cast("bigint")
     near = _ids(responses).agg(
@@ -110,15 +123,15 @@ def page_of(responses: DataFrame, num: int, last_url: str | None = None) -> Data
         F.min(F.when(F.col("num") > at, F.col("num"))).alias("after"),
         F.max(F.when(F.col("num") < at, F.col("num"))).alias("before"),
     )
-    last = last_id(responses, F.col("largest"), last_url)
+    last = last_id(responses, F.col("largest"), last_url, schema)
     steps = near.select(
         F.struct(
             clip_next(F.col("after"), last).alias("next_page"),
             end_sentinel(F.col("before")).alias("prev_page"),
         )
     ).scalar()
-    asked = lookup_id(responses, num).filter(F.col("num") > SENTINEL)
-    good, _ = quarantine(classified_records(asked))
+    asked = lookup_id(responses, num, template=template).filter(F.col("num") > SENTINEL)
+    good, _ = quarantine(classified_records(blank_missing(asked), schema=schema))
     return nav_links(
         good.select(
             "num",
@@ -129,28 +142,44 @@ def page_of(responses: DataFrame, num: int, last_url: str | None = None) -> Data
     )
 
 
-def home_page(responses: DataFrame, last_url: str | None = None) -> DataFrame:
+def home_page(
+    responses: DataFrame,
+    last_url: str | None = None,
+    template: str | None = None,
+    schema: T.StructType = RECORD,
+) -> DataFrame:
     """The page of the newest record; nothing follows it.
 
     The newest record is the one at ``last_url``, numbered by the id inside it;
-    without such an address it is the one with the largest existing id. Only
-    that record is decoded. No row when it cannot be.
+    without such an address it is the one with the largest existing id, read by
+    its address if the ``template`` is given. Only that record is decoded, and
+    once. No row when it cannot be.
     """
     ids = _ids(responses)
     if last_url is None:
         top = ids.orderBy(F.col("num").desc()).limit(2)
         top = top.agg(F.max("num").alias("num"), F.when(F.count("*") == 2, F.min("num")).alias("before"))
-        newest = responses.filter(F.col("num") == top.select("num").scalar())
-        newest = quarantine(classified_records(newest))[0].select("num", "record")
-        before = top.select("before").scalar()
+        if template is None:
+            newest = responses.filter(F.col("num") == top.select("num").scalar())
+        else:
+            newest = responses.filter(F.col("url") == top.select(url_for(F.col("num"), template)).scalar())
+        newest = quarantine(classified_records(newest, schema=schema))[0]
+        newest = newest.select("num", "record", top.select("before").scalar().alias("before"))
     else:
-        newest = _record_at(responses, last_url)
-        before = ids.filter(F.col("num") < newest.select("num").scalar()).agg(F.max("num")).scalar()
+        # One row; the ids below it are counted against that same row.
+        record = _record_at(responses, last_url, schema).select(F.struct("num", "record")).scalar()
+        newest = (
+            ids.withColumn("__top", record)
+            .agg(F.max(F.when(F.col("num") < F.col("__top.num"), F.col("num"))).alias("before"))
+            .select(record.alias("__top"), "before")
+            .filter("__top is not null")
+            .select("__top.num", "__top.record", "before")
+        )
     return nav_links(
         newest.select(
             "num",
             F.col("record").alias("result"),
             F.lit(SENTINEL).cast("bigint").alias("next_page"),
-            end_sentinel(before).alias("prev_page"),
+            end_sentinel(F.col("before")).alias("prev_page"),
         )
     )

@@ -63,12 +63,12 @@ def test_random_sets_at_all_widths(spark, bits, monkeypatch):
     ids = spark.createDataFrame(rows, "g long, num long")
     asked = spark.createDataFrame([(c, p) for c, s in probes.items() for p in s], "g long, num long")
 
-    got = sp.neighbours(ids, by=["g"], bucket_bits=bits, key_bits=10).collect()
+    got = sp.neighbours(ids, by=["g"], bucket_bits=bits).collect()
     want = {(c, n): v for c, s in sets.items() for n, v in model(s, s).items()}
     assert {(r["g"], r["num"]): (r["next_page"], r["prev_page"]) for r in got} == want
     assert len(got) == len(want)
 
-    got = sp.neighbours_of(asked, ids, by=["g"], bucket_bits=bits, key_bits=12).collect()
+    got = sp.neighbours_of(asked, ids, by=["g"], bucket_bits=bits).collect()
     want = {(c, n): v for c in sets for n, v in model(sets[c], probes[c]).items()}
     assert {(r["g"], r["num"]): (r["next_page"], r["prev_page"]) for r in got} == want
     assert len(got) == len(want)
@@ -79,7 +79,7 @@ def test_one_collection_across_many_levels(spark, monkeypatch):
     monkeypatch.setattr(module, "TOP_BITS", 2)
     rng = random.Random(5)
     ids = {rng.randint(1, 5000) for _ in range(150)} | {1, 16, 17, 4096}
-    assert as_dict(sp.neighbours(ids_df(spark, ids), bucket_bits=3, key_bits=13)) == model(ids, ids)
+    assert as_dict(sp.neighbours(ids_df(spark, ids), bucket_bits=3)) == model(ids, ids)
 
 
 def test_huge_keys_need_no_hint(spark):
@@ -90,10 +90,21 @@ def test_huge_keys_need_no_hint(spark):
         assert got[num] == (ordered[i + 1] if i + 1 < len(ordered) else 0, ordered[i - 1] if i else 0)
 
 
-def test_wrong_key_bits_cost_speed_only(spark):
-    ids = {3, 70, 4000, 2**40}
-    got = as_dict(sp.neighbours(ids_df(spark, ids), bucket_bits=2, key_bits=4))
-    assert got == {3: (70, 0), 70: (4000, 3), 4000: (2**40, 70), 2**40: (0, 4000)}
+def test_sparse_ids_keep_the_last_window_small(spark):
+    """The rows of the window without partitions are numbers of blocks, of which the type of the ids allows 2**20 at most."""
+    for bits in (63, 31):
+        left = bits - module.BUCKET_BITS
+        while left > module.TOP_BITS:
+            left -= module.STEP_BITS
+        assert left <= 20
+    ids = spark.range(1, 200_001).select((F.col("id") * ((2**63 - 1) // 200_001)).alias("num"))
+    blocks = ids.select(F.shiftright("num", module.BUCKET_BITS + module.STEP_BITS).alias("b"))
+    assert blocks.agg(F.max("b")).first()[0] < 2**20
+    step = (2**63 - 1) // 200_001
+    out = sp.neighbours(ids)
+    assert out.filter((F.col("next_page") - F.col("num") != step) & (F.col("next_page") != 0)).count() == 0
+    assert out.count() == 200_000 and out.filter("prev_page = 0").count() == 1
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange SinglePartition") == 1
 
 
 def test_int_keys_keep_their_type(spark):

@@ -2,6 +2,8 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import sparsepages as sp
 
@@ -126,9 +128,46 @@ def test_lookup_splits_a_crowded_id(spark):
     rows = [(i, 7 if i % 3 else i % 11) for i in range(3000)] + [(i, None) for i in range(3000, 4000)]
     requests = spark.createDataFrame(rows, "rid long, num long")
     catalogue = spark.createDataFrame([(i, f"v{i}") for i in range(9)], "num long, v string")
-    got = sp.lookup_ids(requests, catalogue, request_id="rid", pieces=16, min_rows=1)  # splits nearly every id
+    got = sp.lookup_ids(requests, catalogue, request_id="rid", pieces=16)  # splits nearly every id
     want = {i: (n, f"v{n}" if n is not None and n < 9 else None) for i, n in rows}
     out = got.collect()
     assert len(out) == len(rows)
     assert {r["rid"]: (r["num"], r["v"]) for r in out} == want
     assert all(r["found"] == (r["v"] is not None) for r in out)
+
+
+@pytest.mark.parametrize("request_id", [None, "rid"])
+def test_lookup_spreads_a_hot_id_and_missing_ids(spark, request_id):
+    """A third one id, a third NULL: no partition of the join gets more than a few times its share."""
+    rows = spark.range(120_000, numPartitions=16).selectExpr("id as rid", "case id % 3 when 0 then 7 when 1 then null else id end as num")
+    wanted = rows if request_id else rows.select("num")
+    catalogue = spark.range(9).selectExpr("id as num", "concat('v', id) as v")
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = sp.lookup_ids(wanted, catalogue, request_id=request_id, pieces=64)
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        found = out.groupBy("found", "v").count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 120_000 and max(sizes) < 2 * sum(sizes) / 4
+    assert {(r["found"], r["v"]): r["count"] for r in found if r["found"]} == {(True, "v7"): 40_000, (True, "v2"): 1, (True, "v5"): 1, (True, "v8"): 1}
+
+
+def test_records_with_wide_ids(spark):
+    """The record's schema is the caller's: ids beyond 32 bits make pages."""
+    schema = T.StructType([T.StructField("num", T.LongType()), T.StructField("title", T.StringType())])
+    big = 2**40
+    landed = [(f"https://e.org/{n}", 200, f'{{"num": {n}, "title": "t{n}"}}', dt.datetime(2024, 1, 1)) for n in (big, big + 5)]
+    responses = sp.with_ids(spark.createDataFrame(landed, sp.RESPONSES), "https://e.org/{0}")
+    got = sp.pages(responses, schema=schema).orderBy("num").collect()
+    assert [(r["num"], r["result"]["num"], r["next_page"], r["prev_page"]) for r in got] == [(big, big, big + 5, 0), (big + 5, big + 5, 0, big)]
+    assert sp.pages(responses).count() == 0
+    one = sp.page_of(responses, big, template="https://e.org/{0}", schema=schema).collect()
+    assert [(r["num"], r["next_page"]) for r in one] == [(big, big + 5)]
+    home = sp.home_page(responses, template="https://e.org/{0}", schema=schema).collect()
+    assert [(r["num"], r["prev_page"]) for r in home] == [(big + 5, big)]
+    home = sp.home_page(responses, last_url=f"https://e.org/{big + 5}", schema=schema).collect()
+    assert [(r["num"], r["prev_page"], r["result"]["title"]) for r in home] == [(big + 5, big, f"t{big + 5}")]
+    assert sp.home_page(responses, last_url="https://e.org/none", schema=schema).count() == 0

@@ -40,7 +40,7 @@ def test_bodies_move_once(spark, tmp_path):
     spark.createDataFrame([], sp.RESPONSES).write.parquet(path)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
-        text = plan(sp.pages(sp.scan_responses(spark, path, entry.URL), key_bits=36))
+        text = plan(sp.pages(sp.scan_responses(spark, path, entry.URL)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     bodies, ids = text[: text.index("Window")], text[text.index("Window") :]
@@ -54,3 +54,27 @@ def test_bodies_move_once(spark, tmp_path):
 def test_scans_read_only_what_is_used(spark, sf):
     scan = [line for line in plan(entry.neighbours_large(spark, sf)).splitlines() if "FileScan" in line]
     assert all("ReadSchema: struct<l_orderkey:bigint>" in line for line in scan)
+
+
+def test_one_page_reads_no_other_bodies(spark, tmp_path):
+    """Whatever scan reads bodies compares the address."""
+    path = str(tmp_path / "landed")
+    rows = [(f"https://example.org/{n}/info.0.json", 200, f'{{"num": {n}}}', None) for n in range(1, 9)]
+    spark.createDataFrame(rows, sp.RESPONSES).write.parquet(path)
+    responses = sp.scan_responses(spark, path, entry.URL)
+    for df in (sp.page_of(responses, 5, template=entry.URL), sp.lookup_id(responses, 5, template=entry.URL)):
+        scans = [line for line in plan(df).splitlines() if "FileScan" in line and "body" in line]
+        assert scans and all("EqualTo(url,https://example.org/5/info.0.json)" in line for line in scans)
+        assert df.count() == 1
+    home = sp.home_page(responses, template=entry.URL)
+    assert [(r["num"], r["prev_page"]) for r in home.collect()] == [(8, 7)]
+    scans = [line for line in plan(home).splitlines() if "FileScan" in line and "body" in line]
+    assert scans and all("url" in line.split("DataFilters")[1].split("]")[0] for line in scans)
+
+
+def test_home_page_decodes_once(spark, sf):
+    df = entry.home_page(spark, sf)
+    assert df.count() == 1
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert final.count("ReusedSubquery") >= 1

@@ -22,6 +22,13 @@ CASES = [
     ("/a/x.axd", ("Default", "a", "x.axd", None)),
     ("/a/b/c/d", (None, None, None, None)),
     ("/a//b", (None, None, None, None)),
+    ("/a//", (None, None, None, None)),
+    ("//", (None, None, None, None)),
+    ("/a/b/c/", ("Default", "a", "b", "c")),
+    ("/comics//", (None, None, None, None)),
+    ("/.axd", ("Default", ".axd", "Index", None)),
+    ("/x.AXD/", ("ignored", None, None, None)),
+    ("/x.axdy", ("Default", "x.axdy", "Index", None)),
     ("/a%20b/c+d", ("Default", "a b", "c+d", None)),
     ("/a%2/b", ("Default", "a%2", "b", None)),
     (None, (None, None, None, None)),

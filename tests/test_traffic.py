@@ -64,7 +64,7 @@ def test_requests_without_a_time_are_not_capped(spark):
 
 
 @pytest.mark.parametrize("threshold", [2, -1])
-def test_cap_rate_above_the_map_side_limit(spark, threshold):
+def test_cap_rate_with_and_without_map_side_limit(spark, threshold):
     rows = random_rows(600, 5)
     spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", threshold)
     try:
@@ -74,6 +74,12 @@ def test_cap_rate_above_the_map_side_limit(spark, threshold):
     assert got == capped(rows, 40, 1)
 
 
+def test_cap_rate_has_one_plan_for_every_limit(spark):
+    rows = requests(spark, random_rows(10, 3))
+    windows = {sp.cap_rate(rows, limit)._jdf.queryExecution().optimizedPlan().toString().count("Window [") for limit in (1, 40, 5000)}
+    assert windows == {len(traffic._DEALS)}
+
+
 def test_buckets_ignore_the_time_zone(spark):
     rows = [
         (1, dt.datetime(1969, 12, 31, 23, 59, 59, 500000), "a"),
