@@ -75,5 +75,51 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_source_mixing, op4_minhash_neardup, op5_line_dedup, op6_substring_dedup, op7_fingerprints, op8_token_output, op9_pii_surrogates, op10_token_counts)}
 
 
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The queries that SQL can express; the others are tested against plain versions."""
+    return {
+        "op2_decontamination": f"""
+            with d as (select doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
+            b as (select item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark),
+            win as (
+                select distinct item_id, w[i : i + 9] as win
+                from (select item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as i from b where len(w) > 0)
+            ),
+            cut as (
+                select doc_id, i, n, w[i : i + n - 1] as win
+                from (
+                    select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as i
+                    from d, (select distinct len(win) as n from win) where len(w) >= n
+                )
+            ),
+            hit as (select doc_id, i, n, item_id from cut join win using (win)),
+            place as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hit) group by doc_id),
+            item as (
+                select doc_id, count(*) as n_items, string_agg(id, ',' order by id) as ids
+                from (select distinct doc_id, item_id::varchar as id from hit) group by doc_id
+            )
+            select doc_id, coalesce(len(w), 0)::bigint as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+                   sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+            from d left join place using (doc_id) left join item using (doc_id)""",
+        "op4_minhash_neardup": f"""
+            with recursive w as (select doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+            s as (
+                select distinct doc_id, w[i : i + 2] as s
+                from (select doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) as i from w where len(w) > 0)
+            ),
+            n as (select doc_id, count(*) as n from s group by doc_id),
+            links as (
+                select x.doc_id as a, y.doc_id as b
+                from s x join s y using (s) join n nx on nx.doc_id = x.doc_id join n ny on ny.doc_id = y.doc_id
+                group by x.doc_id, y.doc_id, nx.n, ny.n
+                having 100 * count(*) >= 85 * (nx.n + ny.n - count(*))
+            ),
+            reached as (select a, b from links union select r.a, l.b from reached r join links l on r.b = l.a),
+            least as (select a as doc_id, min(b) as component_id from reached group by a)
+            select doc_id, coalesce(n, 0) as n_shingles, coalesce(component_id, doc_id) as component_id,
+                   coalesce(component_id, doc_id) = doc_id as kept
+            from documents left join n using (doc_id) left join least using (doc_id)""",
+    }
