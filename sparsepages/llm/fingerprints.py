@@ -52,31 +52,45 @@ def with_fingerprint(rows: DataFrame, text: str, name: str) -> DataFrame:
     return rows.select(*whole, F.array_join(digits, ",").alias(name))
 
 
-def _below(a: Column, b: Column) -> tuple[Column, Column]:
-    """The hashes of both sketches below the limit that they share."""
-    a, b = F.split(a, ","), F.split(b, ",")
-    limit = F.least(a[0], b[0])
-    return tuple(F.filter(F.slice(x, F.lit(2), F.size(x)), lambda h: h < limit) for x in (a, b))
+def _with(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, not again for every element of an array."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _below(a: Column, b: Column, use) -> Column:
+    """``use(x, y, limit)`` of the hashes of both sketches below the limit that they share."""
+
+    def cut(p: Column) -> Column:
+        limit = F.least(p["a"][0], p["b"][0])
+        return F.struct(p["a"].alias("a"), p["b"].alias("b"), limit.alias("limit"))
+
+    def under(p: Column) -> Column:
+        x, y = (F.filter(F.slice(p[c], F.lit(2), F.size(p[c])), lambda h: h < p["limit"]) for c in ("a", "b"))
+        return F.struct(x.alias("x"), y.alias("y"), p["limit"].alias("limit"))
+
+    both = F.struct(F.split(a, ",").alias("a"), F.split(b, ",").alias("b"))
+    return _with(_with(_with(both, cut), under), lambda p: use(p["x"], p["y"], p["limit"]))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated shared share of the shingles of both, 0 to 1; 1 for equal fingerprints, also of empty texts."""
-    x, y = _below(a, b)
-    union = F.size(F.array_union(x, y))
-    return F.when(a == b, 1.0).when(union == 0, 0.0).otherwise(F.size(F.array_intersect(x, y)) / union).cast("double")
+
+    def share(x: Column, y: Column, _limit: Column) -> Column:
+        union = F.size(F.array_union(x, y))
+        return F.when(union == 0, 0.0).otherwise(F.size(F.array_intersect(x, y)) / union).cast("double")
+
+    return F.when(a == b, 1.0).otherwise(_below(a, b, share))
 
 
 def containment(a: Column, b: Column) -> Column:
     """Estimated share of the shingles of ``a`` that ``b`` has; 1 if ``a`` has none."""
-    x, y = _below(a, b)
-    return F.when(F.size(x) == 0, 1.0).otherwise(F.size(F.array_intersect(x, y)) / F.size(x)).cast("double")
+    share = lambda x, y, _: F.when(F.size(x) == 0, 1.0).otherwise(F.size(F.array_intersect(x, y)) / F.size(x)).cast("double")
+    return _below(a, b, share)
 
 
 def merged(a: Column, b: Column) -> Column:
     """The fingerprint of the shingles of both documents together, as far as both are complete."""
-    x, y = _below(a, b)
-    limit = F.least(F.split(a, ",")[0], F.split(b, ",")[0])
-    return F.array_join(F.concat(F.array(limit), F.array_sort(F.array_union(x, y))), ",")
+    return _below(a, b, lambda x, y, limit: F.array_join(F.concat(F.array(limit), F.array_sort(F.array_union(x, y))), ","))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
