@@ -14,6 +14,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import settle
+
 REACH = 3  # words on either side that a chunk's last word must outdo
 LEAST_WORDS = 20  # words of a repeated passage
 
@@ -121,7 +123,8 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
     """
     rows = chunks(docs)
     seen = rows.groupBy("digest").agg(F.min("doc").alias("origin"), F.max("doc").alias("latest")).filter("origin <> latest")
-    again = rows.join(seen.select("digest", "origin"), "digest").filter("doc <> origin")
+    # A table of its own, so that the join can split a chunk that very many documents have.
+    again = rows.join(settle(seen.select("digest", "origin")), "digest").filter("doc <> origin")
     # Repeated chunks only, each document for itself: as many rows as it has such chunks.
     in_doc = Window.partitionBy("doc").orderBy("chunk", "first")
     run = again.withColumn("run", F.col("chunk") - F.dense_rank().over(in_doc))
