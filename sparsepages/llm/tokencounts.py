@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vocab import PieceCounter
+from .vocab import PieceCounter, lasting
 
 BATCH_BYTES = 4_000_000
 
@@ -37,14 +37,14 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
 
     def lengths(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
-        counter = PieceCounter(model)
+        counter = lasting(model, lambda: PieceCounter(model))
         for batch in batches:
-            texts = [x or "" for x in batch.column("text").to_pylist()]
-            sizes = [len(t.encode()) for t in texts]
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
             counts: list[int] = []
             for a, b in by_bytes(sizes):
-                counts += counter.count(texts[a:b])
+                counts += [counter.count(t or "") for t in batch.column("text").slice(a, b - a).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"]
             )

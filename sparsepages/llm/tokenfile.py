@@ -26,12 +26,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .vocab import IdEncoder
+from .vocab import IdEncoder, lasting
 
 MAGIC = b"DACT0001"
 BLOCK = 512
-FILE_IDS = 1 << 23  # ids after which a file is closed
+FILE_IDS = 1 << 22  # ids after which a file is closed
 END_ID = 0
+MOST_TASKS = 10_000  # that read files back
 
 
 # ---- the format ---------------------------------------------------------------
@@ -161,7 +162,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_
     def write(batches):
         import pyarrow as pa
 
-        encoder, end = IdEncoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        encoder, end = lasting(vocabulary, lambda: IdEncoder(vocabulary)), np.array([end_id], "<u4").tobytes()
         part, piece, made = TaskContext.get().partitionId(), 0, []
         fs, folder = _open(path)
         fs.create_dir(folder, recursive=True)
@@ -180,14 +181,12 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_
             names, parts, held, piece = [], [], 0, piece + 1
 
         for batch in batches:
-            ids_of, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for a in range(0, len(texts), 256):
-                for doc_id, ids in zip(ids_of[a : a + 256], encoder.encode(texts[a : a + 256]), strict=True):
-                    names.append(doc_id)
-                    parts.append(ids + end)
-                    held += len(ids) // 4 + 1
-                    if held >= file_ids:
-                        close()
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                names.append(doc_id)
+                parts.append(encoder.encode(text.as_py()) + end)
+                held += len(parts[-1]) // 4
+                if held >= file_ids:
+                    close()
         if names:
             close()
         columns = list(zip(*made, strict=True)) or [[]] * 5
@@ -229,4 +228,5 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    return files.select("file", "first").repartition(F.col("file")).mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    tasks = min(MOST_TASKS, max(1, files.count()))
+    return files.select("file", "first").repartition(tasks, "file").mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

@@ -2,15 +2,16 @@
 
 Both vocabularies only merge inside a word with its leading space, so a text is
 cut where a single space follows a character that is no space, and each distinct
-piece is given to the tokenizer library once per task. Texts and pieces are
-never shortened.
+piece is given to the tokenizer library once as long as a worker remembers it.
+Texts and pieces are never shortened.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from array import array
-from itertools import chain
+from types import ModuleType
 
 
 def vocabulary(name: str) -> str:
@@ -20,7 +21,38 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-CACHED_PIECES = 1 << 20  # pieces remembered by one task; further ones are encoded each time
+RECENT_PIECES = 1 << 18  # pieces that a worker remembers, and as many that it has met before those
+RECENT_WORDS = 1 << 17  # the same for the words in them
+LONG = 64  # characters of pieces that are not remembered
+
+
+def lasting(name: str, make):
+    """What ``make()`` gave when first called under this name in this worker process, which outlives its tasks."""
+    held = sys.modules.setdefault("sparsepages_worker", ModuleType("sparsepages_worker")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
+class Recent(dict):
+    """``make(piece)`` for any piece, remembered: the recent ones, and those before them until they are replaced as a whole."""
+
+    def __init__(self, size: int, make):
+        super().__init__()
+        self.size, self.make, self.before = size, make, {}
+
+    def __missing__(self, piece: str):
+        found = self.before.get(piece)
+        if found is None:
+            found = self.make(piece)
+            if len(piece) > LONG:
+                return found
+        if len(self) >= self.size:
+            self.before = dict(self)
+            self.clear()
+        self[piece] = found
+        return found
+
 
 _RUN = re.compile(r"\s\s")
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
@@ -46,58 +78,34 @@ class IdEncoder:
         self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.words = Recent(RECENT_WORDS, self._word)
+        self.spaced = Recent(RECENT_PIECES, lambda piece: self._piece(" " + piece))
 
-    def _library(self, pieces: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
+    def _library(self, text: str) -> bytes:
+        return array("I", self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
 
     def _word(self, word: str) -> bytes:
-        found = self.known.get(word)
-        if found is None:
-            if word.isascii():
-                mapped = "Ġ" + word[1:] if word[0] == " " else word
-            else:
-                mapped = word.encode().decode("latin-1").translate(self.letters)
-            found = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
-            if len(self.known) < CACHED_PIECES:
-                self.known[word] = found
-        return found
-
-    def pieces(self, text: str) -> list[str]:
-        """Pieces whose ids, one after the other, are the ids of the text."""
-        if not text:
-            return []
+        """Ids of one word or run of signs, with the space before it if there is one."""
+        if word.isascii():
+            mapped = "Ġ" + word[1:] if word[0] == " " else word
+        else:
+            mapped = word.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        plain = _PLAIN.fullmatch(piece)
+        if not plain:
+            return self._library(piece)
+        word, signs = plain.groups()
+        return self.words[word] + self.words[signs] if signs else self.words[word]
+
+    def encode(self, text: str) -> bytes:
+        """Little-endian unsigned 32-bit ids of a text."""
         if any(s in text for s in self.special):
-            return [text]
-        parts = text.split(" ") if not _RUN.search(text) else _LONE_SPACE.split(text)
-        return [parts[0], *(" " + p for p in parts[1:])] if parts[0] else [" " + p for p in parts[1:]]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        cut = [self.pieces(t) for t in texts]
-        known = self.known
-        new, rest = {}, []
-        for piece in set(chain.from_iterable(cut)).difference(known):
-            plain = _PLAIN.fullmatch(piece)
-            if plain:
-                new[piece] = self._word(plain[1]) + (self._word(plain[2]) if plain[2] else b"")
-            else:
-                rest.append(piece)
-        new.update(zip(rest, self._library(rest), strict=True))
-        out = []
-        for parts in cut:
-            try:
-                out.append(b"".join(map(known.__getitem__, parts)))
-            except KeyError:
-                out.append(b"".join([known[p] if p in known else new[p] for p in parts]))
-        room = CACHED_PIECES - len(known)
-        for piece, ids in new.items():
-            if room <= 0:
-                break
-            if len(piece) < 64:
-                known[piece] = ids
-                room -= 1
-        return out
+            return self._library(text)
+        first, *rest = _LONE_SPACE.split(text) if _RUN.search(text) else text.split(" ")
+        ids = b"".join(map(self.spaced.__getitem__, rest))
+        return self._piece(first) + ids if first else ids
 
 
 class PieceCounter:
@@ -111,27 +119,13 @@ class PieceCounter:
         pieces = (self.library.id_to_piece(i) for i in range(self.library.get_piece_size()))
         # A piece with the mark after another letter could join two words: then texts stay whole.
         self.joins = any(mark in p.lstrip(mark) for p in pieces) or self.library.encode("  a") == self.library.encode("a")
-        self.known: dict[str, int] = {"": 1}  # the lone mark of a space at the end
-
-    def pieces(self, text: str) -> list[str]:
-        if self.joins or "▁" in text or not text:
-            return [text]
-        if text[0] == " " or "  " in text:
-            return _AFTER_WORD.split(text)
-        return text.split(" ")
-
-    def count(self, texts: list[str]) -> list[int]:
-        cut = [self.pieces(t) for t in texts]
-        known = self.known
-        new = list(set(chain.from_iterable(cut)).difference(known))
-        fresh = dict(zip(new, (len(ids) for ids in self.library.encode(new, num_threads=1)), strict=True))
-        if len(known) + len(fresh) <= CACHED_PIECES:
-            known.update(fresh)
-            fresh = {}
-        out = []
-        for text, parts in zip(texts, cut, strict=True):
-            if not text:
-                out.append(0)
-                continue
-            out.append(sum(map(known.__getitem__, parts)) if not fresh else sum([known[p] if p in known else fresh[p] for p in parts]))
-        return out
+        # An empty piece is the lone mark of a space at the end.
+        self.known = Recent(RECENT_PIECES, lambda piece: len(self.library.encode(piece)) if piece else 1)
+
+    def count(self, text: str) -> int:
+        if not text:
+            return 0
+        if self.joins or "▁" in text:
+            return len(self.library.encode(text))
+        pieces = _AFTER_WORD.split(text) if text[0] == " " or "  " in text else text.split(" ")
+        return sum(map(self.known.__getitem__, pieces))

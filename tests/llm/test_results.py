@@ -258,9 +258,9 @@ def _odd_texts():
 def test_piecewise_ids_and_counts_equal_the_libraries(texts):
     odd = _odd_texts() + list(texts.values())
     ids = vocab.IdEncoder(vocab.vocabulary("byte_bpe_50k.json"))
-    assert ids.encode(odd) == [np.array(e.ids, "<u4").tobytes() for e in ids.library.encode_batch(odd, add_special_tokens=False)]
+    assert [ids.encode(t) for t in odd] == [np.array(e.ids, "<u4").tobytes() for e in ids.library.encode_batch(odd, add_special_tokens=False)]
     counter = vocab.PieceCounter(vocab.vocabulary("piece_bpe_32k.model"))
-    assert counter.count(odd) == [len(x) for x in counter.library.encode(odd)]
+    assert [counter.count(t) for t in odd] == [len(x) for x in counter.library.encode(odd)]
 
 
 def test_caches_forget_and_results_stay(texts, monkeypatch):
@@ -269,7 +269,7 @@ def test_caches_forget_and_results_stay(texts, monkeypatch):
     odd = list(texts.values())[:40]
     ids = vocab.IdEncoder(vocab.vocabulary("byte_bpe_50k.json"))
     for t in odd:
-        assert ids.encode([t]) == [np.array(ids.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()]
+        assert ids.encode(t) == np.array(ids.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def test_token_file_addresses_every_id():
