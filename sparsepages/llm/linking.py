@@ -5,12 +5,12 @@ Candidates come as buckets ``(key, id)``. Links are found in two steps:
 1. In every bucket all members are compared with one leader, the member with the
    greatest weight. That is linear in the bucket, and settles buckets whose
    members all belong together.
-2. Buckets that share members form candidate groups. Where a candidate group
-   still has more than one component, its members are dealt into blocks and every
-   pair of blocks with different components is compared inside one task. A
-   component of more than a block's size has blocks of its own, and a pair of
-   blocks of the same component is left out, so the work is that of the members
-   that remain unlinked. A task returns a spanning forest of its links, never all pairs.
+2. Components that share a bucket without a link form candidate groups. The
+   members of such a group are dealt into blocks, and every pair of blocks with
+   different components is compared inside one task. A component of more than a
+   block's size has blocks of its own, and a pair of blocks of the same component
+   is left out, so the work is that of the members that remain unlinked. A task
+   returns a spanning forest of its links, never all pairs.
 
 So no link between two members of one candidate group is missed, and no step
 writes a row per pair.
@@ -78,7 +78,10 @@ def _forest(left: list[int], right: list[int]) -> list[int]:
 
 
 def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataFrame], DataFrame], similar: Callable) -> DataFrame:
-    """Links ``a, b`` that connect all similar members of ``buckets`` (``key, id``) as far as candidate groups go.
+    """``id, root``: the components of the members of ``buckets`` (``key, id``) under links between similar ones.
+
+    Members that share no bucket with another may be left out. ``root`` is the
+    smallest id of the component.
 
     ``weights`` (``id, weight``) chooses the leaders, or all weigh the same.
     ``items`` gives ``id, item`` for the ids of a table; ``similar`` takes two
@@ -86,7 +89,9 @@ def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataF
     on data of bounded size: a leader and at most ``BLOCK`` members, or two blocks.
     """
     weighed = buckets.join(weights, "id") if weights is not None else buckets.withColumn("weight", F.lit(0))
-    leaders = weighed.groupBy("key").agg(F.max(F.struct("weight", "id"))["id"].alias("leader"), F.count("*").alias("n")).filter("n > 1")
+    # A table of its own, so that the join can split a bucket with very many members.
+    leaders = weighed.groupBy("key").agg(F.max(F.struct("weight", "id"))["id"].alias("leader"), F.count("*").alias("n"))
+    leaders = settle(leaders.filter("n > 1").select("key", "leader"))
     stars = settle(
         buckets.join(leaders, "key").filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     )
@@ -102,14 +107,17 @@ def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataF
     )
     first = settle(_compared(facing, held, similar, False))
 
-    # 2: what is still apart within a candidate group.
-    group = settle(connected(stars)).withColumnRenamed("root", "group")
-    comp = settle(connected(first)).withColumnRenamed("root", "comp")
-    placed = group.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    # 2: components that face each other across a star without a link of their own.
+    comp = settle(connected(first))
+    side = lambda end: comp.select(F.col("id").alias(end), F.col("root").alias(f"comp_{end}"))
+    across = stars.join(side("a"), "a", "left").join(side("b"), "b", "left").select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
+    facing = connected(across.filter("a <> b")).select(F.col("id").alias("comp"), F.col("root").alias("group"))
+    of_comp = settle(held.select("id").join(comp, "id", "left").select("id", F.coalesce("root", "id").alias("comp")))
+    placed = settle(of_comp.join(facing, "comp"))
     sizes = placed.groupBy("group", "comp").agg(F.count("*").alias("n"))
-    apart = sizes.groupBy("group").agg(F.count("*").alias("comps"), F.sum(F.when(F.col("n") < BLOCK, F.col("n"))).alias("loose"))
+    loose = sizes.groupBy("group").agg(F.sum(F.when(F.col("n") < BLOCK, F.col("n"))).alias("loose"))
     open_ = settle(
-        placed.join(apart.filter("comps > 1"), "group")
+        placed.join(loose, "group")
         .join(sizes, ["group", "comp"])
         .select(
             "group",
@@ -143,7 +151,10 @@ def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataF
         o, (F.col("s.group") == F.col("o.group")) & (F.col("s.slot") == F.col("o.slot")) & F.col("s.own").eqNullSafe(F.col("o.own"))
     ).select(F.col("pair").alias("group"), "side", "comp", "id")
     second = _compared(members, held, similar, True)
-    return settle(first.unionByName(second))
+    comp_of = lambda end: of_comp.select(F.col("id").alias(end), F.col("comp").alias(f"comp_{end}"))
+    joined = second.join(comp_of("a"), "a").join(comp_of("b"), "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
+    last = connected(joined).select(F.col("id").alias("comp"), "root")
+    return of_comp.join(last, "comp", "left").select("id", F.coalesce("root", "comp").alias("root"))
 
 
 def _compared(members: DataFrame, held: DataFrame, similar: Callable, forest: bool) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import if_small, settle, without_rows
-from .linking import connected, linked
+from .linking import linked
 
 HALVES = 32
 MISS = 2e-5
@@ -157,15 +157,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     narrow = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     signed = settle(narrow.mapInArrow(sign, f"doc_id {id_type}, text_hash bigint, n_shingles bigint, set_key bigint, halves array<bigint>"))
 
-    # Keys of one half that only one set has cannot meet anything.
-    rows = signed.filter("set_key is not null").select("set_key", F.explode("halves").alias("half"))
-    shared = (
-        rows.groupBy("half")
-        .agg(F.min("set_key").alias("low"), F.max("set_key").alias("high"), F.count("*").alias("n"))
-        .filter("low <> high")
-        .select("half", "n")
-    )
-    mine = rows.join(shared, "half").groupBy("set_key", "half").agg(F.first("n").alias("n"))
+    # Equal sets are one node; their copies combine before the shuffle.
+    sets = settle(signed.filter("set_key is not null").groupBy("set_key").agg(F.first("halves").alias("halves")))
+    rows = sets.select("set_key", F.explode("halves").alias("half"))
+    # Keys of one half that only one set has cannot meet anything. Tables of
+    # their own leave the joins free to split a half that very many sets have.
+    shared = settle(rows.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1"))
+    mine = rows.join(shared, "half")
     nodes = settle(mine.groupBy("set_key").agg(F.array_sort(F.collect_set("half")).alias("halves"), F.sum("n").alias("weight")).filter("size(halves) > 1"))
     pairs = F.expr("flatten(transform(halves, (x, i) -> transform(slice(halves, i + 2, size(halves)), y -> xxhash64(x, y))))")
     buckets = nodes.select(F.explode(pairs).alias("key"), F.col("set_key").alias("id"))
@@ -190,12 +188,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
         return texts.select("set_key", "text").mapInArrow(pack, "id bigint, item binary").dropDuplicates(["id"])
 
-    links = linked(buckets, nodes.select(F.col("set_key").alias("id"), "weight"), sets_of, overlapping(percent))
-    root = connected(links)
+    root = linked(buckets, nodes.select(F.col("set_key").alias("id"), "weight"), sets_of, overlapping(percent))
     # Only sets of several rows or with links need a label; the others are their own.
     grouped = signed.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("least"))
     labelled = grouped.join(root.withColumnRenamed("id", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-    label = labelled.groupBy("root").agg(F.min("least").alias("component_id"))
+    label = settle(labelled.groupBy("root").agg(F.min("least").alias("component_id")))
     labels = labelled.join(label, "root").select("set_key", "component_id")
     return (
         signed.select("doc_id", "n_shingles", "set_key", "text_hash")
