@@ -139,7 +139,11 @@ def test_edit_distance():
     rng = random.Random(0)
     for _ in range(500):
         a, b = ("".join(rng.choices("abc", k=rng.randint(0, 70))) for _ in range(2))
-        assert lines.edit_distance(a, b) == plain.edit_distance(a, b)
+        distance = plain.edit_distance(a, b)
+        assert lines.edit_distance(a, b) == distance
+        cut = a[:7] + "c" * rng.randint(0, 3) + a[9:]
+        for x, y, n in ((a, b, distance), (a, cut, plain.edit_distance(a, cut))):
+            assert [lines.within(x, y, most) for most in (n - 1, n, n + 1)] == [False, True, True]
 
 
 def test_lines_equal_plain(spark, texts):
@@ -154,7 +158,7 @@ def test_lines_equal_plain(spark, texts):
     got = {(r["doc_id"], r["line"]): r["removed"] for r in lines.duplicate_lines(table).collect()}
     rows = {(d, i): n for d, t in sorted(docs.items()) for i, x in enumerate(t.split("\n")) if (n := lines.normalised(x))}
     forms = list(dict.fromkeys(rows.values()))
-    signs = dict(zip(forms, lines.Hasher()(forms)[1].tolist(), strict=True))
+    signs = dict(zip(forms, lines.Hasher().signs(forms).tolist(), strict=True))
     links = []
     for i, a in enumerate(forms):
         for b in forms[:i]:
@@ -170,6 +174,17 @@ def test_lines_equal_plain(spark, texts):
     assert kept == {d: "\n".join(x for i, x in enumerate(t.split("\n")) if not want.get((d, i))) for d, t in docs.items()}
 
 
+def test_simhash_counts_bits():
+    rng = random.Random(6)
+    counts = np.array([1, 3, 255, 256, 700, 2])
+    codes = np.array([rng.randrange(2**64) for _ in range(counts.sum())], np.uint64)
+    want, at = [], 0
+    for n in counts:
+        want.append([sum(int(c) >> bit & 1 for c in codes[at : at + n]) for bit in range(64)])
+        at += n
+    assert lines._votes(codes, counts).tolist() == want
+
+
 # ---- substrings
 
 
