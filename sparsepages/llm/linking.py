@@ -20,12 +20,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import settle
 
 BLOCK = 256  # members compared at once
+ROWS_AT_ONCE = 1000  # rows of small groups that a task gets together
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -160,22 +163,31 @@ def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataF
 def _compared(members: DataFrame, held: DataFrame, similar: Callable, forest: bool) -> DataFrame:
     """Links between the sides of each group of ``members`` (``group, side, comp, id``)."""
 
-    def compare(pdf):
-        import pandas as pd
-
-        left, right = pdf[pdf["side"] == 1], pdf[pdf["side"] == 0]
+    def pair_up(side, comp, ids, items):
+        left, right = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
         if not len(left) or not len(right):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        found = similar(list(left["item"]), list(right["item"]))
-        a, b = left["id"].to_numpy(), right["id"].to_numpy()
-        found = found & (a[:, None] != b[None, :])
+            return [], []
+        found = similar([items[i] for i in left], [items[i] for i in right])
+        found = found & (ids[left][:, None] != ids[right][None, :])
         if forest:
-            found &= left["comp"].to_numpy()[:, None] != right["comp"].to_numpy()[None, :]
+            found &= comp[left][:, None] != comp[right][None, :]
         i, j = found.nonzero()
-        a, b = a[i], b[j]
+        a, b = left[i], right[j]
         if forest:
-            kept = _forest(list(left["comp"].to_numpy()[i]), list(right["comp"].to_numpy()[j]))
+            kept = _forest(comp[a].tolist(), comp[b].tolist())
             a, b = a[kept], b[kept]
+        return ids[a], ids[b]
+
+    def compare(pdf):
+        pdf = pdf.sort_values("group", kind="stable")
+        group, side, comp, ids = (pdf[c].to_numpy() for c in ("group", "side", "comp", "id"))
+        items = pdf["item"].to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+        found = [pair_up(side[x:y], comp[x:y], ids[x:y], items[x:y]) for x, y in zip(cuts, cuts[1:], strict=False)]
+        a, b = (np.concatenate([np.asarray(f[k], np.int64) for f in found]) for k in (0, 1))
         return pd.DataFrame({"a": a, "b": b})
 
-    return members.join(held, "id").select("group", "side", "comp", "id", "item").groupBy("group").applyInPandas(compare, "a bigint, b bigint")
+    # Small groups are handed over together, about ROWS_AT_ONCE rows at a time.
+    lots = max(1, members.count() // ROWS_AT_ONCE)
+    given = members.join(held, "id").withColumn("lot", F.pmod(F.xxhash64("group"), F.lit(lots)))
+    return given.select("lot", "group", "side", "comp", "id", "item").groupBy("lot").applyInPandas(compare, "a bigint, b bigint")
