@@ -44,8 +44,16 @@ PATTERNS = {
     "card": r"(?<![\w.])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{13,19})(?![\w]|\.\d)",
     "person": r"(?<=(?<!\p{L})(?:" + "|".join(TITLES.values()) + r")\.{0,1} )\p{Lu}[\p{L}'-]++(?: \p{Lu}[\p{L}'-]++)?",
 }
-# No mention can begin without one of these; most texts have none of them.
-_HINT = r"[@+(]|\d\.\d|\d{7}|\d-\d|(?i:token|secret|passw|api.?key|access.?key)|(?<!\p{L})(?:" + "|".join(TITLES.values()) + r")\.? \p{Lu}"
+# What every mention of a kind holds, cheaper to look for than the mention; most texts have none of them.
+_NEEDED = {
+    "secret": r"(?i:token|secret|passw|api.?key|access.?key)",
+    "email": "@",
+    "ip": r"\d\.\d",
+    "phone": r"[+(]|\d[.-]\d",
+    "card": r"\d{4}[ -]\d{4}|\d{13}",
+    "person": r"(?<!\p{L})(?:" + "|".join(TITLES.values()) + r")\.? \p{Lu}",
+}
+_HINT = "|".join(_NEEDED[kind] for kind in PATTERNS)
 _ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 _KEY = "sparsepages"
 

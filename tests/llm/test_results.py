@@ -359,3 +359,26 @@ def test_surrogates_stay_distinct(spark):
     out = pii.surrogates(spark.createDataFrame(people, "kind string, normal string")).collect()
     drawn = [r["surrogate"] for r in out]
     assert len(out) == 302 and len(set(drawn)) == 302 and not {"Abel", "Bauer"} & set(drawn)
+
+
+def test_every_form_of_mention_is_found_alone(spark):
+    """A document with a single mention has nothing else that could draw attention to it."""
+    alone = [
+        ("card", "Paid by card 4111 1111 1111 1111 on Monday"),
+        ("card", "Paid by card 4111-1111-1111-1111 on Monday"),
+        ("card", "Paid by card 4111111111111111 on Monday"),
+        ("card", "Paid by card 4222222222222 on Monday"),
+        ("phone", "Call +4930123456 today"),
+        ("phone", "Call +1 974 555 3436 today"),
+        ("phone", "Call (974) 555-3436 today"),
+        ("phone", "Call 974-555-3436 today"),
+        ("phone", "Call 974.555.3436 today"),
+        ("ip", "Seen at 10.2.30.200 today"),
+        ("email", "Write to jo@example.com today"),
+        *(("secret", f"My {name}: abcdefgh12345678 is old") for name in ("token", "Secret", "password", "passwd", "api key", "apikey", "ACCESS_KEY")),
+        *(("person", f"Then {t} {n} came") for (_, s), names in pii.TITLES.items() for t in names.split("|") for n in (["Miller"] if s == "latin" else ["Иванов"])),
+    ]
+    rows = [(i, text) for i, (_, text) in enumerate(alone)]
+    out = {r["doc_id"]: r for r in pii.pseudonymised(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert {alone[i]: [p["kind"] for p in out[i]["pii"]] for i, _ in rows} == {x: [x[0]] for x in alone}
+    assert all(out[i]["text"] != text for i, text in rows)
