@@ -80,7 +80,7 @@ def _forest(left: list[int], right: list[int]) -> list[int]:
     return kept
 
 
-def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataFrame], DataFrame], similar: Callable) -> DataFrame:
+def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataFrame], DataFrame], similar: Callable, by_bucket: bool = False) -> DataFrame:
     """``id, root``: the components of the members of ``buckets`` (``key, id``) under links between similar ones.
 
     Members that share no bucket with another may be left out. ``root`` is the
@@ -90,6 +90,10 @@ def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataF
     ``items`` gives ``id, item`` for the ids of a table; ``similar`` takes two
     lists of items and returns a boolean matrix, one row per left item. Both run
     on data of bounded size: a leader and at most ``BLOCK`` members, or two blocks.
+
+    ``by_bucket`` compares the members of each bucket that holds several components
+    after step 1, not of whole candidate groups: for buckets that bring together
+    many members that are not similar, through which groups would grow without end.
     """
     weighed = buckets.join(weights, "id") if weights is not None else buckets.withColumn("weight", F.lit(0))
     # A table of its own, so that the join can split a bucket with very many members.
@@ -113,10 +117,14 @@ def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataF
     # 2: components that face each other across a star without a link of their own.
     comp = settle(connected(first))
     side = lambda end: comp.select(F.col("id").alias(end), F.col("root").alias(f"comp_{end}"))
-    across = stars.join(side("a"), "a", "left").join(side("b"), "b", "left").select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
-    facing = connected(across.filter("a <> b")).select(F.col("id").alias("comp"), F.col("root").alias("group"))
     of_comp = settle(held.select("id").join(comp, "id", "left").select("id", F.coalesce("root", "id").alias("comp")))
-    placed = settle(of_comp.join(facing, "comp"))
+    if by_bucket:
+        within = buckets.join(of_comp, "id").withColumnRenamed("key", "group")
+        # Two members have been compared as leader and member.
+        divided = within.groupBy("group").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"))
+        placed = settle(within.join(settle(divided.filter("low <> high and n > 2").select("group")), "group").select("comp", "id", "group"))
+    else:
+        placed = _facing(stars, side, of_comp)
     sizes = placed.groupBy("group", "comp").agg(F.count("*").alias("n"))
     loose = sizes.groupBy("group").agg(F.sum(F.when(F.col("n") < BLOCK, F.col("n"))).alias("loose"))
     open_ = settle(
@@ -160,6 +168,13 @@ def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataF
     return of_comp.join(last, "comp", "left").select("id", F.coalesce("root", "comp").alias("root"))
 
 
+def _facing(stars: DataFrame, side: Callable, of_comp: DataFrame) -> DataFrame:
+    """``comp, id, group``: the members of components that stars without a link connect."""
+    across = stars.join(side("a"), "a", "left").join(side("b"), "b", "left").select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
+    facing = connected(across.filter("a <> b")).select(F.col("id").alias("comp"), F.col("root").alias("group"))
+    return settle(of_comp.join(facing, "comp"))
+
+
 def _compared(members: DataFrame, held: DataFrame, similar: Callable, forest: bool) -> DataFrame:
     """Links between the sides of each group of ``members`` (``group, side, comp, id``)."""
 

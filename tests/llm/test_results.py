@@ -382,3 +382,51 @@ def test_every_form_of_mention_is_found_alone(spark):
     out = {r["doc_id"]: r for r in pii.pseudonymised(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert {alone[i]: [p["kind"] for p in out[i]["pii"]] for i, _ in rows} == {x: [x[0]] for x in alone}
     assert all(out[i]["text"] != text for i, text in rows)
+
+
+def test_lines_by_edit_similarity_alone(spark):
+    """Pairs of every length with a word swapped or a letter wrong, all 0.8 alike or more; the bits of a SimHash do not count."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefghijklmnoprstuvwé", k=rng.randint(3, 9)))
+    docs, pairs = {}, {}
+    for i in range(900):
+        own = [word() for _ in range((1, 2, 4, 8, 16, 32, 64, 120, 300)[i % 9])]
+        first, at = " ".join(own), rng.randrange(len(own))
+        if i % 2:
+            other = " ".join([*own[:at], word(), *own[at + 1 :]])
+        else:
+            at = rng.randrange(len(first))
+            other = first[:at] + "z" + first[at + 1 :]
+        if first != other and alike(lines.normalised(first), lines.normalised(other)):
+            docs[2 * i], docs[2 * i + 1] = first, other
+            pairs[2 * i + 1] = len(own)
+    table = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    removed = {r["doc_id"] for r in lines.duplicate_lines(table).collect() if r["removed"]}
+    for n in set(pairs.values()):
+        of_length = {d for d, words in pairs.items() if words == n}
+        assert len(of_length & removed) >= (1 if n <= 1 else 0.95) * len(of_length), n
+    assert len(pairs) > 600 and len(removed & set(pairs)) >= 0.985 * len(pairs)
+
+
+def alike(a, b):
+    return lines.edit_distance(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9
+
+
+def test_short_lines_miss_no_pair():
+    rng = random.Random(13)
+    forms = list({"".join(rng.choices("abc", k=rng.randint(1, lines.SHORT))) for _ in range(400)})
+    for i, a in enumerate(forms):
+        for b in forms[:i]:
+            if alike(a, b):
+                assert lines.shortened(a) & lines.shortened(b)
+
+
+def test_trigram_bound_never_drops_a_similar_pair():
+    rng = random.Random(14)
+    for _ in range(100):
+        a = "".join(rng.choices("abcdef ", k=rng.randint(101, 300)))
+        b = list(a)
+        for at in rng.sample(range(len(b)), rng.randint(0, len(b) // 4)):
+            b[at] = rng.choice(["", "x", "ab"])
+        b = "".join(b)
+        assert lines.similar_lines([a], [b])[0, 0] == alike(a, b)
