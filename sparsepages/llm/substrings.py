@@ -4,7 +4,10 @@ A chunk ends after a word whose hash is the greatest among the three words befor
 and after it. The hash is a gear hash of the 32 bytes up to the word's end, so
 the ends depend on their close surroundings alone: an insertion moves the chunks
 next to it, and behind it the same chunks follow as before. Chunks hold four words
-at least and about seven. Equal chunks have equal digests; a run of chunks that
+at least and about seven. Where a short phrase is repeated the greatest hashes are
+equal; a chunk then ends after some of them, six words apart. Text that goes on
+without white space is also cut between characters, where the hash is the greatest
+among 16 characters on either side, from the 64th byte of such a run on. Equal chunks have equal digests; a run of chunks that
 other documents have too is a repeated passage.
 """
 
@@ -18,6 +21,9 @@ from .common import settle
 
 REACH = 3  # words on either side that a chunk's last word must outdo
 LEAST_WORDS = 20  # words of a repeated passage
+WORD_CHARS = 8  # a passage of fewer words counts if it has that many characters for each word it should have
+LONG_RUN = 64  # bytes without white space after which characters are cut points
+RUN_REACH = 16  # characters on either side that a cut point must outdo
 
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -27,8 +33,50 @@ def _gear() -> np.ndarray:
     return np.random.default_rng(6).integers(0, 2**32, 256, dtype=np.uint32)
 
 
+def _peaks(value: np.ndarray, reach: int) -> np.ndarray:
+    """Where ``value`` is the greatest among ``reach`` neighbours on either side.
+
+    Of equal ones within reach of each other the first, and further ones that are
+    a whole number of distances, and twice ``reach`` or more, apart.
+    """
+    n = len(value)
+    padded = np.concatenate([np.full(reach, -1), value, np.full(reach, -1)])
+    best, tied = np.ones(n, bool), np.zeros(n, bool)
+    for k in range(1, reach + 1):
+        before = padded[reach - k : reach - k + n]
+        best &= (value >= before) & (value >= padded[reach + k : reach + k + n])
+        tied |= value == before
+    at = np.flatnonzero(best)
+    best &= ~tied
+    if len(at) > 1:
+        apart = np.diff(at, prepend=at[0])
+        goes_on = (apart > 0) & (apart <= reach) & (value[at] == value[np.roll(at, 1)])
+        start = at[np.maximum.accumulate(np.where(goes_on, 0, np.arange(len(at))))]
+        apart = np.maximum(apart, 1)
+        best[at[goes_on & ((at - start) % (apart * -(-2 * reach // apart)) == 0)]] = True
+    return best
+
+
+def _run_cuts(data: np.ndarray, rolled: np.ndarray, starts: np.ndarray, white: np.ndarray) -> np.ndarray:
+    """Cut points between characters in long runs without white space, which begin at ``starts``."""
+    ends = np.flatnonzero(~white & np.append(white[1:], True)) + 1
+    long_ = ends - starts > LONG_RUN
+    inside, values, run = [], [], []
+    for number, (a, b) in enumerate(zip(starts[long_].tolist(), ends[long_].tolist(), strict=True)):
+        at = np.flatnonzero((data[a + LONG_RUN : b] & 0xC0) != 0x80) + a + LONG_RUN
+        inside.append(at)
+        run.append(np.full(len(at), number))
+    if not inside:
+        return np.zeros(0, np.int64)
+    at = np.concatenate(inside)
+    place = np.arange(len(at)) + RUN_REACH * np.concatenate(run)  # runs do not reach into each other
+    values = np.full(len(at) + RUN_REACH * len(inside), -1, np.int64)
+    values[place] = (rolled[at - 1] * np.uint32(2654435761)).astype(np.int64)
+    return at[_peaks(values, RUN_REACH)[place]]
+
+
 def chunk_ends(data: np.ndarray, gear: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Byte positions after each chunk's last word and white space, and the number of words up to there."""
+    """Byte positions after each chunk's last word and white space, or in a long run, and the number of words begun up to there."""
     white = _WHITE[data]
     starts_after = np.flatnonzero(white[:-1] & ~white[1:]) + 1  # a word begins here, white space before it
     n = len(starts_after)
@@ -43,16 +91,12 @@ def chunk_ends(data: np.ndarray, gear: np.ndarray) -> tuple[np.ndarray, np.ndarr
             break
     value = (rolled[at] * np.uint32(2654435761)).astype(np.int64)
     lead = 1 if len(data) and not white[0] else 0
-    words_before = np.arange(n) + lead
-    if n:
-        padded = np.concatenate([np.full(REACH, -1), value, np.full(REACH, -1)])
-        best = np.ones(n, bool)
-        for k in range(1, REACH + 1):
-            best &= (value > padded[REACH - k : REACH - k + n]) & (value >= padded[REACH + k : REACH + k + n])
-    else:
-        best = np.zeros(0, bool)
+    lead = 1 if len(data) and not white[0] else 0
     if n or lead:
-        return np.concatenate([starts_after[best], [len(data)]]), np.concatenate([words_before[best], [n + lead]])
+        starts = np.concatenate([np.zeros(lead, np.int64), starts_after])
+        ends = np.concatenate([starts_after[_peaks(value, REACH)], _run_cuts(data, rolled, starts, white)])
+        ends = np.append(np.sort(ends), len(data))
+        return ends, np.searchsorted(starts, ends)
     return np.zeros(0, np.int64), np.zeros(0, np.int64)
 
 
@@ -114,8 +158,8 @@ def chunks(docs: DataFrame) -> DataFrame:
 def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``doc_id, doc, first, last, n_words, first_doc_id``: passages that a document of smaller id has too.
 
-    A passage is a run of neighbouring chunks, ``least_words`` words or more
-    together, each of which occurs in a document that comes before this one; so
+    A passage is a run of neighbouring chunks, together ``least_words`` words or
+    ``WORD_CHARS`` characters for each of these or more, each of which occurs in a document that comes before this one; so
     the first document with a passage keeps it. ``first_doc_id`` is the first
     document that has any of the run's chunks. Rows of one id count as one document
     (what they share with each other is no repeat); null ids come last and are
@@ -137,7 +181,7 @@ def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFr
             F.sum("n_words").alias("n_words"),
             F.min("origin").alias("origin"),
         )
-        .filter(F.col("n_words") >= least_words)
+        .filter((F.col("n_words") >= least_words) | (F.col("last") - F.col("first") >= WORD_CHARS * least_words))
         .select("doc_id", "doc", "first", "last", "n_words", F.when(F.col("origin") < (1 << 62), F.col("origin")).alias("first_doc_id"))
     )
 

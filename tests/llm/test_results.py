@@ -430,3 +430,35 @@ def test_trigram_bound_never_drops_a_similar_pair():
             b[at] = rng.choice(["", "x", "ab"])
         b = "".join(b)
         assert lines.similar_lines([a], [b])[0, 0] == alike(a, b)
+
+
+def test_passages_without_white_space_are_found(spark):
+    rng = random.Random(15)
+    new = lambda letters, n: "".join(rng.choices(letters, k=n))
+    han, code = [chr(0x4E00 + i) for i in range(3000)], "abcdefghijklmnopqrstuvwxyzABCDEF0123456789+/"
+    docs, want = {}, {}
+    for i, letters in enumerate([han, code, han, code]):
+        passage = new(letters, 600)
+        docs[2 * i] = new(letters, 300) + passage + new(letters, 200)
+        docs[2 * i + 1] = passage if i > 1 else new(letters, 100 + i) + passage + new(letters, 50)
+        want[2 * i + 1] = passage
+    table = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    found = {}
+    for r in substrings.repeated_passages(table).collect():
+        assert r["first_doc_id"] == r["doc_id"] - 1 and docs[r["doc_id"]][r["first"] : r["last"]] in want[r["doc_id"]]
+        found[r["doc_id"]] = found.get(r["doc_id"], 0) + r["last"] - r["first"]
+    assert set(found) == set(want) and min(found.values()) >= 400
+    cut = {r["doc_id"]: r["text"] for r in substrings.without_repeats(table).collect()}
+    assert all(len(cut[d]) == len(t) - found.get(d, 0) for d, t in docs.items())
+
+
+def test_passages_of_a_repeated_phrase_are_found(spark):
+    rng = random.Random(16)
+    new = lambda n: " ".join("".join(rng.choices("abcdefghijklmnoprstuv", k=rng.randint(3, 9))) for _ in range(n))
+    docs = {}
+    for i in range(60):
+        passage = " ".join([new(1 + i % 3)] * (60 // (1 + i % 3)))
+        for j in (0, 1):
+            docs[2 * i + j] = f"{new(40)} {passage} {new(30)}"
+    table = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    assert {r["doc_id"] for r in substrings.repeated_passages(table).collect()} >= set(range(1, 120, 2))
