@@ -8,7 +8,7 @@ at least and about seven. Where a short phrase is repeated the greatest hashes a
 equal; a chunk then ends after some of them, six words apart. Text that goes on
 without white space is also cut between characters, where the hash is the greatest
 among 16 characters on either side, from the 64th byte of such a run on. Equal chunks have equal digests; a run of chunks that
-other documents have too is a repeated passage.
+stand further ahead too, in this or another document, is a repeated passage.
 """
 
 from __future__ import annotations
@@ -156,19 +156,22 @@ def chunks(docs: DataFrame) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """``doc_id, doc, first, last, n_words, first_doc_id``: passages that a document of smaller id has too.
+    """``doc_id, doc, first, last, n_words, first_doc_id``: passages that stand further ahead too, in this document or one of smaller id.
 
     A passage is a run of neighbouring chunks, together ``least_words`` words or
-    ``WORD_CHARS`` characters for each of these or more, each of which occurs in a document that comes before this one; so
-    the first document with a passage keeps it. ``first_doc_id`` is the first
+    ``WORD_CHARS`` characters for each of these or more, each of which occurs
+    before, in a document that comes before this one or further ahead in this one;
+    so the first place of a passage keeps it. ``first_doc_id`` is the first
     document that has any of the run's chunks. Rows of one id count as one document
-    (what they share with each other is no repeat); null ids come last and are
-    documents of their own. Digests have 64 bits.
+    (a chunk of the same number in another of them is no repeat); null ids come
+    last and are documents of their own. Digests have 64 bits.
     """
     rows = chunks(docs)
-    seen = rows.groupBy("digest").agg(F.min("doc").alias("origin"), F.max("doc").alias("latest")).filter("origin <> latest")
+    place = F.struct("doc", "chunk")
+    seen = rows.groupBy("digest").agg(F.min(place).alias("origin"), F.max(place).alias("latest")).filter("origin <> latest")
     # A table of its own, so that the join can split a chunk that very many documents have.
-    again = rows.join(settle(seen.select("digest", "origin")), "digest").filter("doc <> origin")
+    seen = settle(seen.select("digest", F.col("origin.doc").alias("origin"), F.col("origin.chunk").alias("origin_chunk")))
+    again = rows.join(seen, "digest").filter("doc <> origin or chunk <> origin_chunk")
     # Repeated chunks only, each document for itself: as many rows as it has such chunks.
     in_doc = Window.partitionBy("doc").orderBy("chunk", "first")
     run = again.withColumn("run", F.col("chunk") - F.dense_rank().over(in_doc))

@@ -462,3 +462,16 @@ def test_passages_of_a_repeated_phrase_are_found(spark):
             docs[2 * i + j] = f"{new(40)} {passage} {new(30)}"
     table = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
     assert {r["doc_id"] for r in substrings.repeated_passages(table).collect()} >= set(range(1, 120, 2))
+
+
+def test_passages_repeated_within_a_document_are_found(spark):
+    rng = random.Random(17)
+    new = lambda n: " ".join("".join(rng.choices("abcdefghijklmnoprstuv", k=rng.randint(3, 9))) for _ in range(n))
+    passage = new(70)
+    docs = [(1, " ".join([new(40), passage, new(30), passage, new(30), passage])), (2, new(100)), (3, f"{new(30)} {passage}")]
+    found = sorted(substrings.repeated_passages(spark.createDataFrame(docs, "doc_id bigint, text string")).collect(), key=lambda r: (r["doc"], r["first"]))
+    assert [(r["doc_id"], r["first_doc_id"]) for r in found] == [(1, 1), (1, 1), (3, 1)]
+    text, second = docs[0][1], docs[0][1].index(passage, docs[0][1].index(passage) + 1)
+    assert found[0]["first"] >= second and all(docs[r["doc_id"] - 1][1][r["first"] : r["last"]].strip() in passage for r in found)
+    cut = {r["doc_id"]: r["text"] for r in substrings.without_repeats(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert passage in cut[1] and len(cut[1]) < len(text) - 600 and cut[2] == docs[1][1]
