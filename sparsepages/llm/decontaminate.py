@@ -23,7 +23,7 @@ _GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 def words_of(text: Column) -> Column:
     """Words with their case as in the text; null has none."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{_GAP}|{_GAP}$", "")
+    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), rf"^{_GAP}|{_GAP}\z", "")
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _GAP))
 
 

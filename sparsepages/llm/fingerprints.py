@@ -27,7 +27,7 @@ _SPACE = r"[\x20\x09-\x0D]+"
 
 def split_words(text: Column) -> Column:
     """Runs other than ASCII white space; none for an empty text."""
-    trimmed = F.regexp_replace(text, f"^{_SPACE}|{_SPACE}$", "")
+    trimmed = F.regexp_replace(text, rf"^{_SPACE}|{_SPACE}\z", "")
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SPACE))
 
 

@@ -15,7 +15,7 @@ _SPACE = r"[\x20\x09-\x0D]+"
 
 def n_words(text: Column) -> Column:
     """Number of runs other than ASCII white space; 0 for null."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), f"^{_SPACE}|{_SPACE}$", "")
+    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), rf"^{_SPACE}|{_SPACE}\z", "")
     return F.when(trimmed == "", 0).otherwise(F.size(F.split(trimmed, _SPACE))).cast("bigint")
 
 

@@ -475,3 +475,13 @@ def test_passages_repeated_within_a_document_are_found(spark):
     assert found[0]["first"] >= second and all(docs[r["doc_id"] - 1][1][r["first"] : r["last"]].strip() in passage for r in found)
     cut = {r["doc_id"]: r["text"] for r in substrings.without_repeats(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
     assert passage in cut[1] and len(cut[1]) < len(text) - 600 and cut[2] == docs[1][1]
+
+
+def test_gaps_before_a_last_line_separator_divide_words(spark):
+    """``$`` would match before a final U+0085, U+2028 or U+2029, which are parts of words."""
+    texts = [x for c in "\u0085\u2028\u2029" for x in (f"abc. {c}", f" abc {c}", f"abc{c}. ", f"a b{c}")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    out = rows.select("doc_id", decontaminate.words_of(F.col("text")).alias("w"), mixing.n_words(F.col("text")).alias("n"), fingerprints.split_words(F.col("text")).alias("s"))
+    for r in out.collect():
+        t = texts[r["doc_id"]]
+        assert (r["w"], r["n"], r["s"]) == (plain.WORD.findall(t), len(plain.RUN.findall(t)), plain.RUN.findall(t))
