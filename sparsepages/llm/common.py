@@ -5,24 +5,24 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-BROADCAST_ROWS = 500_000  # narrow rows only: some tens of MB
+BROADCAST_BYTES = 32_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; a temporary one where it is unset, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(folder)
-        return folder.rstrip("/")
-    folder = spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="sparsepages-"))
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder.rstrip("/")
+    """The folder that the cluster names in ``spark.checkpoint.dir``; where it is unset and all runs on this machine, as in tests, one of its own."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = "file://" + tempfile.mkdtemp(prefix="sparsepages-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
+    return (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()).rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -36,9 +36,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, marked for broadcast only if it has no more than ``rows`` rows; beyond that the join shuffles."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def if_small(df: DataFrame, row_bytes: int | Column = 64) -> DataFrame:
+    """``df``, marked for broadcast only if its rows hold no more than ``BROADCAST_BYTES``; beyond that the join shuffles.
+
+    ``row_bytes`` is what a row takes: a number for narrow rows, else a column.
+    """
+    size = F.sum(F.lit(row_bytes) if isinstance(row_bytes, int) else row_bytes)
+    return F.broadcast(df) if (df.agg(size).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
 def texts_of(batch, name: str = "text") -> list[str]:
@@ -46,6 +50,13 @@ def texts_of(batch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(name).to_pylist()]
 
 
+def whole_ids(docs: DataFrame, name: str = "doc_id") -> Column:
+    """The ids as 64-bit numbers; other kinds of ids are refused."""
+    if not isinstance(docs.schema[name].dataType, IntegralType):
+        raise ValueError(f"{name} must be a whole number, not {docs.schema[name].dataType.simpleString()}")
+    return F.col(name).cast("bigint")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

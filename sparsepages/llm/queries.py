@@ -7,13 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import aligned
 from .common import scratch, table
 from .decontaminate import contaminated_words
 from .fingerprints import edited_fingerprints
 from .lines import line_report
 from .mixing import mix
 from .neardup import near_duplicates
+from .phrases import collocations
 from .pii import pseudonymised
+from .sentencepieces import piece_digests
 from .substrings import repeated_passages
 from .tokencounts import count_tokens
 from .tokenfile import read_tokens, write_tokens
@@ -71,8 +74,35 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aligned(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_source_mixing, op4_minhash_neardup, op5_line_dedup, op6_substring_dedup, op7_fingerprints, op8_token_output, op9_pii_surrogates, op10_token_counts)}
+    every = (
+        op1_toxicity,
+        op2_decontamination,
+        op3_source_mixing,
+        op4_minhash_neardup,
+        op5_line_dedup,
+        op6_substring_dedup,
+        op7_fingerprints,
+        op8_token_output,
+        op9_pii_surrogates,
+        op10_token_counts,
+        op11_phrases,
+        op12_token_alignment,
+        op13_sentencepiece,
+    )
+    return {f.__name__: f for f in every}
 
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -122,4 +152,34 @@ def oracle_sql() -> dict[str, str]:
             select doc_id, coalesce(n, 0) as n_shingles, coalesce(component_id, doc_id) as component_id,
                    coalesce(component_id, doc_id) = doc_id as kept
             from documents left join n using (doc_id) left join least using (doc_id)""",
+        "op11_phrases": f"""
+            with piece as (
+                select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWER.replace("text", "coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) as piece
+                from documents
+            ),
+            w as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from piece),
+            g as (
+                select lang, w[i : i + k - 1] as g
+                from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from w, (select unnest(range(1, 6)) as k) where len(w) >= k)
+            ),
+            f as (select lang, g, len(g) as k, count(*) as f from g group by lang, g),
+            size as (select lang, sum(f) as n from f where k = 1 group by lang),
+            c as (select * from f where k > 1 and f >= 100),
+            cut as (select lang, g, k, f as a, unnest(range(1, k)) as j from c),
+            rated as (
+                select cut.lang, cut.g, a, l.f as l, r.f as r, n::bigint as n, j, (1000::hugeint * a * n::hugeint) // (l.f::hugeint * r.f) as score
+                from cut join size using (lang)
+                join f l on l.lang = cut.lang and l.g = cut.g[1:j] join f r on r.lang = cut.lang and r.g = cut.g[j + 1 :]
+            ),
+            best as (select * from rated qualify row_number() over (partition by lang, g order by score, j) = 1),
+            part as (
+                select lang, f, g[i : i + m - 1] as g
+                from (select *, unnest(range(1, k - i + 2)) as m from (select *, unnest(range(1, k + 1)) as i from c)) where m < k
+            ),
+            longer as (select lang, g, max(f) as f from part group by lang, g),
+            kept as (
+                select best.*, array_to_string(g, ' ') as phrase from best left join longer using (lang, g) where coalesce(longer.f, 0) < a
+            )
+            select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score::bigint as score
+            from kept qualify rank <= 2000""",
     }

@@ -5,32 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .vocab import PieceCounter, lasting
-
-BATCH_BYTES = 4_000_000
-
-
-def by_bytes(sizes: list[int], most: int = BATCH_BYTES) -> list[tuple[int, int]]:
-    """Ranges of consecutive rows of about ``most`` bytes each; a longer row stands alone."""
-    ranges, first, held = [], 0, 0
-    for i, size in enumerate(sizes):
-        if i > first and held + size > most:
-            ranges.append((first, i))
-            first, held = i, 0
-        held += size
-    if len(sizes) > first:
-        ranges.append((first, len(sizes)))
-    return ranges
+from .pieces import slices
+from .sentencepieces import PieceModel
 
 
 def count_tokens(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_tokens, over_limit``: the tokens of every whole text under the sentencepiece model at ``model``.
 
     One row per row of ``docs``, in any number and with any ids, also null and
-    repeated ones. A null text counts as empty: 0 bytes, 0 tokens. Long texts are
-    cut between words where no token can lie across, so their counts add up to
-    the count of the whole; an unbroken run without spaces stays one piece.
-    Further columns of ``docs`` are not read. Nothing is shuffled.
+    repeated ones. A null text counts as empty: 0 bytes, 0 tokens. Batches are
+    sliced by bytes; the texts of a slice are cut where no token can lie across,
+    their distinct pieces are given to the library in one call, and the numbers of
+    tokens are added up per text. An unbroken run without spaces or signs stays
+    one piece. Further columns of ``docs`` are not read. Nothing is shuffled.
     """
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     id_type = narrow.schema["doc_id"].dataType.simpleString()
@@ -39,15 +26,11 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, id_col: str = "
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        counter = lasting(model, lambda: PieceCounter(model))
+        counter = PieceModel(model)
         for batch in batches:
-            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
-            counts: list[int] = []
-            for a, b in by_bytes(sizes):
-                counts += [counter.count(t or "") for t in batch.column("text").slice(a, b - a).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(counts, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"]
-            )
+            for first, texts in slices(batch):
+                columns = [batch.column("doc_id").slice(first, len(texts)), pc.binary_length(texts).cast(pa.int64()), pa.array(counter.counts(texts))]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_tokens"])
 
     counted = narrow.mapInArrow(lengths, f"doc_id {id_type}, n_bytes bigint, n_tokens bigint")
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -26,7 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .vocab import IdEncoder, lasting
+from .common import whole_ids
+from .pieces import ByteIds, slices
 
 MAGIC = b"DACT0001"
 BLOCK = 512
@@ -143,7 +144,8 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_
     lie in ascending ``doc_id`` order over the files in the order of their names,
     null ids first; rows of one id are ordered by a hash of the text, so a repeated
     row changes nothing but its own number. A null or empty text is the end id
-    alone. An empty table gives an empty list and no files.
+    alone. An empty table gives an empty list and no files. Ids that are no whole
+    numbers are refused.
 
     Rows are dealt by ranges of ``doc_id`` (and of the text's hash within one id),
     sorted, and encoded as they are written: a task holds one file's ids at a
@@ -152,7 +154,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_
     """
     order = [F.col("doc_id").asc_nulls_first(), F.col("_tie")]
     dealt = (
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+        docs.select(whole_ids(docs).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
         .withColumn("_tie", F.xxhash64("text"))
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
@@ -162,31 +164,41 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = END_
     def write(batches):
         import pyarrow as pa
 
-        encoder, end = lasting(vocabulary, lambda: IdEncoder(vocabulary)), np.array([end_id], "<u4").tobytes()
-        part, piece, made = TaskContext.get().partitionId(), 0, []
+        encoder = ByteIds(vocabulary)
+        part, made = TaskContext.get().partitionId(), []
         fs, folder = _open(path)
         fs.create_dir(folder, recursive=True)
-        names, parts, held = [], [], 0
+        names, ids, sizes, held = [], [], [], 0  # of the documents of the file at hand
 
         def close():
-            nonlocal names, parts, held, piece
-            ids = np.frombuffer(b"".join(parts), "<u4")
-            starts = np.cumsum([0, *(len(p) // 4 for p in parts)])[:-1]
-            name = f"{folder}/part-{part:06d}-{piece:06d}.dact"
-            own = f"{folder}/_{part:06d}-{piece:06d}-{TaskContext.get().taskAttemptId()}"
+            nonlocal names, ids, sizes, held
+            starts = np.cumsum(np.concatenate(sizes))
+            starts = np.concatenate([[0], starts[:-1]])
+            name = f"{folder}/part-{part:06d}-{len(made):06d}.dact"
+            own = f"{folder}/_{part:06d}-{len(made):06d}-{TaskContext.get().taskAttemptId()}"
             with fs.open_output_stream(own) as out:
-                out.write(pack(ids, starts, names))
+                out.write(pack(np.concatenate(ids), starts, names))
             fs.move(own, name)
-            made.append((part, piece, name.rpartition("/")[2], len(names), len(ids)))
-            names, parts, held, piece = [], [], 0, piece + 1
+            made.append((part, len(made), name.rpartition("/")[2], len(names), held))
+            names, ids, sizes, held = [], [], [], 0
 
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                names.append(doc_id)
-                parts.append(encoder.encode(text.as_py()) + end)
-                held += len(parts[-1]) // 4
-                if held >= file_ids:
-                    close()
+            for first, texts in slices(batch):
+                own, starts = encoder.ids(texts)
+                own = np.insert(own, starts[1:], np.uint32(end_id))
+                starts = starts + np.arange(len(starts))
+                doc_ids, at = batch.column("doc_id").slice(first, len(texts)).to_pylist(), 0
+                while at < len(texts):
+                    # Documents up to the one with which the file is full.
+                    to = min(len(texts), int(np.searchsorted(starts, starts[at] + file_ids - held)))
+                    to = max(to, at + 1)
+                    names += doc_ids[at:to]
+                    ids.append(own[starts[at] : starts[to]])
+                    sizes.append(np.diff(starts[at : to + 1]))
+                    held += int(starts[to] - starts[at])
+                    at = to
+                    if held >= file_ids:
+                        close()
         if names:
             close()
         columns = list(zip(*made, strict=True)) or [[]] * 5

@@ -1,131 +1,10 @@
-"""Token ids and token counts of whole texts, by pieces that no merge can cross.
-
-Both vocabularies only merge inside a word with its leading space, so a text is
-cut where a single space follows a character that is no space, and each distinct
-piece is given to the tokenizer library once as long as a worker remembers it.
-Texts and pieces are never shortened.
-"""
+"""Places of public vocabulary files."""
 
 from __future__ import annotations
 
-import re
-import sys
-from array import array
-from types import ModuleType
-
 
 def vocabulary(name: str) -> str:
     """The place of a public vocabulary file, the same on the driver and the executors."""
     import public_tokenizers
 
     return public_tokenizers.path(name)
-
-
-RECENT_PIECES = 1 << 18  # pieces that a worker remembers, and as many that it has met before those
-RECENT_WORDS = 1 << 17  # the same for the words in them
-LONG = 64  # characters of pieces that are not remembered
-
-
-def lasting(name: str, make):
-    """What ``make()`` gave when first called under this name in this worker process, which outlives its tasks."""
-    held = sys.modules.setdefault("sparsepages_worker", ModuleType("sparsepages_worker")).__dict__
-    if name not in held:
-        held[name] = make()
-    return held[name]
-
-
-class Recent(dict):
-    """``make(piece)`` for any piece, remembered: the recent ones, and those before them until they are replaced as a whole."""
-
-    def __init__(self, size: int, make):
-        super().__init__()
-        self.size, self.make, self.before = size, make, {}
-
-    def __missing__(self, piece: str):
-        found = self.before.get(piece)
-        if found is None:
-            found = self.make(piece)
-            if len(piece) > LONG:
-                return found
-        if len(self) >= self.size:
-            self.before = dict(self)
-            self.clear()
-        self[piece] = found
-        return found
-
-
-_RUN = re.compile(r"\s\s")
-_LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_AFTER_WORD = re.compile(r"(?<=[^ ]) ")
-# Letters in every version of Unicode, then signs: at most one space, one word and one run of signs.
-_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%$&*#|]*)")
-
-
-def _byte_letters() -> dict[int, str]:
-    """The letter that byte-level vocabularies write for each byte: printable bytes stand for themselves, the others for the letters from 256 on."""
-    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    others = [b for b in range(256) if b not in shown]
-    return {b: chr(256 + i) for i, b in enumerate(others)}
-
-
-class IdEncoder:
-    """Ids of texts under a byte-level BPE file of the ``tokenizers`` library, as that library gives them without added special tokens."""
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.model = self.library.model
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.letters = _byte_letters()
-        self.words = Recent(RECENT_WORDS, self._word)
-        self.spaced = Recent(RECENT_PIECES, lambda piece: self._piece(" " + piece))
-
-    def _library(self, text: str) -> bytes:
-        return array("I", self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        """Ids of one word or run of signs, with the space before it if there is one."""
-        if word.isascii():
-            mapped = "Ġ" + word[1:] if word[0] == " " else word
-        else:
-            mapped = word.encode().decode("latin-1").translate(self.letters)
-        return array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        plain = _PLAIN.fullmatch(piece)
-        if not plain:
-            return self._library(piece)
-        word, signs = plain.groups()
-        return self.words[word] + self.words[signs] if signs else self.words[word]
-
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids of a text."""
-        if any(s in text for s in self.special):
-            return self._library(text)
-        first, *rest = _LONE_SPACE.split(text) if _RUN.search(text) else text.split(" ")
-        ids = b"".join(map(self.spaced.__getitem__, rest))
-        return self._piece(first) + ids if first else ids
-
-
-class PieceCounter:
-    """Numbers of tokens under a ``sentencepiece`` model whose pieces hold the space mark in front only."""
-
-    def __init__(self, path: str):
-        import sentencepiece
-
-        self.library = sentencepiece.SentencePieceProcessor(model_file=path)
-        mark = "▁"
-        pieces = (self.library.id_to_piece(i) for i in range(self.library.get_piece_size()))
-        # A piece with the mark after another letter could join two words: then texts stay whole.
-        self.joins = any(mark in p.lstrip(mark) for p in pieces) or self.library.encode("  a") == self.library.encode("a")
-        # An empty piece is the lone mark of a space at the end.
-        self.known = Recent(RECENT_PIECES, lambda piece: len(self.library.encode(piece)) if piece else 1)
-
-    def count(self, text: str) -> int:
-        if not text:
-            return 0
-        if self.joins or "▁" in text:
-            return len(self.library.encode(text))
-        pieces = _AFTER_WORD.split(text) if text[0] == " " or "  " in text else text.split(" ")
-        return sum(map(self.known.__getitem__, pieces))

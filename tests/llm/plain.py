@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 RUN = re.compile(r"[^\x20\x09-\x0D]+")
@@ -94,3 +94,66 @@ def edit_distance(a, b):
             new.append(min(row[j] + (x != y), row[j + 1] + 1, new[-1] + 1))
         row = new
     return row[-1]
+
+
+def collocations(rows, least=100, top=2000):
+    """rows: [(lang, text)]; sorted [(lang, rank, phrase, a, l, r, n, score)]"""
+    counts = defaultdict(Counter)
+    for lang, text in rows:
+        for piece in re.split("[.,;:!?\n-\r]", ascii_lower(text or "")):
+            own = re.findall("[^ \t]+", piece)
+            for k in range(1, 6):
+                for i in range(len(own) - k + 1):
+                    counts["und" if lang is None else lang][tuple(own[i : i + k])] += 1
+    out = []
+    for lang, f in counts.items():
+        n = sum(x for p, x in f.items() if len(p) == 1)
+        frequent = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        longer = Counter()
+        for p, a in frequent.items():
+            for i in range(len(p)):
+                for m in range(2, len(p) - i + 1):
+                    if m < len(p):
+                        longer[p[i : i + m]] = max(longer[p[i : i + m]], a)
+        rated = []
+        for p, a in frequent.items():
+            if longer[p] < a:
+                score, k = min((1000 * a * n // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+                rated.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        out += [(lang, i + 1, p.decode(), -a, l, r, n, -s) for i, (s, a, p, l, r) in enumerate(sorted(rated)[:top])]
+    return sorted(out)
+
+
+def alignment(docs, a_encode, a_bytes, b_encode, b_bytes):
+    """docs: {id: text}; {id: (n_a, n_b, n_groups, n_links, n_best, count_sum, digest)}"""
+    found, counts = {}, Counter()
+    for d, text in docs.items():
+        want = b" " + (text or "").encode()
+        a, b = (a_encode(" " + text), b_encode(text)) if text else ([], [])
+        parts = [[of[i] for i in ids] for ids, of in ((a, a_bytes), (b, b_bytes))]
+        if not text or any(b"".join(p) != want for p in parts):
+            continue
+        ends = [_ends(p) for p in parts]
+        listed, links, i, j = [], [], 0, 0
+        for end in sorted(set(ends[0]) & set(ends[1])):
+            x, y = ends[0].index(end, i) + 1, ends[1].index(end, j) + 1
+            listed.append(",".join(map(str, a[i:x])) + "|" + ",".join(map(str, b[j:y])))
+            links.append((a[x - 1], b[y - 1]))
+            i, j = x, y
+        counts.update(links)
+        found[d] = len(a), len(b), links, hashlib.sha256(";".join(listed).encode()).hexdigest()
+    best = Counter()
+    for (_, y), n in counts.items():
+        best[y] = max(best[y], n)
+    out = dict.fromkeys(docs, (0, 0, 0, 0, 0, 0, ""))
+    for d, (n_a, n_b, links, digest) in found.items():
+        out[d] = n_a, n_b, len(links), len(links), sum(counts[x] == best[x[1]] for x in links), sum(counts[x] for x in links), digest
+    return out
+
+
+def _ends(parts):
+    out, total = [], 0
+    for p in parts:
+        total += len(p)
+        out.append(total)
+    return out

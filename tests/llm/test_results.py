@@ -4,10 +4,11 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sparsepages.llm import common, decontaminate, fingerprints, lines, mixing, neardup, pii, substrings, tokencounts, tokenfile, toxicity, vocab
+from sparsepages.llm import common, decontaminate, fingerprints, lines, mixing, neardup, pieces, pii, sentencepieces, substrings, tokencounts, tokenfile, toxicity, vocab
 from sparsepages.llm.linking import connected
 
 from . import plain
@@ -270,21 +271,32 @@ def _odd_texts():
     return ["".join(rng.choices(parts, k=rng.randint(0, 14))) for _ in range(8000)]
 
 
-def test_piecewise_ids_and_counts_equal_the_libraries(texts):
+def _arrow(texts):
+    return pa.array(texts, pa.large_string())
+
+
+@pytest.mark.parametrize("specials_are_text", [False, True])
+def test_byte_ids_equal_the_library(texts, specials_are_text):
     odd = _odd_texts() + list(texts.values())
-    ids = vocab.IdEncoder(vocab.vocabulary("byte_bpe_50k.json"))
-    assert [ids.encode(t) for t in odd] == [np.array(e.ids, "<u4").tobytes() for e in ids.library.encode_batch(odd, add_special_tokens=False)]
-    counter = vocab.PieceCounter(vocab.vocabulary("piece_bpe_32k.model"))
-    assert [counter.count(t) for t in odd] == [len(x) for x in counter.library.encode(odd)]
+    own = pieces.ByteIds(vocab.vocabulary("byte_bpe_50k.json"), specials_are_text)
+    ids, at = own.ids(_arrow(odd))
+    want = own.library.encode_batch(odd, add_special_tokens=False)
+    assert [ids[x:y].tolist() for x, y in zip(at, at[1:], strict=False)] == [e.ids for e in want]
+
 
+def test_recent_pieces_are_remembered_and_results_stay():
+    asked = []
 
-def test_caches_forget_and_results_stay(texts, monkeypatch):
-    monkeypatch.setattr(vocab, "RECENT_PIECES", 50)
-    monkeypatch.setattr(vocab, "RECENT_WORDS", 20)
-    odd = list(texts.values())[:40]
-    ids = vocab.IdEncoder(vocab.vocabulary("byte_bpe_50k.json"))
-    for t in odd:
-        assert ids.encode(t) == np.array(ids.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+    def make(some):
+        asked.extend(some)
+        return [p * 2 for p in some]
+
+    known = pieces.Remembered(make, most=2000)
+    rng = random.Random(3)
+    for _ in range(50):
+        some = list({b"%d" % rng.randrange(60) for _ in range(20)} | {b"x" * 70})
+        assert known(some) == [p * 2 for p in some]
+    assert len(known.known) + len(known.before) <= 24 and asked.count(b"x" * 70) == 50 and len(asked) < 50 * 21
 
 
 def test_token_file_addresses_every_id():
@@ -304,7 +316,7 @@ def test_token_files_round_trip(spark, documents, texts):
     path = common.scratch(spark, "tokens")
     listed = tokenfile.write_tokens(documents, vocab.vocabulary("byte_bpe_50k.json"), path, file_ids=5000)
     assert listed.count() > 4
-    library = vocab.IdEncoder(vocab.vocabulary("byte_bpe_50k.json")).library
+    library = pieces.ByteIds(vocab.vocabulary("byte_bpe_50k.json")).library
     got = {r["doc_id"]: r for r in tokenfile.read_tokens(spark, path).collect()}
     start = 0
     for d in sorted(texts):
@@ -314,11 +326,11 @@ def test_token_files_round_trip(spark, documents, texts):
 
 
 def test_token_counts(documents, texts):
-    library = vocab.PieceCounter(vocab.vocabulary("piece_bpe_32k.model")).library
+    library = sentencepieces.PieceModel(vocab.vocabulary("piece_bpe_32k.model")).library
     for r in tokencounts.count_tokens(documents, vocab.vocabulary("piece_bpe_32k.model")).collect():
         n = len(library.encode(texts[r["doc_id"]]))
         assert (r["n_bytes"], r["n_tokens"], r["over_limit"]) == (len(texts[r["doc_id"]].encode()), n, n > 4096)
-    assert tokencounts.by_bytes([5, 5, 30, 1, 1], 10) == [(0, 2), (2, 3), (3, 5)] and tokencounts.by_bytes([]) == []
+    assert pieces.by_bytes([5, 5, 30, 1, 1], 10) == [(0, 2), (2, 3), (3, 5)] and pieces.by_bytes([]) == []
 
 
 # ---- personal data

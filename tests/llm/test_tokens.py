@@ -1,0 +1,124 @@
+"""Offset-preserving encoding and the alignment of two tokenizers, against the libraries and a plain version."""
+
+import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from sparsepages.llm import alignment, common, sentencepieces
+from sparsepages.llm.vocab import vocabulary
+
+from . import plain
+
+BYTES, PIECES = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+PARTS = ["a", "b", "é", " ", "  ", "\n", "\t", "'s", "1", "23", ".", ",!", "<|endoftext|>", "<s>", "\xa0", "　", "▁", "中", "😀", "\x1c", "\r", "ß", "x" * 70, "\x00", "<0x0A>", "“q”", " \n", "ﬁ", "ａ", "Å", "½", "㌔", "ｶﾞ", "\xad", "…", "hello", "unbelievable"]
+
+
+def odd_texts(n, seed=1):
+    rng = random.Random(seed)
+    return ["".join(rng.choices(PARTS, k=rng.randint(0, 14))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module", params=["as it is", "nmt_nfkc, single spaces", "nfkc_cf, no space in front"])
+def model(request, tmp_path_factory):
+    """The public model, also with other normalisation rules than its own."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    if request.param == "as it is":
+        return PIECES
+    with open(PIECES, "rb") as source:
+        changed = proto.ModelProto.FromString(source.read())
+    name = request.param.split(",")[0]
+    single = "single" in request.param
+    made = sentencepiece.SentencePieceNormalizer(rule_name=name, add_dummy_prefix=single, remove_extra_whitespaces=single, escape_whitespaces=True)
+    changed.normalizer_spec.CopyFrom(proto.NormalizerSpec.FromString(made.serialized_normalizer_spec()))
+    path = tmp_path_factory.mktemp("model") / "own.model"
+    path.write_bytes(changed.SerializeToString())
+    return str(path)
+
+
+def test_pieces_and_their_places_equal_the_library(model, texts):
+    own, odd = sentencepieces.PieceModel(model), odd_texts(4000) + list(texts.values())[:60]
+    ids, at, first, last = own.spans(pa.array(odd, pa.large_string()))
+    assert own.counts(pa.array(odd, pa.large_string())).tolist() == np.diff(at).tolist()
+    for k, want in enumerate(own.library.encode(odd, return_type="proto")):
+        part = slice(at[k], at[k + 1])
+        assert ids[part].tolist() == [p.id for p in want.pieces], odd[k]
+        got = list(zip(first[part].tolist(), last[part].tolist(), strict=True))
+        assert got == [(p.begin, p.end) for p in want.pieces], odd[k]
+
+
+def test_character_map_takes_the_longest_prefix():
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    made = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc")
+    own = sentencepieces.CharMap(proto.NormalizerSpec.FromString(made.serialized_normalizer_spec()).precompiled_charsmap)
+    assert own.longest("xｶﾞ".encode(), 1) == (6, "ガ".encode())  # not the shorter rule for its first character
+    assert own.longest("xｶa".encode(), 1) == (3, "カ".encode())
+    assert own.longest(b"abc", 0) is None and own.longest(b"", 0) is None
+
+
+def test_decimals():
+    ids = np.array([0, 7, 10, 99, 100, 31_999, 5], np.uint32)
+    text, at = sentencepieces.decimals(ids)
+    assert text.tobytes() == b"0,7,10,99,100,31999,5," and at.tolist() == [0, 2, 4, 7, 10, 14, 20, 22]
+    assert sentencepieces.decimals(ids[:0])[0].tobytes() == b""
+
+
+def test_digests_and_pieces(spark, documents, texts):
+    library = sentencepieces.PieceModel(PIECES).library
+    digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    for r in sentencepieces.piece_digests(documents, PIECES).collect():
+        ids = library.encode(texts[r["doc_id"]])
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), digest(",".join(map(str, ids))), digest(library.decode(ids)))
+        assert r["n_covered"] == len(texts[r["doc_id"]].encode())
+    row = sentencepieces.with_pieces(spark.createDataFrame([(1, "Hello wörld 😀")], "doc_id int, text string"), PIECES).first()
+    raw = "Hello wörld 😀".encode()
+    shown = [raw[a:b].decode() for a, b in zip(row["first"], row["last"], strict=True)]
+    assert "".join(shown) == row["decoded"] == raw.decode() and shown[0] == "Hello" and len(row["ids"]) == len(shown)
+
+
+def test_odd_rows(odd, no_documents):
+    out = sentencepieces.piece_digests(odd, PIECES).collect()
+    nothing = hashlib.sha256(b"").hexdigest()
+    assert len(out) == 12 and all((r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (0, nothing, nothing) for r in out if r["doc_id"] in (2, 3))
+    assert sentencepieces.piece_digests(no_documents, PIECES).count() == sentencepieces.with_pieces(no_documents, PIECES).count() == 0
+    out = {(r["doc_id"], r["n_a"]): r for r in alignment.aligned(odd, BYTES, PIECES).collect()}
+    assert all(tuple(out[d, 0])[1:] == (0, 0, 0, 0, 0, 0, "") for d in (2, 3)) and (4, 0) not in out
+    assert alignment.aligned(no_documents, BYTES, PIECES).count() == 0
+
+
+# ---- alignment
+
+
+def test_inner_ends():
+    rng = random.Random(2)
+    for n in (0, 1, 2, 5, 40, 900):
+        for _ in range(30):
+            a, b = ({*rng.sample(range(1, n + 1), rng.randint(0, n)), n} - {0} for _ in range(2))
+            if rng.random() < 0.5:
+                b = a | b if rng.random() < 0.5 else set(a)
+            a, b = np.array(sorted(a), np.int64), np.array(sorted(b), np.int64)
+            got = alignment.inner_ends(a, b)
+            assert [a[i] for i in got[0]] == sorted({*a} - {*b}) and [b[j] for j in got[1]] == sorted({*b} - {*a})
+
+
+@pytest.mark.parametrize("bound", [common.BROADCAST_BYTES, 0])
+def test_alignment_equals_plain(spark, texts, bound, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_BYTES", bound)
+    docs = dict(enumerate(odd_texts(1500, 5))) | {10_000 + d: t for d, t in list(texts.items())[:60]} | {20_000: None}
+    own = alignment.Aligner(BYTES, PIECES)
+    want = plain.alignment(docs, lambda t: own.a.library.encode(t, add_special_tokens=False).ids, own.a_bytes, own.b.library.encode, own.b_bytes)
+    table = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string").repartition(5)
+    assert {r[0]: tuple(r[1:]) for r in alignment.aligned(table, BYTES, PIECES).collect()} == want
+    assert sum(w[0] == 0 for w in want.values()) > 100  # texts with the space mark
+
+
+def test_token_bytes():
+    own = alignment.Aligner(BYTES, PIECES)
+    assert own.a_bytes[own.a.library.token_to_id("Ġthe")] == b" the" and own.a_bytes[50256] == b"<|endoftext|>"
+    assert own.b_bytes[own.b.library.piece_to_id("▁the")] == b" the" and own.b_bytes[own.b.library.piece_to_id("<0x0A>")] == b"\n"
