@@ -157,3 +157,12 @@ def _ends(parts):
         total += len(p)
         out.append(total)
     return out
+
+
+def blocks(sign, widths):
+    """Pairs of blocks of a signature, lowest bits first."""
+    sign, out = sign % 2**64, []
+    for w in widths:
+        out.append(sign % 2**w)
+        sign >>= w
+    return {(i, j, out[i], out[j]) for j in range(len(out)) for i in range(j)}
