@@ -28,7 +28,9 @@ from pyspark.sql import functions as F
 from .common import settle
 
 BLOCK = 256  # members compared at once
-ROWS_AT_ONCE = 1000  # rows of small groups that a task gets together
+BLOCK_BYTES = 8_000_000  # of the items of a block, about; a larger item is a block of its own
+LOT_BYTES = 16_000_000  # of the items of small groups that a task gets together
+LOT_ROWS = 1000  # of them, and no more rows than this
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -104,15 +106,17 @@ def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataF
     )
     ids = stars.select(F.col("a").alias("id")).unionByName(stars.select(F.col("b").alias("id"))).distinct()
     held = settle(items(ids))
+    bytes_of = settle(held.select("id", F.octet_length("item").alias("bytes")))
+    blocks_of = lambda n: F.ceil(F.greatest(n / BLOCK, F.sum("bytes") / BLOCK_BYTES))
 
     # 1: members against their leader, at most BLOCK of them in a group.
-    size = stars.groupBy("a").agg(F.ceil(F.count("*") / BLOCK).alias("n"))
+    size = stars.join(bytes_of.withColumnRenamed("id", "b"), "b").groupBy("a").agg(blocks_of(F.count("*")).alias("n"))
     dealt = stars.join(size, "a").select("a", F.pmod(F.xxhash64("b"), "n").alias("part"), F.col("b").alias("id"))
     heads = dealt.select("a", "part").distinct().withColumn("id", F.col("a"))
     facing = dealt.unionByName(heads).select(
         F.xxhash64("a", "part").alias("group"), (F.col("id") == F.col("a")).cast("int").alias("side"), F.col("a").alias("comp"), "id"
     )
-    first = settle(_compared(facing, held, similar, False))
+    first = settle(_compared(facing, held, bytes_of, similar, False))
 
     # 2: components that face each other across a star without a link of their own.
     comp = settle(connected(first))
@@ -125,19 +129,19 @@ def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataF
         placed = settle(within.join(settle(divided.filter("low <> high and n > 2").select("group")), "group").select("comp", "id", "group"))
     else:
         placed = _facing(stars, side, of_comp)
-    sizes = placed.groupBy("group", "comp").agg(F.count("*").alias("n"))
-    loose = sizes.groupBy("group").agg(F.sum(F.when(F.col("n") < BLOCK, F.col("n"))).alias("loose"))
+    sized = placed.join(bytes_of, "id")
+    sizes = sized.groupBy("group", "comp").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), blocks_of(F.count("*")).alias("parts"))
+    # Components of less than a block share blocks, the others have blocks of their own.
+    loose = sizes.filter("parts <= 1").groupBy("group").agg(blocks_of(F.sum("n")).alias("loose"))
     open_ = settle(
-        placed.join(loose, "group")
-        .join(sizes, ["group", "comp"])
+        placed.join(sizes.drop("bytes"), ["group", "comp"])
+        .join(loose, "group", "left")
         .select(
             "group",
             "comp",
             "id",
-            F.when(F.col("n") < BLOCK, F.lit(None).cast("bigint")).otherwise(F.col("comp")).alias("own"),
-            F.when(F.col("n") < BLOCK, F.pmod(F.xxhash64("comp"), F.ceil(F.col("loose") / BLOCK)))
-            .otherwise(F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / BLOCK)))
-            .alias("slot"),
+            F.when(F.col("parts") > 1, F.col("comp")).alias("own"),
+            F.when(F.col("parts") > 1, F.pmod(F.xxhash64("id"), F.col("parts"))).otherwise(F.pmod(F.xxhash64("comp"), F.col("loose"))).alias("slot"),
         )
     )
     blocks = open_.select("group", "own", "slot").distinct()
@@ -161,7 +165,7 @@ def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataF
     members = s.join(
         o, (F.col("s.group") == F.col("o.group")) & (F.col("s.slot") == F.col("o.slot")) & F.col("s.own").eqNullSafe(F.col("o.own"))
     ).select(F.col("pair").alias("group"), "side", "comp", "id")
-    second = _compared(members, held, similar, True)
+    second = _compared(members, held, bytes_of, similar, True)
     comp_of = lambda end: of_comp.select(F.col("id").alias(end), F.col("comp").alias(f"comp_{end}"))
     joined = second.join(comp_of("a"), "a").join(comp_of("b"), "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
     last = connected(joined).select(F.col("id").alias("comp"), "root")
@@ -175,7 +179,7 @@ def _facing(stars: DataFrame, side: Callable, of_comp: DataFrame) -> DataFrame:
     return settle(of_comp.join(facing, "comp"))
 
 
-def _compared(members: DataFrame, held: DataFrame, similar: Callable, forest: bool) -> DataFrame:
+def _compared(members: DataFrame, held: DataFrame, bytes_of: DataFrame, similar: Callable, forest: bool) -> DataFrame:
     """Links between the sides of each group of ``members`` (``group, side, comp, id``)."""
 
     def pair_up(side, comp, ids, items):
@@ -202,7 +206,8 @@ def _compared(members: DataFrame, held: DataFrame, similar: Callable, forest: bo
         a, b = (np.concatenate([np.asarray(f[k], np.int64) for f in found]) for k in (0, 1))
         return pd.DataFrame({"a": a, "b": b})
 
-    # Small groups are handed over together, about ROWS_AT_ONCE rows at a time.
-    lots = max(1, members.count() // ROWS_AT_ONCE)
+    # Small groups are handed over together, as many as have about LOT_ROWS rows or LOT_BYTES of items.
+    rows, size = members.join(bytes_of, "id").agg(F.count("*"), F.sum("bytes")).first()
+    lots = int(max(1, rows // LOT_ROWS, (size or 0) // LOT_BYTES))
     given = members.join(held, "id").withColumn("lot", F.pmod(F.xxhash64("group"), F.lit(lots)))
     return given.select("lot", "group", "side", "comp", "id", "item").groupBy("lot").applyInPandas(compare, "a bigint, b bigint")

@@ -19,7 +19,7 @@ from .linking import linked
 
 HALVES = 32
 MISS = 2e-5
-KNOWN_WORDS = 1 << 20
+KNOWN_WORDS = 1 << 16
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -170,10 +170,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     def sets_of(ids: DataFrame) -> DataFrame:
         """The shingles of one document for each set."""
+        # Copies of a set combine before anything meets by set.
         one = (
-            signed.join(ids.select(F.col("id").alias("set_key")), "set_key")
+            signed.filter("set_key is not null")
             .groupBy("set_key")
             .agg(F.min(F.struct("doc_id", "text_hash")).alias("of"))
+            .join(ids.select(F.col("id").alias("set_key")), "set_key")
             .select("set_key", F.col("of.doc_id").alias("of_id"), F.col("of.text_hash").alias("of_hash"))
         )
         texts = narrow.join(if_small(settle(one)), F.col("doc_id").eqNullSafe(F.col("of_id")) & F.col("text_hash").eqNullSafe(F.col("of_hash")))

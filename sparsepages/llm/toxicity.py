@@ -17,7 +17,7 @@ BITS = 20  # 2**BITS features: at most 12 MB of weights
 SAMPLE_ROWS = 20_000  # labelled documents to learn from, about
 EPOCHS = 4
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 8.0, 0.2
-KNOWN_WORDS = 1 << 20
+KNOWN_WORDS = 1 << 16
 SEED = 7
 THRESHOLD = 0.3
 
