@@ -2,10 +2,10 @@
 
 Detected mentions are e-mail addresses, IPv4 addresses, telephone and card
 numbers, secrets behind a telling name, and persons behind a title. Every entity
-gets one replacement, drawn from a keyed digest of its kind and normal form, so
-all mentions of it agree; the replacement keeps the mention's lengths,
-separators, letter case, script, check digit and, with persons, gender.
-Replacements that meet each other or a real entity are drawn again.
+gets one replacement by a keyed permutation of the forms of its class, persons by
+a keyed digest, so all mentions of it agree; the replacement keeps the mention's
+lengths, separators, letter case, script, check digit and, with persons, gender.
+Replacements that meet each other or a real entity are made again.
 """
 
 from __future__ import annotations
@@ -86,29 +86,65 @@ def _pick(words: str, at: str) -> str:
     return f"array({names})[{at} % {len(words.split())}]"
 
 
-def _drawn(rows: DataFrame, key: str) -> DataFrame:
-    """``rows`` (``kind, normal, attempt``) with ``surrogate``, the replacement of the normal form."""
-    secret = key.replace("'", "''")
-    rows = rows.withColumn("noise", F.expr(f"sha2(concat_ws('|', '{secret}', kind, normal, cast(attempt as string)), 512)"))
-    byte = "cast(conv(substr(noise, 2 * ((i - 1) % 64) + 1, 2), 16, 10) as int)"
-    c = "substr(normal, i, 1)"
+ROUNDS = 6  # of the permutation
+ATTEMPTS = 32  # to miss the real forms of other entities
+DENSE = 8  # a class with more entities than one form in so many has no room to miss them
+
 
-    def letters(chars: str, digits: str) -> str:
-        return (
-            f"transform({chars}, i -> case when {c} rlike '[0-9]' then {digits}"
-            f" when {c} rlike '[a-z]' then char(97 + {byte} % 26) when {c} rlike '[A-Z]' then char(65 + {byte} % 26) else {c} end)"
-        )
+def _cells(rows: DataFrame) -> DataFrame:
+    """``rows`` (``kind, normal``) with ``chars``, the parts of the normal form, and ``cells``: value, number of values, and half of each part.
 
+    Parts with one value stay as they are. Forms with the same parts of one value
+    and the same numbers of values are a ``form``, which has ``room`` for so many.
+    """
+    c = "substr(normal, i, 1)"
+    hexa = "kind = 'secret' and normal rlike '^[0-9a-f]+$'"
+    fixed = (
+        "(kind = 'email' and i > length(normal) - length(substring_index(normal, chr(46), -1)))"
+        " or (kind in ('phone', 'card') and i = 1) or (kind = 'card' and i = length(normal))"
+    )
+    cell = (
+        f"case when {fixed} then struct(0 as x, 1 as r, i % 2 as half)"
+        f" when {hexa} then struct(instr('0123456789abcdef', {c}) - 1 as x, 16 as r, i % 2 as half)"
+        f" when {c} rlike '[0-9]' then struct(ascii({c}) - 48 as x, 10 as r, i % 2 as half)"
+        f" when {c} rlike '[a-z]' then struct(ascii({c}) - 97 as x, 26 as r, i % 2 as half)"
+        f" when {c} rlike '[A-Z]' then struct(ascii({c}) - 65 as x, 26 as r, i % 2 as half)"
+        " else struct(0 as x, 1 as r, i % 2 as half) end"
+    )
+    octet = (
+        "case length(o) when 1 then struct(cast(o as int) as x, 10 as r, i % 2 as half)"
+        " when 2 then struct(cast(o as int) - 10 as x, 90 as r, i % 2 as half) else struct(cast(o as int) - 100 as x, 156 as r, i % 2 as half) end"
+    )
     every = "sequence(1, length(normal))"
-    digit = f"cast({byte} % 10 as string)"
-    tld = "substring_index(normal, chr(46), -1)"
-    email = f"concat(array_join({letters(f'sequence(1, length(normal) - length({tld}))', digit)}, ''), {tld})"
-    phone = f"concat(substr(normal, 1, 1), array_join(transform(sequence(2, length(normal)), i -> {digit}), ''))"
-    body = f"concat(substr(normal, 1, 1), array_join(transform(sequence(2, length(normal) - 1), i -> {digit}), ''))"
-    octet = "element_at(split(normal, '[.]'), i)"
-    ip = f"array_join(transform(sequence(1, 4), i -> cast(case length({octet}) when 1 then {byte} % 10 when 2 then 10 + {byte} % 90 else 100 + {byte} % 156 end as string)), '.')"
-    hexa = f"array_join(transform({every}, i -> if(normal = upper(normal), upper(lower(hex({byte} % 16))), lower(hex({byte} % 16)))), '')"
-    plain = f"array_join({letters(every, digit)}, '')"
+    return (
+        rows.withColumn("chars", F.expr(f"if(kind = 'ip', split(normal, '[.]'), transform({every}, i -> {c}))"))
+        .withColumn("cells", F.expr(f"if(kind = 'ip', transform(split(normal, '[.]'), (o, i) -> {octet}), transform({every}, i -> {cell}))"))
+        .withColumn("form", F.expr("concat_ws('|', kind, array_join(zip_with(cells, chars, (c, o) -> if(c.r = 1, o, cast(c.r as string))), ','))"))
+        .withColumn("room", F.expr("aggregate(cells, 1D, (n, c) -> n * c.r)"))
+    )
+
+
+def _drawn(rows: DataFrame, key: str) -> DataFrame:
+    """``rows`` (``kind, normal, attempt``) with ``form``, ``room`` and ``surrogate``, the replacement of the normal form.
+
+    A name is drawn from a keyed digest. Every other form goes through a keyed
+    permutation of the forms of its class: in each round the values of one half
+    of the parts are shifted by a digest of the other half, so different forms
+    stay different.
+    """
+    secret = key.replace("'", "''")
+    rows = _cells(rows)
+    for k in range(ROUNDS):
+        other = f"array_join(transform(filter(cells, c -> c.half <> {k % 2}), c -> cast(c.x as string)), ',')"
+        digest = f"sha2(concat_ws('|', '{secret}', form, cast(attempt as string), '{k}', {other}), 512)"
+        noise = f"flatten(array_repeat(regexp_extract_all({digest}, '....', 0), cast(size(cells) div 32 + 1 as int)))"
+        shifted = f"(c.x + if(c.half = {k % 2}, cast(conv(n, 16, 10) as int), 0)) % c.r"
+        rows = rows.withColumn("cells", F.expr(f"zip_with(cells, slice({noise}, 1, size(cells)), (c, n) -> struct({shifted} as x, c.r as r, c.half as half))"))
+    shown = (
+        "array_join(zip_with(cells, chars, (c, o) -> case when c.r = 1 then o when c.r = 16 then substr('0123456789abcdef', c.x + 1, 1)"
+        " when c.r = 10 then cast(c.x as string) when o rlike '[a-z]' then chr(97 + c.x) else chr(65 + c.x) end), '')"
+    )
+    ip = "array_join(transform(cells, c -> cast(c.x + case c.r when 10 then 0 when 90 then 10 else 100 end as string)), '.')"
     n = "cast(conv(substr(noise, {}, 6), 16, 10) as int)"
     person = "case " + " ".join(
         # After some attempts a further family name is joined on, so that names never run out.
@@ -116,40 +152,54 @@ def _drawn(rows: DataFrame, key: str) -> DataFrame:
         f" array_join(transform(sequence(0, cast(least(attempt, 16) as int)), i -> {_pick(FAMILY[g, s], 'cast(conv(substr(noise, 7 + 6 * i, 6), 16, 10) as int)')}), '-'))"
         for g, s in GIVEN
     ) + " end"
-    rows = rows.withColumn("body", F.when(F.col("kind") == "card", F.expr(body)))
+    rows = rows.withColumn("noise", F.expr(f"sha2(concat_ws('|', '{secret}', kind, normal, cast(attempt as string)), 512)"))
+    rows = rows.withColumn("shown", F.expr(shown)).withColumn("body", F.expr("substr(shown, 1, length(shown) - 1)"))
     card = f"concat(body, cast((10 - {_luhn_sum('body', 1)} % 10) % 10 as string))"
     return rows.withColumn(
         "surrogate",
-        F.when(F.col("kind") == "email", F.expr(email))
-        .when(F.col("kind") == "phone", F.expr(phone))
-        .when(F.col("kind") == "card", F.expr(card))
+        F.when(F.col("kind") == "card", F.expr(card))
         .when(F.col("kind") == "ip", F.expr(ip))
         .when(F.col("kind").startswith("person"), F.expr(person))
-        .when(F.col("normal").rlike("^([0-9a-f]+|[0-9A-F]+)$"), F.expr(hexa))
-        .otherwise(F.expr(plain)),
-    ).drop("noise", "body")
+        .otherwise(F.col("shown")),
+    ).drop("noise", "body", "shown", "cells", "chars")
 
 
 def surrogates(entities: DataFrame, key: str = _KEY) -> DataFrame:
-    """``kind, normal, surrogate`` for distinct ``kind, normal``; no two entities share a replacement and none is a real entity's form.
+    """``kind, normal, surrogate`` for distinct ``kind, normal``; no two entities share a replacement.
 
-    Of several entities with the same draw the smallest normal form keeps it; the
-    others, and draws that are a real form, draw again, until none is left.
-    Genders share one pool of names when draws are compared.
+    Nor is a replacement the form of a real entity, as long as its class of forms
+    has room: proposals that are taken or a real form are made again, by another
+    permutation, ``ATTEMPTS`` times at most. In classes with more entities than one
+    form in ``DENSE``, and where proposals are still left, the permutation's values
+    stand: they differ from each other, but may be the form of another entity (with
+    all 10,000 addresses of four one-digit numbers there is no other way). Names
+    left over stand with 17 family names. Genders share one pool of names.
     """
     pool = F.element_at(F.split("kind", ":"), 1)
     real = settle(entities.select("kind", "normal").distinct().withColumn("pool", pool))
-    now = settle(_drawn(real.withColumn("attempt", F.lit(0)), key))
-    while True:
-        owner = now.groupBy("pool", "surrogate").agg(F.min(F.struct("normal", "kind")).alias("owner"), F.count("*").alias("n"))
-        taken = real.select("pool", F.col("normal").alias("surrogate")).distinct().withColumn("real", F.lit(True))
-        judged = now.join(owner, ["pool", "surrogate"]).join(taken, ["pool", "surrogate"], "left")
-        again = F.col("real").isNotNull() | (F.struct("normal", "kind") != F.col("owner"))
-        judged = settle(judged.select("kind", "normal", "pool", "attempt", "surrogate", again.alias("again")))
-        if not judged.filter("again").limit(1).count():
-            return now.select("kind", "normal", "surrogate")
-        drawn = _drawn(judged.filter("again").drop("surrogate", "again").withColumn("attempt", F.col("attempt") + 1), key)
-        now = settle(judged.filter("not again").drop("again").unionByName(drawn))
+    first = settle(_drawn(real.withColumn("attempt", F.lit(0)), key))
+    sizes = first.groupBy("form").agg(F.count("*").alias("n"), F.max("room").alias("room"))
+    dense = settle(sizes.filter(~F.col("form").startswith("person") & (F.col("n") * DENSE > F.col("room"))).select("form"))
+    out = ["kind", "normal", "pool", "form", "surrogate"]
+    full = first.join(dense, "form", "left_semi").select(*out)
+    now, done = first.join(dense, "form", "left_anti").select(*out), None
+    for attempt in range(1, ATTEMPTS + 1):
+        owner = now.groupBy("pool", "surrogate").agg(F.min(F.struct("normal", "kind")).alias("owner"))
+        taken = real.select("pool", F.col("normal").alias("surrogate"))
+        if done is not None:
+            taken = taken.unionByName(done.select("pool", "surrogate"))
+        judged = now.join(owner, ["pool", "surrogate"]).join(taken.distinct().withColumn("taken", F.lit(True)), ["pool", "surrogate"], "left")
+        judged = settle(judged.withColumn("again", F.col("taken").isNotNull() | (F.struct("normal", "kind") != F.col("owner"))).select(*out, "again"))
+        kept = judged.filter("not again").select(*out)
+        done = kept if done is None else done.unionByName(kept)
+        rest = judged.filter("again")
+        if not rest.limit(1).count():
+            return full.unionByName(done).select("kind", "normal", "surrogate")
+        now = settle(_drawn(rest.select("kind", "normal", "pool").withColumn("attempt", F.lit(attempt)), key).select(*out))
+    people = F.col("form").startswith("person")
+    left = now.filter(~people).select("form").distinct()
+    whole = first.join(left, "form", "left_semi").select(*out)
+    return full.unionByName(done.join(left, "form", "left_anti")).unionByName(whole).unionByName(now.filter(people)).select("kind", "normal", "surrogate")
 
 
 def _laid_out(mention: str, kind: str, surrogate: str) -> Column:
@@ -172,15 +222,17 @@ def pseudonymised(docs: DataFrame, key: str = _KEY) -> DataFrame:
 
     Only texts with a mention are shuffled. The replacements are broadcast if they
     are few, else joined by shuffle; an entity in very many documents is split by
-    the skew join.
+    the skew join. A family name alone behind a title takes the surrogate of the
+    one full name with this title's gender that ends in it in the same document.
     """
     others = [c for c in docs.columns if c != "pii"]
     rows = docs.select(F.struct(*others).alias("doc"), F.monotonically_increasing_id().alias("row"))
     some = F.coalesce(F.col("doc.text").rlike(_HINT), F.lit(False))
-    found = rows.withColumn("mentions", F.when(some, F.regexp_extract_all("doc.text", F.lit(_ANY), 0)).otherwise(F.array().cast("array<string>")))
-    gaps = F.expr("split(doc.text, pattern, -1)")
+    found = F.when(some, F.regexp_extract_all("doc.text", F.lit(_ANY), 0)).otherwise(F.array().cast("array<string>"))
+    # Texts with a mention, taken apart once: mentions and gaps hold all of them.
     listed = rows.filter(some).withColumn("pattern", F.lit(_ANY)).withColumn("mentions", F.regexp_extract_all("doc.text", F.lit(_ANY), 0))
-    listed = listed.filter("size(mentions) > 0").withColumn("gaps", gaps)
+    listed = listed.filter("size(mentions) > 0").withColumn("gaps", F.expr("split(doc.text, pattern, -1)")).drop("pattern")
+    listed = settle(listed.withColumn("doc", F.col("doc").withField("text", F.lit(None).cast("string"))))
     title = F.lit(None).cast("string")
     for (gender, script), names in TITLES.items():
         title = F.when(F.col("ahead").rlike(rf"(?<!\p{{L}})(?:{names})\.? $"), f"{gender}-{script}").otherwise(title)
@@ -190,10 +242,16 @@ def pseudonymised(docs: DataFrame, key: str = _KEY) -> DataFrame:
     each = each.withColumn("kind", _kind(F.col("mention"), title)).withColumn("normal", _normal("mention", "kind"))
     genuine = (F.col("kind") != "card") | F.expr(f"{_luhn_sum('normal', 0)} % 10 = 0")
     each = settle(each.withColumn("kind", F.when(genuine, F.col("kind"))).drop("ahead"))
-    named = if_small(surrogates(each.filter("kind is not null"), key))
+    people = each.filter(F.col("kind").startswith("person"))
+    last = F.substring_index("normal", " ", -1)
+    whole = people.filter(F.col("normal").contains(" ")).groupBy("row", "kind", last.alias("family")).agg(F.min("normal").alias("low"), F.max("normal").alias("high"))
+    whole = whole.filter("low = high").select("row", "kind", F.col("family").alias("normal"), F.col("low").alias("whole"))
+    each = settle(each.join(whole, ["row", "kind", "normal"], "left").withColumn("normal", F.coalesce("whole", "normal")))
+    named = if_small(surrogates(each.filter("kind is not null"), key), F.octet_length("normal") + F.octet_length("surrogate") + 64)
+    put = F.when(F.col("surrogate").isNull(), F.col("mention")).when(F.col("whole").isNotNull(), F.substring_index("surrogate", " ", -1))
     replaced = (
         each.join(named, ["kind", "normal"], "left")
-        .withColumn("put", F.when(F.col("surrogate").isNull(), F.col("mention")).otherwise(_laid_out("mention", "kind", "surrogate")))
+        .withColumn("put", put.otherwise(_laid_out("mention", "kind", "surrogate")))
         .groupBy("row")
         .agg(F.array_sort(F.collect_list(F.struct("at", "kind", "put"))).alias("put"))
     )
@@ -201,5 +259,5 @@ def pseudonymised(docs: DataFrame, key: str = _KEY) -> DataFrame:
     pii = F.expr("transform(filter(put, p -> p.kind is not null), p -> struct(split(p.kind, ':')[0] as kind, p.put as surrogate))")
     changed = listed.join(replaced, "row").select(F.col("doc").withField("text", glued).alias("doc"), pii.alias("pii"))
     empty = F.array().cast("array<struct<kind:string,surrogate:string>>")
-    same = found.filter("size(mentions) = 0").select("doc", empty.alias("pii"))
+    same = rows.filter(F.size(found) == 0).select("doc", empty.alias("pii"))
     return same.unionByName(changed).select("doc.*", "pii")

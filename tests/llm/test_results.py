@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -388,6 +389,28 @@ def test_surrogates_stay_distinct(spark):
     assert len(out) == 302 and len(set(drawn)) == 302 and not {"Abel", "Bauer"} & set(drawn)
 
 
+def test_surrogates_end_where_a_class_is_full(spark):
+    """All addresses of four one-digit numbers, all five-digit numbers of one prefix, and half of another class."""
+    rows = [("ip", f"{a}.{b}.{c}.{d}") for a in range(10) for b in range(10) for c in range(10) for d in range(10)]
+    rows += [("phone", f"1{i:04d}") for i in range(10_000)] + [("phone", f"2{i:04d}") for i in range(0, 10_000, 2)]
+    rows += [("email", f"{x}@{y}.com") for x in "abcdefghijklmnopqrstuvwxyz" for y in "abcdefghijklmnopqrstuvwxyz"] + [("email", f"ab{i}@cd.ef.com") for i in range(100, 150)]
+    out = pii.surrogates(spark.createDataFrame(rows, "kind string, normal string")).collect()
+    assert len(out) == len(rows) and len({(r["kind"], r["surrogate"]) for r in out}) == len(rows)
+    shape = lambda x: re.sub("[a-z]", "a", re.sub("[0-9]", "0", x))
+    assert all(shape(r["normal"]) == shape(r["surrogate"]) for r in out)
+    real = {(k, n) for k, n in rows}
+    assert not any((r["kind"], r["surrogate"]) in real for r in out if r["normal"].startswith("ab"))
+    assert all(r["surrogate"][0] == r["normal"][0] for r in out if r["kind"] == "phone")
+
+
+def test_family_names_alone_follow_the_full_name(spark):
+    texts = ["Then Mrs Anna Miller came. Mrs Miller sat, Mr Miller stood.", "Mrs Miller alone.", "Mrs Anna Miller, Mrs Eva Miller and Mrs Miller."]
+    out = [r["pii"] for r in pii.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).orderBy("doc_id").collect()]
+    names = [[p["surrogate"] for p in r] for r in out]
+    assert names[0][1] == names[0][0].split(" ")[1] != names[0][2] and names[2][0] == names[0][0]
+    assert names[1][0] == names[2][2] and len(set(names[2])) == 3  # nobody to follow, or two
+
+
 def test_every_form_of_mention_is_found_alone(spark):
     """A document with a single mention has nothing else that could draw attention to it."""
     alone = [
