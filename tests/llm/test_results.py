@@ -56,6 +56,16 @@ def test_decontamination_equals_plain(spark, documents, texts, sf):
     assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) for r in got} == want
 
 
+def test_decontamination_without_broadcast(spark, documents, texts, sf, monkeypatch):
+    """Beyond the bound no text and no words are shuffled by shingle."""
+    items = spark.read.parquet(f"{sf}/benchmark.parquet").unionByName(spark.createDataFrame([(1001, "and the"), (1002, "The"), (1003, texts[3][:40])], "item_id bigint, text string"))
+    twice = documents.unionByName(documents.limit(20)).unionByName(spark.createDataFrame([(None, texts[3])], "doc_id bigint, text string"), allowMissingColumns=True)
+    rows = lambda: sorted(map(tuple, decontaminate.contaminated_words(twice, items).collect()), key=str)
+    want = rows()
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    assert rows() == want and len(want) == len(texts) + 21
+
+
 # ---- mixing
 
 
@@ -79,6 +89,24 @@ def test_mix_meets_its_targets_and_reruns_agree(documents):
         assert all(r["taken"] <= 3 * r["size"] for r in own)
 
 
+@pytest.mark.parametrize("sorted_rows", [1 << 16, 300, 3])
+def test_mix_equals_plain(spark, sorted_rows, monkeypatch):
+    """Weights near zero crowd the keys; the slices at the borders are cut until they are small."""
+    monkeypatch.setattr(mixing, "SORTED_ROWS", sorted_rows)
+    docs = spark.range(30_000).select(
+        F.col("id").alias("doc_id"),
+        F.repeat(F.lit("word "), (F.pmod(F.xxhash64("id"), F.lit(7)) + 1).cast("int")).alias("text"),
+        F.when(F.col("id") % 3 == 0, "b").when(F.col("id") % 50 == 1, "c").otherwise("a").alias("source"),
+    )
+    quality = docs.select("doc_id", F.when(F.col("doc_id") % 5 == 0, 3.0).when(F.col("doc_id") % 5 < 4, 0.01).otherwise(0.2).alias("weight"))
+    keyed = mixing._keyed(docs, quality)
+    rows = [(r["doc_id"], r["same"]["source"], r["size"], r["key"]) for r in keyed.collect()]
+    want = plain.mix([r[:3] for r in rows], {r[0]: r[3] for r in rows})
+    assert {r["doc_id"]: r["taken"] for r in mixing.mix(docs, quality).collect()} == want
+    _, levels = mixing._borders(common.settle(keyed), (1, 2, 3))
+    assert levels >= 2 if sorted_rows == 3 else levels <= 2
+
+
 def test_quality_weights_favour_good_documents(spark):
     docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("one word more").alias("text"), F.when(F.col("id") < 2000, "a").otherwise("b").alias("source"))
     quality = spark.range(2000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, 4.0).otherwise(1.0).alias("weight"))
