@@ -52,12 +52,16 @@ class Words:
         inside = kind == 0
         first = inside.copy()
         first[1:] &= ~inside[:-1]
+        last = inside.copy()
+        last[:-1] &= ~inside[1:]
         begins = starts[:-1][np.diff(starts) > 0]
         first[begins] = inside[begins]
+        ends = begins[begins > 0] - 1
+        last[ends] = inside[ends]
         at = np.flatnonzero(first)
         text = np.searchsorted(starts, at, side="right") - 1
-        self.run = np.cumsum(kind == 2, dtype=np.int64)[at] + text
-        offsets = np.append(np.cumsum(inside, dtype=np.int64)[at] - 1, np.count_nonzero(inside))
+        self.run = np.searchsorted(np.flatnonzero(kind == 2), at) + text
+        offsets = np.concatenate([[0], np.cumsum(np.flatnonzero(last) + 1 - at)])
         coded = binaries(data[inside], offsets).dictionary_encode()
         self.distinct, self.word = coded.dictionary.to_pylist(), coded.indices.to_numpy()
         self.langs = list(dict.fromkeys(x if x is not None else "und" for x in langs))
@@ -118,30 +122,68 @@ class Suffixes:
             depth[(depth == k) & (self.length > k) & np.isin(self.codes[k], codes)] = k + 1
         return depth
 
-    def keys(self, which: np.ndarray, lengths: np.ndarray):
-        """An Arrow array of the first words of suffixes, as 8 bytes each that sort like the codes."""
-        matrix = self.words[self.at[which][:, None] + np.arange(MOST_WORDS)[None, :]].astype(">u8")
-        kept = np.arange(MOST_WORDS)[None, :] < lengths[:, None]
-        return binaries(np.frombuffer(matrix[kept].tobytes(), np.uint8), np.concatenate([[0], 8 * np.cumsum(lengths)]))
+    def matrix(self, which: np.ndarray) -> np.ndarray:
+        """The words of suffixes, one row each; what lies beyond their length means nothing."""
+        return self.words[self.at[which][:, None] + np.arange(MOST_WORDS)[None, :]]
+
+
+def packed(matrix: np.ndarray, lengths: np.ndarray):
+    """An Arrow array of the first words of each row, as 8 bytes each that sort like the codes."""
+    import pyarrow as pa
+
+    kept = np.arange(MOST_WORDS)[None, :] < lengths[:, None]
+    data = np.frombuffer(matrix[kept].astype(">u8").tobytes(), np.uint8)
+    return binaries(data, np.concatenate([[0], 8 * np.cumsum(lengths)])).cast(pa.binary())
 
 
 def _mapped(docs: DataFrame, make, schema: str) -> DataFrame:
-    """``make`` gives columns for the words of each slice."""
+    """``make`` takes the words of slices, one after the other, and gives columns."""
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
         import pyarrow as pa
 
-        for batch in batches:
-            langs = batch.column("lang").to_pylist()
-            for first, texts in slices(batch):
-                words = Words(texts, langs[first : first + len(texts)])
-                if len(words.codes):
-                    yield from (pa.RecordBatch.from_arrays(columns, names=names) for columns in make(words))
+        def all_words():
+            for batch in batches:
+                langs = batch.column("lang").to_pylist()
+                for first, texts in slices(batch):
+                    words = Words(texts, langs[first : first + len(texts)])
+                    if len(words.codes):
+                        yield words
+
+        for columns in make(all_words()):
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return docs.select("lang", "text").mapInArrow(run, schema)
 
 
+HELD = 1 << 19  # rows that a task adds up before it gives them away
+
+
+def _added_up(parts):
+    """Rows ``(code, n, further columns)`` with equal codes as one, over as many slices as ``HELD`` allows."""
+    held, rows = [], 0
+
+    def given():
+        code, n, *more = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.argsort(code, kind="stable")
+        code = code[order]
+        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+        return code[first], np.add.reduceat(n[order], first), *(x[order[first]] for x in more)
+
+    for part in parts:
+        held.append(part)
+        rows += len(part[0])
+        if rows > HELD:
+            held = [given()]
+            rows = len(held[0][0])
+            if 2 * rows > HELD:
+                yield held[0]
+                held, rows = [], 0
+    if rows:
+        yield given()
+
+
 def _signed(codes: np.ndarray):
     import pyarrow as pa
 
@@ -149,39 +191,57 @@ def _signed(codes: np.ndarray):
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """``code, lang, word, n``: the occurrences of every word in its language. Words combine per slice and task before the shuffle."""
+    """``code, lang, n``: the occurrences of every word in its language. Words combine per slice and task before the shuffle."""
 
-    def count(words):
+    def count(slices):
         import pyarrow as pa
 
-        codes, first, n = np.unique(words.codes, return_index=True, return_counts=True)
-        langs = pa.array(words.langs, pa.string()).take(pa.array(words.lang[first]))
-        own = pa.array([words.distinct[i] for i in words.word[first].tolist()], pa.binary()).cast(pa.string())
-        yield [_signed(codes), langs, own, pa.array(n.astype(np.int64))]
+        for words in slices:
+            codes, first, n = np.unique(words.codes, return_index=True, return_counts=True)
+            yield [_signed(codes), pa.array(words.langs, pa.string()).take(pa.array(words.lang[first])), pa.array(n.astype(np.int64))]
+
+    counted = _mapped(docs, count, "code bigint, lang string, n bigint")
+    return settle(counted.groupBy("code", "lang").agg(F.sum("n").alias("n")))
+
 
-    counted = _mapped(docs, count, "code bigint, lang string, word string, n bigint")
-    return settle(counted.groupBy("code", "lang", "word").agg(F.sum("n").alias("n")))
+def _spelled(docs: DataFrame, codes: DataFrame) -> DataFrame:
+    """``code, word`` for the codes of a table."""
+    wanted = docs.sparkSession.sparkContext.broadcast(_filter(codes))
+
+    def spell(slices):
+        import pyarrow as pa
+
+        for words in slices:
+            codes, first = np.unique(words.codes, return_index=True)
+            some = _may_hold(wanted.value, codes)
+            own = [words.distinct[i] for i in words.word[first[some]].tolist()]
+            yield [_signed(codes[some]), pa.array(own, pa.binary()).cast(pa.string())]
+
+    return _mapped(docs, spell, "code bigint, word string").join(codes, "code", "left_semi").distinct()
 
 
 def _prefix_counts(docs: DataFrame, k: int, word_bits, pair_bits, heavy: dict[int, np.ndarray]) -> DataFrame:
     """``code, n`` of the prefixes of ``k`` words; beyond two words, only of those that go on from heavy ones."""
 
-    def count(words):
+    def prefixes(slices):
+        for words in slices:
+            found = Suffixes(words, word_bits.value, pair_bits and pair_bits.value)
+            codes = found.codes[2] if k == 2 else found.codes[k][(found.length >= k) & (found.depths(heavy) == k)]
+            yield np.unique(codes, return_counts=True)
+
+    def count(slices):
         import pyarrow as pa
 
-        found = Suffixes(words, word_bits.value, pair_bits and pair_bits.value)
-        codes = found.codes[2] if k == 2 else found.codes[k][(found.length >= k) & (found.depths(heavy) == k)]
-        if len(codes):
-            codes, n = np.unique(codes, return_counts=True)
+        for codes, n in _added_up(prefixes(slices)):
             yield [_signed(codes), pa.array(n.astype(np.int64))]
 
     return settle(_mapped(docs, count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")))
 
 
 def _subtrees(rows):
-    """Phrases and their counts from batches of suffixes (``key, least, n``) in ascending order.
+    """Phrases and their counts from batches of suffixes (``key, depth, n``) in ascending order.
 
-    A suffix counts for its prefixes of ``least`` words or more. Of each length the
+    A suffix counts for its prefixes of ``depth`` words or more. Of each length the
     last prefix is held back until the next batch shows whether it goes on.
     """
     import pyarrow as pa
@@ -198,7 +258,7 @@ def _subtrees(rows):
         keys, found = batch.column("key").to_pylist(), []
         lengths = np.array([len(x) for x in keys]) // 8
         matrix = np.frombuffer(b"".join(x.ljust(8 * MOST_WORDS, b"\0") for x in keys), ">u8").reshape(-1, MOST_WORDS)
-        least, n = (batch.column(c).to_numpy() for c in ("least", "n"))
+        least, n = (batch.column(c).to_numpy() for c in ("depth", "n"))
         new = np.ones(len(keys), bool)
         new[1:] = matrix[1:, 0] != matrix[:-1, 0]
         for k in range(2, MOST_WORDS + 1):
@@ -239,29 +299,29 @@ def phrase_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
         if len(heavy.get(k - 1, ())):
             heavy[k] = heavy_of(_prefix_counts(docs, k, word_bits, pair_bits, heavy))
 
-    def deal(words):
+    def leaves(slices):
+        for words in slices:
+            found = Suffixes(words, word_bits.value, pair_bits.value)
+            depth = found.depths(heavy)
+            every = np.arange(len(depth))
+            parts = [(every, found.length, depth)]
+            # A prefix that was made longer is a leaf of its own for each suffix below it.
+            parts += [(every[depth > k], np.full(np.count_nonzero(depth > k), k), np.full(np.count_nonzero(depth > k), k)) for k in range(2, MOST_WORDS)]
+            for which, lengths, depths in parts:
+                codes = np.stack([found.codes[k][which] for k in range(1, MOST_WORDS + 1)])
+                whole = _mixed(codes[lengths - 1, np.arange(len(which))] ^ lengths.astype(np.uint64))
+                whole, first, n = np.unique(whole, return_index=True, return_counts=True)
+                yield whole, n, lengths[first].astype(np.int8), depths[first].astype(np.int8), found.matrix(which[first])
+
+    def deal(slices):
         import pyarrow as pa
 
-        found = Suffixes(words, word_bits.value, pair_bits.value)
-        depth = found.depths(heavy)
-        every = np.arange(len(depth))
-        parts = [(every, found.length, depth)]
-        # A prefix that was made longer is a leaf of its own for each suffix below it.
-        parts += [(every[depth > k], np.full(np.count_nonzero(depth > k), k), np.full(np.count_nonzero(depth > k), k)) for k in range(2, MOST_WORDS)]
-        for which, lengths, depths in parts:
-            if not len(which):
-                continue
-            codes = np.stack([found.codes[k][which] for k in range(1, MOST_WORDS + 1)])
-            across = np.arange(len(which))
-            whole = _mixed(codes[lengths - 1, across] ^ lengths.astype(np.uint64))
-            _, first, n = np.unique(whole, return_index=True, return_counts=True)
-            prefix = codes[depths - 1, across][first]
-            key = found.keys(which[first], lengths[first]).cast(pa.binary())
-            yield [_signed(prefix), key, pa.array(np.maximum(depths[first], 2).astype(np.int32)), pa.array(n.astype(np.int64))]
-
-    suffixes = _mapped(docs, deal, "prefix bigint, key binary, least int, n bigint")
+        for _, n, lengths, depths, matrix in _added_up(leaves(slices)):
+            yield [packed(matrix, lengths.astype(np.int64)), pa.array(depths.astype(np.int32)), pa.array(n.astype(np.int64))]
+
+    suffixes = _mapped(docs, deal, "key binary, depth int, n bigint")
     groups = int(min(100_000, max(1, -(-n_suffixes // GROUP_ROWS))))
-    dealt = suffixes.repartition(groups, "prefix").sortWithinPartitions("key").select("key", "least", "n")
+    dealt = suffixes.repartition(groups, F.expr("substring(key, 1, 8 * depth)")).sortWithinPartitions("key")
     return settle(dealt.mapInArrow(_subtrees, "key binary, a bigint"))
 
 
@@ -313,7 +373,8 @@ def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
     near = settle(kept.withColumn("place", F.rank().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("place") <= top).drop("place"))
     spelled = near.select("key", F.explode(F.expr("sequence(0, cast(length(key) div 8 as int) - 1)")).alias("i"))
     spelled = spelled.withColumn("code", F.expr("cast(conv(hex(substring(key, 8 * i + 1, 8)), 16, -10) as bigint)"))
-    spelled = spelled.join(frequent.select("code", "word"), "code").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("i", "word"))).alias("w"))
+    spelled = settle(spelled)
+    spelled = spelled.join(_spelled(docs, spelled.select("code").distinct()), "code").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("i", "word"))).alias("w"))
     phrases = near.join(spelled, "key").withColumn("phrase", F.array_join("w.word", " "))
     ranked = phrases.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order, "phrase")).cast("bigint"))
     return ranked.filter(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", F.col("score").cast("bigint").alias("score"))
