@@ -510,6 +510,14 @@ def test_trigram_bound_never_drops_a_similar_pair():
         assert lines.similar_lines([a], [b])[0, 0] == alike(a, b)
 
 
+def test_distance_by_words_is_never_too_small():
+    rng = random.Random(18)
+    for _ in range(500):
+        a, b = ([rng.choice(["ab", "abc", "x", "longer", "aab"]) for _ in range(rng.randint(1, 6))] for _ in range(2))
+        assert lines.at_most_by_words(a, b) >= lines.edit_distance(" ".join(a), " ".join(b))
+        assert lines.at_most_by_words(a, a) == 0
+
+
 def test_passages_without_white_space_are_found(spark):
     rng = random.Random(15)
     new = lambda letters, n: "".join(rng.choices(letters, k=n))
