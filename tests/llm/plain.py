@@ -160,24 +160,9 @@ def _ends(parts):
 
 
 def blocks(sign, widths):
-    """Pairs of blocks of a signature, lowest bits first."""
+    """The blocks of a signature but one, lowest bits first."""
     sign, out = sign % 2**64, []
     for w in widths:
         out.append(sign % 2**w)
         sign >>= w
-    return {(i, j, out[i], out[j]) for j in range(len(out)) for i in range(j)}
-
-
-def mix(rows, keys, weights=(1, 2, 3), most=3):
-    """rows: [(id, source, size)], keys: {id: key}; {id: words taken} by sorting every source whole."""
-    sizes = Counter()
-    for _, source, size in rows:
-        sizes[source] += size
-    out = {}
-    for source, target in targets(list(sizes.items()), weights, most).items():
-        epochs = int(target / sizes[source] + 1e-9) if sizes[source] else 0
-        rest, ends = max(target - epochs * sizes[source], 0.0), 0
-        for d, _, size in sorted((r for r in rows if r[1] == source), key=lambda r: (keys[r[0]], r[0], r[2])):
-            ends += size
-            out[d] = epochs * size + (size if ends - size / 2 <= rest else 0)
-    return out
+    return {(i, *out[:i], *out[i + 1 :]) for i in range(len(out))}
