@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 BROADCAST_BYTES = 32_000_000
+ROWS_IN_BATCH = 1000  # texts that an Arrow batch brings to a Python worker
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -45,6 +47,12 @@ def if_small(df: DataFrame, row_bytes: int | Column = 64) -> DataFrame:
     return F.broadcast(df) if (df.agg(size).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of ``ROWS_IN_BATCH`` rows, for whole texts; a size that the session was given stays."""
+    if int(spark.conf.get(_BATCH_SETTING)) == 10_000:  # Spark's own
+        spark.conf.set(_BATCH_SETTING, ROWS_IN_BATCH)
+
+
 def texts_of(batch, name: str = "text") -> list[str]:
     """The texts of an Arrow batch, null as empty."""
     return [x or "" for x in batch.column(name).to_pylist()]

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import if_small, settle, without_rows
+from .common import if_small, settle, small_batches, without_rows
 from .linking import linked
 
 HALVES = 32
@@ -135,6 +135,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     compares null-safely, so such documents are kept. Rows that repeat a
     ``doc_id`` count as one document. Sets are known by 64-bit hashes.
     """
+    small_batches(docs.sparkSession)
     k = minhashes_per_half(percent / 100)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 

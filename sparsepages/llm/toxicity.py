@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import settle, small_batches
 
 BITS = 20  # 2**BITS features: at most 12 MB of weights
 SAMPLE_ROWS = 20_000  # labelled documents to learn from, about
@@ -92,6 +92,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, epochs: i
     weights; features are made in parallel. Without labels there are no weights
     and all scores are 0.5.
     """
+    small_batches(docs.sparkSession)
     known = (
         labels.filter("doc_id is not null and toxic is not null").filter(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
@@ -135,6 +136,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, epochs: i
 
 def scorer(spark: SparkSession, weights: list[tuple[int, float]]):
     """A function of a text column: the chance, 0 to 1, that the whole text is toxic; null counts as empty."""
+    small_batches(spark)
     bias = sum(w for f, w in weights if f < 0)
     index = np.array([f for f, _ in weights if f >= 0], np.int32)
     sent = spark.sparkContext.broadcast((index, np.array([w for f, w in weights if f >= 0], np.float32)))
