@@ -5,7 +5,7 @@ suffixes are divided by their first word; where more suffixes begin with a word
 than the memory budget allows, by its first two words, and so on. Each group of
 prefixes is a sorted run of suffixes in one task, the subtree of its prefixes
 written out, and the count of a phrase is the total of the leaves below it. A
-suffix ends before a word or a pair of words that is too rare for any phrase.
+suffix ends before a word, a pair or a triple of words that is too rare for any phrase.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ LEAST = 100  # occurrences of a phrase
 TOP = 2000  # phrases of a language
 GROUP_ROWS = 1 << 19  # suffixes that begin alike, beyond which their prefix is made longer
 MOST_HEAVY = 1 << 16  # prefixes of one length that can be made longer
-FILTER_BITS = 1 << 27  # of the table that says which words or pairs may be frequent: 16 MB at any size of the corpus
+FILTER_BITS = 1 << 27  # of the table that says which words, pairs or triples may be frequent: 16 MB at any size of the corpus
 
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _KIND = np.zeros(256, np.uint8)  # 0 in a word, 1 between words, 2 between pieces
@@ -89,9 +89,9 @@ def _filter(codes: DataFrame) -> np.ndarray:
 
 
 class Suffixes:
-    """Suffixes of frequent words and pairs: ``at`` where they begin, ``length`` in words, ``codes[k]`` of their first ``k`` words."""
+    """Suffixes of frequent words, pairs and triples: ``at`` where they begin, ``length`` in words, ``codes[k]`` of their first ``k`` words."""
 
-    def __init__(self, words: Words, word_bits: np.ndarray, pair_bits: np.ndarray | None):
+    def __init__(self, words: Words, word_bits: np.ndarray, pair_bits: np.ndarray | None = None, triple_bits: np.ndarray | None = None):
         codes, run = words.codes, words.run
         known = _may_hold(word_bits, codes)
         pair = np.zeros(len(codes) + MOST_WORDS, bool)  # does the word belong together with the next?
@@ -107,10 +107,14 @@ class Suffixes:
             self.codes = {k: x[keep] for k, x in self.codes.items()}
             self.length = np.full(len(self.at), 2)
             going = np.ones(len(self.at), bool)
+            together = pair[1:]  # at k - 3 from its start, may a suffix of k - 1 words have one more?
             for k in range(3, MOST_WORDS + 1):
-                going &= pair[self.at + k - 2]
-                self.length += going
                 self.codes[k] = self._longer(k)
+                if k == 3 and triple_bits is not None:
+                    together = np.zeros(len(pair), bool)
+                    together[self.at] = pair[self.at + 1] & _may_hold(triple_bits, self.codes[3])
+                going &= together[self.at + k - 3]
+                self.length += going
 
     def _longer(self, k: int) -> np.ndarray:
         return _mixed(self.codes[k - 1] * _ODD ^ self.words[self.at + k - 1])
@@ -157,12 +161,13 @@ def _mapped(docs: DataFrame, make, schema: str) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(run, schema)
 
 
-HELD = 1 << 19  # rows that a task adds up before it gives them away
+HELD_BYTES = 24_000_000  # of rows that a task adds up before it gives them away
 
 
 def _added_up(parts):
-    """Rows ``(code, n, further columns)`` with equal codes as one, over as many slices as ``HELD`` allows."""
-    held, rows = [], 0
+    """Rows ``(code, n, further columns)`` with equal codes as one, over as many slices as ``HELD_BYTES`` allow."""
+    held, size = [], 0
+    bytes_in = lambda part: sum(x.nbytes for x in part)
 
     def given():
         code, n, *more = (np.concatenate(x) for x in zip(*held, strict=True))
@@ -173,14 +178,14 @@ def _added_up(parts):
 
     for part in parts:
         held.append(part)
-        rows += len(part[0])
-        if rows > HELD:
+        size += bytes_in(part)
+        if size > HELD_BYTES:
             held = [given()]
-            rows = len(held[0][0])
-            if 2 * rows > HELD:
+            size = bytes_in(held[0])
+            if 2 * size > HELD_BYTES:
                 yield held[0]
-                held, rows = [], 0
-    if rows:
+                held, size = [], 0
+    if size:
         yield given()
 
 
@@ -220,13 +225,15 @@ def _spelled(docs: DataFrame, codes: DataFrame) -> DataFrame:
     return _mapped(docs, spell, "code bigint, word string").join(codes, "code", "left_semi").distinct()
 
 
-def _prefix_counts(docs: DataFrame, k: int, word_bits, pair_bits, heavy: dict[int, np.ndarray]) -> DataFrame:
-    """``code, n`` of the prefixes of ``k`` words; beyond two words, only of those that go on from heavy ones."""
+def _prefix_counts(docs: DataFrame, k: int, filters: list, heavy: dict[int, np.ndarray] | None = None) -> DataFrame:
+    """``code, n`` of the prefixes of ``k`` words that pass the ``filters``; with ``heavy``, only of those that go on from heavy ones."""
 
     def prefixes(slices):
         for words in slices:
-            found = Suffixes(words, word_bits.value, pair_bits and pair_bits.value)
-            codes = found.codes[2] if k == 2 else found.codes[k][(found.length >= k) & (found.depths(heavy) == k)]
+            found = Suffixes(words, *(f.value for f in filters))
+            codes = found.codes[k]
+            if k > 2:
+                codes = codes[(found.length >= k) & (heavy is None or found.depths(heavy) == k)]
             yield np.unique(codes, return_counts=True)
 
     def count(slices):
@@ -284,24 +291,25 @@ def _subtrees(rows):
 def phrase_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
     """``key, a``: every phrase of 2 to ``MOST_WORDS`` words with ``LEAST`` occurrences or more; 8 bytes of ``key`` name a word of ``words``."""
     sc = docs.sparkSession.sparkContext
-    word_bits = sc.broadcast(_filter(words.filter(F.col("n") >= LEAST)))
-    pairs = _prefix_counts(docs, 2, word_bits, None, {})
-    frequent = pairs.filter(F.col("n") >= LEAST)
-    pair_bits = sc.broadcast(_filter(frequent))
+    often = lambda df: df.filter(F.col("n") >= LEAST)
+    filters = [sc.broadcast(_filter(often(words)))]
+    frequent = often(_prefix_counts(docs, 2, filters))
+    filters.append(sc.broadcast(_filter(frequent)))
+    # Two words of a rare triple are still a prefix, but need not be told apart by what follows.
+    triples = often(_prefix_counts(docs, 3, filters))
+    filters.append(sc.broadcast(_filter(triples)))
     n_suffixes = frequent.agg(F.sum("n")).first()[0] or 0
     # No more than MOST_HEAVY prefixes of one length can hold more than this.
     budget = max(GROUP_ROWS, n_suffixes // MOST_HEAVY)
     heavy_of = lambda df: np.array([r[0] for r in df.filter(F.col("n") > budget).select("code").collect()], np.int64).view(np.uint64)
     heavy = {1: heavy_of(words)}
-    if len(heavy[1]):
-        heavy[2] = heavy_of(frequent)
-    for k in range(3, MOST_WORDS):
+    for k in range(2, MOST_WORDS):
         if len(heavy.get(k - 1, ())):
-            heavy[k] = heavy_of(_prefix_counts(docs, k, word_bits, pair_bits, heavy))
+            heavy[k] = heavy_of({2: frequent, 3: triples}[k] if k < 4 else _prefix_counts(docs, k, filters, heavy))
 
     def leaves(slices):
         for words in slices:
-            found = Suffixes(words, word_bits.value, pair_bits.value)
+            found = Suffixes(words, *(f.value for f in filters))
             depth = found.depths(heavy)
             every = np.arange(len(depth))
             parts = [(every, found.length, depth)]
