@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import if_small, settle
+from .common import if_small, settle, small_batches
 from .pieces import binaries, bytes_of, slices
 
 MOST_WORDS = 5
@@ -161,7 +161,7 @@ def _mapped(docs: DataFrame, make, schema: str) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(run, schema)
 
 
-HELD_BYTES = 24_000_000  # of rows that a task adds up before it gives them away
+HELD_BYTES = 8_000_000  # of rows that a task adds up before it gives them away
 
 
 def _added_up(parts):
@@ -201,9 +201,16 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def count(slices):
         import pyarrow as pa
 
-        for words in slices:
-            codes, first, n = np.unique(words.codes, return_index=True, return_counts=True)
-            yield [_signed(codes), pa.array(words.langs, pa.string()).take(pa.array(words.lang[first])), pa.array(n.astype(np.int64))]
+        number: dict[str, int] = {}  # of a language, in this task
+
+        def distinct():
+            for words in slices:
+                codes, first, n = np.unique(words.codes, return_index=True, return_counts=True)
+                own = np.array([number.setdefault(x, len(number)) for x in words.langs], np.int32)
+                yield codes, n, own[words.lang[first]]
+
+        for codes, n, lang in _added_up(distinct()):
+            yield [_signed(codes), pa.array(list(number), pa.string()).take(pa.array(lang)), pa.array(n.astype(np.int64))]
 
     counted = _mapped(docs, count, "code bigint, lang string, n bigint")
     return settle(counted.groupBy("code", "lang").agg(F.sum("n").alias("n")))
@@ -348,6 +355,7 @@ def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
 
     Words are known by 64-bit hashes of language and word.
     """
+    small_batches(docs.sparkSession)
     words = word_counts(docs)
     totals = settle(words.groupBy("lang").agg(F.sum("n").alias("n")))
     frequent = settle(words.filter(F.col("n") >= LEAST))
