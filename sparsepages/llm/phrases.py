@@ -161,7 +161,7 @@ def _mapped(docs: DataFrame, make, schema: str) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(run, schema)
 
 
-HELD_BYTES = 8_000_000  # of rows that a task adds up before it gives them away
+HELD_BYTES = 16_000_000  # of rows that a task adds up before it gives them away
 
 
 def _added_up(parts):
@@ -233,7 +233,7 @@ def _spelled(docs: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def _prefix_counts(docs: DataFrame, k: int, filters: list, heavy: dict[int, np.ndarray] | None = None) -> DataFrame:
-    """``code, n`` of the prefixes of ``k`` words that pass the ``filters``; with ``heavy``, only of those that go on from heavy ones."""
+    """``code, n`` of the prefixes of ``k`` words that pass the ``filters`` and occur ``LEAST`` times or more; with ``heavy``, only of those that go on from heavy ones."""
 
     def prefixes(slices):
         for words in slices:
@@ -249,7 +249,7 @@ def _prefix_counts(docs: DataFrame, k: int, filters: list, heavy: dict[int, np.n
         for codes, n in _added_up(prefixes(slices)):
             yield [_signed(codes), pa.array(n.astype(np.int64))]
 
-    return settle(_mapped(docs, count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")))
+    return settle(_mapped(docs, count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST))
 
 
 def _subtrees(rows):
@@ -298,12 +298,11 @@ def _subtrees(rows):
 def phrase_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
     """``key, a``: every phrase of 2 to ``MOST_WORDS`` words with ``LEAST`` occurrences or more; 8 bytes of ``key`` name a word of ``words``."""
     sc = docs.sparkSession.sparkContext
-    often = lambda df: df.filter(F.col("n") >= LEAST)
-    filters = [sc.broadcast(_filter(often(words)))]
-    frequent = often(_prefix_counts(docs, 2, filters))
+    filters = [sc.broadcast(_filter(words.filter(F.col("n") >= LEAST)))]
+    frequent = _prefix_counts(docs, 2, filters)
     filters.append(sc.broadcast(_filter(frequent)))
     # Two words of a rare triple are still a prefix, but need not be told apart by what follows.
-    triples = often(_prefix_counts(docs, 3, filters))
+    triples = _prefix_counts(docs, 3, filters)
     filters.append(sc.broadcast(_filter(triples)))
     n_suffixes = frequent.agg(F.sum("n")).first()[0] or 0
     # No more than MOST_HEAVY prefixes of one length can hold more than this.
