@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sparsepages.llm import common, decontaminate, fingerprints, lines, mixing, neardup, pieces, pii, sentencepieces, substrings, tokencounts, tokenfile, toxicity, vocab
+from sparsepages.llm import common, decontaminate, fingerprints, lines, mixing, neardup, pieces, pii, sentencepieces, substrings, sweep, tokencounts, tokenfile, toxicity, vocab
 from sparsepages.llm.linking import connected
 
 from . import plain
@@ -189,22 +189,7 @@ def test_lines_equal_plain(spark, texts):
     got = {(r["doc_id"], r["line"]): r["removed"] for r in lines.duplicate_lines(table).collect()}
     rows = {(d, i): n for d, t in sorted(docs.items()) for i, x in enumerate(t.split("\n")) if (n := lines.normalised(x))}
     forms = list(dict.fromkeys(rows.values()))
-    signs = np.array(lines.Hasher().signs(forms)).T.tolist()
-
-    def keys(form, whole, first, second, n):
-        left = lines.shortened(form) if len(form) <= lines.SHORT else set()
-        if len(form) < lines.SHORT - 2:
-            return left
-        band = math.floor(math.log(len(form)) / math.log(1.5))
-        own = left | {("whole", band, *k) for k in plain.blocks(whole, lines.WHOLE_BLOCKS)}
-        return own | {(i, (n + 1) // 2, *k) for i, half in enumerate([first, second]) if n > 1 for k in plain.blocks(half, lines.HALF_BLOCKS)}
-
-    meet = {}
-    for form, sign in zip(forms, signs, strict=True):
-        for k in keys(form, *sign):
-            meet.setdefault(k, []).append(form)
-    pairs = {(a, b) for some in meet.values() for i, a in enumerate(some) for b in some[:i]}
-    links = [(a, b) for a, b in pairs if alike(a, b)]
+    links = [(x, y) for i, x in enumerate(forms) for y in forms[:i] if 4 * max(len(x), len(y)) <= 5 * min(len(x), len(y)) and alike(x, y)]
     root, seen, want = plain.components(forms, links), set(), {}
     for place, form in rows.items():
         want[place] = root[form] in seen
@@ -571,3 +556,34 @@ def test_gaps_before_a_last_line_separator_divide_words(spark):
     for r in out.collect():
         t = texts[r["doc_id"]]
         assert (r["w"], r["n"], r["s"]) == (plain.WORD.findall(t), len(plain.RUN.findall(t)), plain.RUN.findall(t))
+
+
+def test_lines_with_letters_wrong_all_over_are_found(spark):
+    """No part of them stays whole, so that no key brings them together; every pair that is similar is linked, and no other."""
+    rng = random.Random(21)
+    letters = "abcdefghijklmnoprstuvwé"
+    docs, want = {}, set()
+    for i in range(300):
+        own = " ".join("".join(rng.choices(letters, k=rng.randint(2, 9))) for _ in range((3, 6, 12, 30, 70, 160)[i % 6]))
+        other = list(own)
+        places = [k for k, ch in enumerate(own) if ch != " "]
+        for at in rng.sample(places, int(len(own) * rng.choice([0.1, 0.15, 0.19, 0.24]))):
+            other[at] = rng.choice(["", "x", "yz", "q"])
+        docs[2 * i], docs[2 * i + 1] = own, "".join(other)
+        if alike(lines.normalised(docs[2 * i]), lines.normalised(docs[2 * i + 1])):
+            want.add(2 * i + 1)
+    table = spark.createDataFrame(list(docs.items()), "doc_id bigint, text string")
+    assert {r["doc_id"] for r in lines.duplicate_lines(table).collect() if r["removed"]} == want
+    assert 100 < len(want) < 280
+
+
+def test_edits_of_first_halves_are_never_too_many(monkeypatch):
+    monkeypatch.setattr(sweep, "FEW", 0)
+    rng = random.Random(22)
+    for n in (6, 20, 70, 200, 500):
+        own = ["".join(rng.choices("abcde é中", k=rng.randint(n - n // 6, n))) for _ in range(12)]
+        others = ["".join(rng.choice([ch, ch, ch, ch, "x", "", "日"]) for ch in line) + "ab" for line in own]
+        sides = [sweep.Lines(x, np.arange(12) + 12 * k) for k, x in enumerate((own, others))]
+        found = {(int(x), int(y)) for i, j in sweep.unlinked(*sides) for x, y in zip(i, j, strict=True)}
+        assert {(x, y) for x in range(12) for y in range(12) if alike(own[x], others[y])} <= found
+        assert len(found) < 100
