@@ -38,6 +38,12 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def narrow(df: DataFrame, rows: int = 1 << 17) -> DataFrame:
+    """``df``, settled, in no more partitions than one for each ``rows`` rows: what follows writes a file per partition, however small."""
+    kept = settle(df)
+    return kept.coalesce(1 + kept.count() // rows)
+
+
 def if_small(df: DataFrame, row_bytes: int | Column = 64) -> DataFrame:
     """``df``, marked for broadcast only if its rows hold no more than ``BROADCAST_BYTES``; beyond that the join shuffles.
 

@@ -25,12 +25,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import BROADCAST_BYTES, narrow, settle
 
 BLOCK = 256  # members compared at once
 BLOCK_BYTES = 8_000_000  # of the items of a block, about; a larger item is a block of its own
 LOT_BYTES = 16_000_000  # of the items of small groups that a task gets together
 LOT_ROWS = 1000  # of them, and no more rows than this
+EDGES = 1 << 17  # in a partition
 
 
 def connected(edges: DataFrame) -> DataFrame:
@@ -49,16 +50,20 @@ def connected(edges: DataFrame) -> DataFrame:
     )
     mark = None
     while True:
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = settle(small.unionByName(low.withColumnRenamed("m", "v")).distinct())
         seen = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 40))).first()
-        if seen == mark:
+        if seen == mark or not seen[0]:
             break
         mark = seen
+        # Partitions in proportion to the edges; the smallest neighbours of few nodes are broadcast.
+        parts = 2 * (1 + seen[0] // EDGES)
+        few = F.broadcast if 64 * seen[0] <= BROADCAST_BYTES else lambda df: df
+        now = now.coalesce(parts)
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).coalesce(parts)
+        large = both.filter("v > u").join(few(low), "u").select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+        low = large.groupBy("u").agg(F.min("v").alias("m")).coalesce(parts)
+        small = large.join(few(low), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = settle(small.unionByName(low.withColumnRenamed("m", "v")).distinct().coalesce(parts))
     roots = now.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(roots)
 
@@ -106,36 +111,39 @@ def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataF
     weighed = buckets.join(weights, "id") if weights is not None else buckets.withColumn("weight", F.lit(0))
     # A table of its own, so that the join can split a bucket with very many members.
     leaders = weighed.groupBy("key").agg(F.max(F.struct("weight", "id"))["id"].alias("leader"), F.count("*").alias("n"))
-    leaders = settle(leaders.filter("n > 1").select("key", "leader"))
-    stars = settle(
+    leaders = narrow(leaders.filter("n > 1").select("key", "leader"))
+    stars = narrow(
         buckets.join(leaders, "key").filter("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     )
     ids = stars.select(F.col("a").alias("id")).unionByName(stars.select(F.col("b").alias("id"))).distinct()
     held = settle(items(ids))
-    bytes_of = settle(held.select("id", F.octet_length("item").alias("bytes")))
+    bytes_of = narrow(held.select("id", F.octet_length("item").alias("bytes")))
+    n_held, n_bytes = bytes_of.agg(F.count("*"), F.sum("bytes")).first()
+    held = held.coalesce(1 + max(n_held // EDGES, (n_bytes or 0) // LOT_BYTES))
     blocks_of = lambda n: F.ceil(F.greatest(n / BLOCK, F.sum("bytes") / BLOCK_BYTES))
 
     # 1: members against their leader, at most BLOCK of them in a group.
     size = stars.join(bytes_of.withColumnRenamed("id", "b"), "b").groupBy("a").agg(blocks_of(F.count("*")).alias("n"))
+    size = narrow(size)
     dealt = stars.join(size, "a").select("a", F.pmod(F.xxhash64("b"), "n").alias("part"), F.col("b").alias("id"))
     heads = dealt.select("a", "part").distinct().withColumn("id", F.col("a"))
     facing = dealt.unionByName(heads).select(
         F.xxhash64("a", "part").alias("group"), (F.col("id") == F.col("a")).cast("int").alias("side"), F.col("a").alias("comp"), "id"
     )
-    first = settle(_compared(facing, held, bytes_of, similar, False))
+    first = narrow(_compared(facing, held, bytes_of, similar, False))
 
     # 2: components that face each other across a star without a link of their own.
     comp = settle(connected(first))
     side = lambda end: comp.select(F.col("id").alias(end), F.col("root").alias(f"comp_{end}"))
-    of_comp = settle(held.select("id").join(comp, "id", "left").select("id", F.coalesce("root", "id").alias("comp")))
+    of_comp = narrow(held.select("id").join(comp, "id", "left").select("id", F.coalesce("root", "id").alias("comp")))
     if leaders_only:
         return of_comp.withColumnRenamed("comp", "root")
     placed = _facing(stars, side, of_comp)
     sized = placed.join(bytes_of, "id")
-    sizes = sized.groupBy("group", "comp").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), blocks_of(F.count("*")).alias("parts"))
+    sizes = narrow(sized.groupBy("group", "comp").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), blocks_of(F.count("*")).alias("parts")))
     # Components of less than a block share blocks, the others have blocks of their own.
     loose = sizes.filter("parts <= 1").groupBy("group").agg(blocks_of(F.sum("n")).alias("loose"))
-    open_ = settle(
+    open_ = narrow(
         placed.join(sizes.drop("bytes"), ["group", "comp"])
         .join(loose, "group", "left")
         .select(
@@ -146,7 +154,7 @@ def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataF
             F.when(F.col("parts") > 1, F.pmod(F.xxhash64("id"), F.col("parts"))).otherwise(F.pmod(F.xxhash64("comp"), F.col("loose"))).alias("slot"),
         )
     )
-    blocks = open_.select("group", "own", "slot").distinct()
+    blocks = narrow(open_.select("group", "own", "slot").distinct())
     mine, other = blocks.alias("x"), blocks.alias("y")
     ordered = F.struct(F.col("x.own"), F.col("x.slot")) <= F.struct(F.col("y.own"), F.col("y.slot"))
     pairs = (
@@ -167,7 +175,7 @@ def linked(buckets: DataFrame, weights: DataFrame | None, items: Callable[[DataF
     members = s.join(
         o, (F.col("s.group") == F.col("o.group")) & (F.col("s.slot") == F.col("o.slot")) & F.col("s.own").eqNullSafe(F.col("o.own"))
     ).select(F.col("pair").alias("group"), "side", "comp", "id")
-    second = _compared(members, held, bytes_of, similar, True)
+    second = narrow(_compared(members, held, bytes_of, similar, True))
     comp_of = lambda end: of_comp.select(F.col("id").alias(end), F.col("comp").alias(f"comp_{end}"))
     joined = second.join(comp_of("a"), "a").join(comp_of("b"), "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
     last = connected(joined).select(F.col("id").alias("comp"), "root")
@@ -178,7 +186,7 @@ def _facing(stars: DataFrame, side: Callable, of_comp: DataFrame) -> DataFrame:
     """``comp, id, group``: the members of components that stars without a link connect."""
     across = stars.join(side("a"), "a", "left").join(side("b"), "b", "left").select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
     facing = connected(across.filter("a <> b")).select(F.col("id").alias("comp"), F.col("root").alias("group"))
-    return settle(of_comp.join(facing, "comp"))
+    return narrow(of_comp.join(facing, "comp"))
 
 
 def _compared(members: DataFrame, held: DataFrame, bytes_of: DataFrame, similar: Callable, forest: bool) -> DataFrame:
@@ -209,6 +217,7 @@ def _compared(members: DataFrame, held: DataFrame, bytes_of: DataFrame, similar:
         return pd.DataFrame({"a": a, "b": b})
 
     # Small groups are handed over together, as many as have about LOT_ROWS rows or LOT_BYTES of items.
+    members = narrow(members)
     rows, size = members.join(bytes_of, "id").agg(F.count("*"), F.sum("bytes")).first()
     lots = int(max(1, rows // LOT_ROWS, (size or 0) // LOT_BYTES))
     given = members.join(held, "id").withColumn("lot", F.pmod(F.xxhash64("group"), F.lit(lots)))

@@ -14,12 +14,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import if_small, settle, small_batches, without_rows
+from .common import if_small, narrow, settle, small_batches, without_rows
 from .linking import linked
 
 HALVES = 32
 MISS = 2e-5
 KNOWN_WORDS = 1 << 16
+SET_ROWS = 1 << 13  # sets with their minhashes in a partition
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -155,17 +156,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
                 names=["doc_id", "text_hash", "n_shingles", "set_key", "halves"],
             )
 
-    narrow = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    signed = settle(narrow.mapInArrow(sign, f"doc_id {id_type}, text_hash bigint, n_shingles bigint, set_key bigint, halves array<bigint>"))
+    docs_hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    signed = narrow(docs_hashed.mapInArrow(sign, f"doc_id {id_type}, text_hash bigint, n_shingles bigint, set_key bigint, halves array<bigint>"), SET_ROWS)
 
     # Equal sets are one node; their copies combine before the shuffle.
-    sets = settle(signed.filter("set_key is not null").groupBy("set_key").agg(F.first("halves").alias("halves")))
+    sets = narrow(signed.filter("set_key is not null").groupBy("set_key").agg(F.first("halves").alias("halves")), SET_ROWS)
     rows = sets.select("set_key", F.explode("halves").alias("half"))
     # Keys of one half that only one set has cannot meet anything. Tables of
     # their own leave the joins free to split a half that very many sets have.
-    shared = settle(rows.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1"))
+    shared = narrow(rows.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1"))
     mine = rows.join(shared, "half")
-    nodes = settle(mine.groupBy("set_key").agg(F.array_sort(F.collect_set("half")).alias("halves"), F.sum("n").alias("weight")).filter("size(halves) > 1"))
+    nodes = narrow(mine.groupBy("set_key").agg(F.array_sort(F.collect_set("half")).alias("halves"), F.sum("n").alias("weight")).filter("size(halves) > 1"), SET_ROWS)
     pairs = F.expr("flatten(transform(halves, (x, i) -> transform(slice(halves, i + 2, size(halves)), y -> xxhash64(x, y))))")
     buckets = nodes.select(F.explode(pairs).alias("key"), F.col("set_key").alias("id"))
 
@@ -179,7 +180,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             .join(ids.select(F.col("id").alias("set_key")), "set_key")
             .select("set_key", F.col("of.doc_id").alias("of_id"), F.col("of.text_hash").alias("of_hash"))
         )
-        texts = narrow.join(if_small(settle(one)), F.col("doc_id").eqNullSafe(F.col("of_id")) & F.col("text_hash").eqNullSafe(F.col("of_hash")))
+        texts = docs_hashed.join(if_small(settle(one)), F.col("doc_id").eqNullSafe(F.col("of_id")) & F.col("text_hash").eqNullSafe(F.col("of_hash")))
 
         def pack(batches):
             import pyarrow as pa
@@ -192,10 +193,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         return texts.select("set_key", "text").mapInArrow(pack, "id bigint, item binary").dropDuplicates(["id"])
 
     root = linked(buckets, nodes.select(F.col("set_key").alias("id"), "weight"), sets_of, overlapping(percent))
+    root = narrow(root)
     # Only sets of several rows or with links need a label; the others are their own.
     grouped = signed.filter("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("least"))
     labelled = grouped.join(root.withColumnRenamed("id", "set_key"), "set_key", "left").withColumn("root", F.coalesce("root", "set_key"))
-    label = settle(labelled.groupBy("root").agg(F.min("least").alias("component_id")))
+    label = narrow(labelled.groupBy("root").agg(F.min("least").alias("component_id")))
     labels = labelled.join(label, "root").select("set_key", "component_id")
     return (
         signed.select("doc_id", "n_shingles", "set_key", "text_hash")

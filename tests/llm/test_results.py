@@ -587,3 +587,13 @@ def test_edits_of_first_halves_are_never_too_many(monkeypatch):
         found = {(int(x), int(y)) for i, j in sweep.unlinked(*sides) for x, y in zip(i, j, strict=True)}
         assert {(x, y) for x in range(12) for y in range(12) if alike(own[x], others[y])} <= found
         assert len(found) < 100
+
+
+def test_small_tables_are_dealt_over_few_partitions(spark):
+    """However many partitions the cluster shuffles into, few edges do not leave a file in each."""
+    edges = spark.range(300).selectExpr("id as a", "id div 10 * 10 as b").repartition(40)
+    assert common.narrow(edges).rdd.getNumPartitions() == 1
+    assert common.narrow(edges, 100).rdd.getNumPartitions() == 4
+    found = connected(edges)
+    assert {r["id"]: r["root"] for r in found.collect()} == {i: i // 10 * 10 for i in range(300)}
+    assert found.rdd.getNumPartitions() < 40
