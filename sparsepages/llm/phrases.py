@@ -1,11 +1,12 @@
 """Phrase collocation mining by vertical partitioning of word suffixes.
 
 Phrases are prefixes of suffixes of pieces, cut after ``MOST_WORDS`` words. The
-suffixes are divided by their first word; where more suffixes begin with a word
-than the memory budget allows, by its first two words, and so on. Each group of
+suffixes are divided by their first word; where that word alone would begin more
+suffixes than the memory budget allows, by the first two, and so on. Each group of
 prefixes is a sorted run of suffixes in one task, the subtree of its prefixes
 written out, and the count of a phrase is the total of the leaves below it. A
-suffix ends before a word, a pair or a triple of words that is too rare for any phrase.
+suffix ends before a word or a pair of words that is too rare for any phrase. Pairs
+have been counted by then, so only longer suffixes are dealt.
 """
 
 from __future__ import annotations
@@ -14,15 +15,17 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import if_small, settle, small_batches
+from .common import BROADCAST_BYTES, if_small, settle, small_batches
 from .pieces import binaries, bytes_of, slices
 
 MOST_WORDS = 5
 LEAST = 100  # occurrences of a phrase
 TOP = 2000  # phrases of a language
 GROUP_ROWS = 1 << 19  # suffixes that begin alike, beyond which their prefix is made longer
-MOST_HEAVY = 1 << 16  # prefixes of one length that can be made longer
-FILTER_BITS = 1 << 27  # of the table that says which words, pairs or triples may be frequent: 16 MB at any size of the corpus
+MOST_HEAVY = 1 << 16  # words that can be too frequent for one group
+NUMBER_BYTES, CODE_BYTES = 3, 8  # of a word in a key
+NUMBERED = min(BROADCAST_BYTES // 8, (1 << 8 * NUMBER_BYTES) - 1)  # frequent words, beyond which keys have codes
+FILTER_BITS = 1 << 27  # of the table that says which words or pairs may be frequent: 16 MB at any size of the corpus
 
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _KIND = np.zeros(256, np.uint8)  # 0 in a word, 1 between words, 2 between pieces
@@ -88,56 +91,118 @@ def _filter(codes: DataFrame) -> np.ndarray:
     return out
 
 
+# Pairs of numbers are crowded in the filter unless their first words are spread over it.
+SPREAD = "code ^ (shiftrightunsigned(code, 24) << 11)"
+
+
+def _spread(codes: np.ndarray) -> np.ndarray:
+    return codes ^ (codes >> np.uint64(24) << np.uint64(11))
+
+
+class Names:
+    """What stands for a frequent word in keys: its number from 1 among the sorted codes or, of too many words for that, its code."""
+
+    def __init__(self, frequent: DataFrame):
+        if frequent.count() <= NUMBERED:
+            found = frequent.select("code").toArrow().column("code").to_numpy()
+            self.codes, self.width = np.sort(found.view(np.uint64)), NUMBER_BYTES
+        else:
+            self.codes, self.width, self.bits = None, CODE_BYTES, _filter(frequent)
+
+    @property
+    def shortest(self) -> int:
+        """Words of the shortest suffixes that are dealt; the code of a pair of numbers is its key."""
+        return 2 if self.codes is None else 3
+
+    def pairs(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        if self.codes is None:
+            return _mixed(first * _ODD ^ second)
+        return first.astype(np.uint64) << np.uint64(8 * NUMBER_BYTES) | second
+
+    def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The names of words, and which words are frequent; with codes a few more, which only costs work."""
+        if self.codes is None:
+            return codes, _may_hold(self.bits, codes)
+        if not len(self.codes):
+            return np.zeros(len(codes), np.uint32), np.zeros(len(codes), bool)
+        place = np.searchsorted(self.codes, codes)
+        place[place == len(self.codes)] = 0
+        return (place + 1).astype(np.uint32), self.codes[place] == codes
+
+
 class Suffixes:
-    """Suffixes of frequent words, pairs and triples: ``at`` where they begin, ``length`` in words, ``codes[k]`` of their first ``k`` words."""
-
-    def __init__(self, words: Words, word_bits: np.ndarray, pair_bits: np.ndarray | None = None, triple_bits: np.ndarray | None = None):
-        codes, run = words.codes, words.run
-        known = _may_hold(word_bits, codes)
-        pair = np.zeros(len(codes) + MOST_WORDS, bool)  # does the word belong together with the next?
-        pair[: max(0, len(codes) - 1)] = known[:-1] & known[1:] & (run[:-1] == run[1:])
-        self.words = np.concatenate([codes, np.zeros(MOST_WORDS, np.uint64)])
+    """Suffixes of frequent words and pairs, as long as are dealt: ``at`` where they begin, ``length`` in words, ``depth`` the words by which each is dealt, ``pairs`` the codes of their first two."""
+
+    def __init__(self, words: Words, names: Names, pair_bits: np.ndarray | None = None, heavy: np.ndarray = (), heavy_pairs: np.ndarray = ()):
+        self.shortest = names.shortest
+        name, known = names.of(words.codes)
+        self.words = np.concatenate([name, np.zeros(MOST_WORDS, name.dtype)])
+        pair = np.zeros(len(self.words), bool)  # does the word belong together with the next?
+        pair[: max(0, len(name) - 1)] = known[:-1] & known[1:] & (words.run[:-1] == words.run[1:])
         self.at = np.flatnonzero(pair)
-        self.codes = {1: self.words[self.at]}
-        self.codes[2] = self._longer(2)
-        if pair_bits is not None:
-            keep = _may_hold(pair_bits, self.codes[2])
-            pair[self.at[~keep]] = False
-            self.at = self.at[keep]
-            self.codes = {k: x[keep] for k, x in self.codes.items()}
-            self.length = np.full(len(self.at), 2)
-            going = np.ones(len(self.at), bool)
-            together = pair[1:]  # at k - 3 from its start, may a suffix of k - 1 words have one more?
-            for k in range(3, MOST_WORDS + 1):
-                self.codes[k] = self._longer(k)
-                if k == 3 and triple_bits is not None:
-                    together = np.zeros(len(pair), bool)
-                    together[self.at] = pair[self.at + 1] & _may_hold(triple_bits, self.codes[3])
-                going &= together[self.at + k - 3]
-                self.length += going
-
-    def _longer(self, k: int) -> np.ndarray:
-        return _mixed(self.codes[k - 1] * _ODD ^ self.words[self.at + k - 1])
-
-    def depths(self, heavy: dict[int, np.ndarray]) -> np.ndarray:
-        """Words of the prefix by which each suffix is dealt: one more than its longest heavy prefix, as far as it goes."""
-        depth = np.ones(len(self.at), np.int64)
-        for k, codes in sorted(heavy.items()):
-            depth[(depth == k) & (self.length > k) & np.isin(self.codes[k], codes)] = k + 1
-        return depth
-
-    def matrix(self, which: np.ndarray) -> np.ndarray:
-        """The words of suffixes, one row each; what lies beyond their length means nothing."""
-        return self.words[self.at[which][:, None] + np.arange(MOST_WORDS)[None, :]]
-
-
-def packed(matrix: np.ndarray, lengths: np.ndarray):
-    """An Arrow array of the first words of each row, as 8 bytes each that sort like the codes."""
+        self.pairs = names.pairs(name[self.at], name[self.at + 1])
+        if pair_bits is None:
+            return
+        keep = _may_hold(pair_bits, _spread(self.pairs))
+        pair[self.at[~keep]] = False
+        self.at, self.pairs = self.at[keep], self.pairs[keep]
+        self.length = np.full(len(self.at), 2, np.int8)
+        going = np.ones(len(self.at), bool)
+        for k in range(3, MOST_WORDS + 1):
+            going &= pair[self.at + k - 2]
+            self.length += going
+        # One word more than its longest prefix of heavy words and pairs, as far as it goes. A prefix is as frequent as its rarest pair at most.
+        self.depth = np.ones(len(self.at), np.int8)
+        if len(heavy):
+            going = np.isin(self.words[self.at], heavy) & (self.length > 1)
+            self.depth += going
+            heavy_here = np.zeros(len(self.words), bool)
+            heavy_here[self.at] = np.isin(self.pairs, heavy_pairs)
+            for k in range(2, MOST_WORDS):
+                going &= heavy_here[self.at + k - 2] & (self.length > k)
+                self.depth += going
+        if names.shortest > 2:
+            long = self.length >= names.shortest
+            self.at, self.length, self.depth = self.at[long], self.length[long], self.depth[long]
+
+    def leaves(self):
+        """Distinct ones, in parts: a code, how many, words, words by which they are dealt, and their words, one row each; what lies beyond their length means nothing."""
+        code = self.words[self.at].astype(np.uint64)
+        whole = np.zeros(len(code), np.uint64)
+        for k in range(2, MOST_WORDS + 1):
+            code = _mixed(code * _ODD ^ self.words[self.at + k - 1])
+            own = code ^ np.uint64(k)
+            whole = np.where(self.length == k, own, whole)
+            below = np.flatnonzero(self.depth > k)
+            if len(below) and k >= self.shortest:  # a prefix that was made longer is a leaf of its own for each suffix below it
+                yield self._distinct(own[below], below, np.full(len(below), k, np.int8), np.full(len(below), k, np.int8))
+        if len(whole):
+            yield self._distinct(whole, np.arange(len(whole)), self.length, self.depth)
+
+    def _distinct(self, whole, which, length, depth):
+        whole, first, n = np.unique(whole, return_index=True, return_counts=True)
+        return whole, n, length[first], depth[first], self.words[self.at[which[first]][:, None] + np.arange(MOST_WORDS)[None, :]]
+
+
+def packed(matrix: np.ndarray, lengths: np.ndarray, width: int):
+    """An Arrow array of the first words of each row, as ``width`` bytes each that sort like the words."""
     import pyarrow as pa
 
-    kept = np.arange(MOST_WORDS)[None, :] < lengths[:, None]
-    data = np.frombuffer(matrix[kept].astype(">u8").tobytes(), np.uint8)
-    return binaries(data, np.concatenate([[0], 8 * np.cumsum(lengths)])).cast(pa.binary())
+    kept = np.arange(MOST_WORDS)[None, : matrix.shape[1]] < lengths[:, None]
+    data = matrix[kept].astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - width :]
+    return binaries(data.ravel(), np.concatenate([[0], width * np.cumsum(lengths)])).cast(pa.binary())
+
+
+def unpacked(keys, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of keys that ``packed`` made: the words of each, 0 behind the last, and how many."""
+    _, offsets, data = keys.buffers()
+    starts = np.frombuffer(offsets, np.int32)[keys.offset : keys.offset + len(keys) + 1]
+    lengths = np.diff(starts) // width
+    own = np.zeros((lengths.sum(), 8), np.uint8)
+    own[:, 8 - width :] = np.frombuffer(data, np.uint8)[starts[0] : starts[-1]].reshape(-1, width)
+    matrix = np.zeros((len(keys), MOST_WORDS), np.uint64)
+    matrix[np.arange(MOST_WORDS)[None, :] < lengths[:, None]] = own.view(">u8").ravel()
+    return matrix, lengths
 
 
 def _mapped(docs: DataFrame, make, schema: str) -> DataFrame:
@@ -161,7 +226,7 @@ def _mapped(docs: DataFrame, make, schema: str) -> DataFrame:
     return docs.select("lang", "text").mapInArrow(run, schema)
 
 
-HELD_BYTES = 16_000_000  # of rows that a task adds up before it gives them away
+HELD_BYTES = 32_000_000  # of rows that a task adds up before it gives them away
 
 
 def _added_up(parts):
@@ -232,27 +297,33 @@ def _spelled(docs: DataFrame, codes: DataFrame) -> DataFrame:
     return _mapped(docs, spell, "code bigint, word string").join(codes, "code", "left_semi").distinct()
 
 
-def _prefix_counts(docs: DataFrame, k: int, filters: list, heavy: dict[int, np.ndarray] | None = None) -> DataFrame:
-    """``code, n`` of the prefixes of ``k`` words that pass the ``filters`` and occur ``LEAST`` times or more; with ``heavy``, only of those that go on from heavy ones."""
-
-    def prefixes(slices):
-        for words in slices:
-            found = Suffixes(words, *(f.value for f in filters))
-            codes = found.codes[k]
-            if k > 2:
-                codes = codes[(found.length >= k) & (heavy is None or found.depths(heavy) == k)]
-            yield np.unique(codes, return_counts=True)
+def _pair_counts(docs: DataFrame, names) -> DataFrame:
+    """``code, n`` of the pairs of words that occur ``LEAST`` times or more."""
 
     def count(slices):
         import pyarrow as pa
 
-        for codes, n in _added_up(prefixes(slices)):
+        for codes, n in _added_up(np.unique(Suffixes(words, names.value).pairs, return_counts=True) for words in slices):
             yield [_signed(codes), pa.array(n.astype(np.int64))]
 
     return settle(_mapped(docs, count, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST))
 
 
-def _subtrees(rows):
+def _keyed(frequent: DataFrame, names) -> DataFrame:
+    """``frequent`` with the ``key`` of each word."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            codes = batch.column("code").to_numpy().view(np.uint64)
+            key = packed(names.value.of(codes)[0][:, None], np.ones(len(codes), np.int64), names.value.width)
+            yield pa.RecordBatch.from_arrays([key, *(batch.column(c) for c in ("code", "lang", "n"))], names=["key", "code", "lang", "n"])
+
+    return frequent.select("code", "lang", "n").mapInArrow(run, "key binary, code bigint, lang string, n bigint")
+
+
+def _subtrees(rows, names: Names):
     """Phrases and their counts from batches of suffixes (``key, depth, n``) in ascending order.
 
     A suffix counts for its prefixes of ``depth`` words or more. Of each length the
@@ -260,7 +331,8 @@ def _subtrees(rows):
     """
     import pyarrow as pa
 
-    held = {k: (b"", 0) for k in range(2, MOST_WORDS + 1)}
+    width = names.width
+    held = {k: (b"", 0) for k in range(names.shortest, MOST_WORDS + 1)}
 
     def given(found):
         keys, n = zip(*found, strict=True)
@@ -269,18 +341,19 @@ def _subtrees(rows):
     for batch in rows:
         if not batch.num_rows:
             continue
-        keys, found = batch.column("key").to_pylist(), []
-        lengths = np.array([len(x) for x in keys]) // 8
-        matrix = np.frombuffer(b"".join(x.ljust(8 * MOST_WORDS, b"\0") for x in keys), ">u8").reshape(-1, MOST_WORDS)
+        keys, found = batch.column("key"), []
+        matrix, lengths = unpacked(keys, width)
         least, n = (batch.column(c).to_numpy() for c in ("depth", "n"))
         new = np.ones(len(keys), bool)
         new[1:] = matrix[1:, 0] != matrix[:-1, 0]
         for k in range(2, MOST_WORDS + 1):
             new[1:] |= matrix[1:, k - 1] != matrix[:-1, k - 1]
+            if k < names.shortest:
+                continue
             begins = np.flatnonzero(new)
             totals = np.add.reduceat(np.where((lengths >= k) & (least <= k), n, 0), begins)
             # A run of shorter suffixes has no prefix of k words, and a total of 0.
-            name = lambda i: keys[i][: 8 * k]  # noqa: B023, E731
+            name = lambda i: keys[int(i)].as_py()[: width * k]  # noqa: B023, E731
             before, more = held[k]
             if name(begins[0]) == before:
                 totals[0] += more
@@ -295,48 +368,34 @@ def _subtrees(rows):
         yield given(found)
 
 
-def phrase_counts(docs: DataFrame, words: DataFrame) -> DataFrame:
-    """``key, a``: every phrase of 2 to ``MOST_WORDS`` words with ``LEAST`` occurrences or more; 8 bytes of ``key`` name a word of ``words``."""
-    sc = docs.sparkSession.sparkContext
-    filters = [sc.broadcast(_filter(words.filter(F.col("n") >= LEAST)))]
-    frequent = _prefix_counts(docs, 2, filters)
-    filters.append(sc.broadcast(_filter(frequent)))
-    # Two words of a rare triple are still a prefix, but need not be told apart by what follows.
-    triples = _prefix_counts(docs, 3, filters)
-    filters.append(sc.broadcast(_filter(triples)))
-    n_suffixes = frequent.agg(F.sum("n")).first()[0] or 0
-    # No more than MOST_HEAVY prefixes of one length can hold more than this.
-    budget = max(GROUP_ROWS, n_suffixes // MOST_HEAVY)
-    heavy_of = lambda df: np.array([r[0] for r in df.filter(F.col("n") > budget).select("code").collect()], np.int64).view(np.uint64)
-    heavy = {1: heavy_of(words)}
-    for k in range(2, MOST_WORDS):
-        if len(heavy.get(k - 1, ())):
-            heavy[k] = heavy_of({2: frequent, 3: triples}[k] if k < 4 else _prefix_counts(docs, k, filters, heavy))
+def phrase_counts(docs: DataFrame, words: DataFrame, names) -> DataFrame:
+    """``key, a``: every phrase of 2 to ``MOST_WORDS`` words with ``LEAST`` occurrences or more, from the frequent ``words`` and their broadcast ``names``."""
+    width = names.value.width
+    pairs = _pair_counts(docs, names)
+    pair_bits = docs.sparkSession.sparkContext.broadcast(_filter(pairs.select(F.expr(SPREAD).alias("code"))))
+    n_suffixes = pairs.agg(F.sum("n")).first()[0] or 0
+    # No more than MOST_HEAVY words can occur more often than this.
+    budget = max(GROUP_ROWS, (words.agg(F.sum("n")).first()[0] or 0) // MOST_HEAVY)
+    over = lambda df: np.array([r[0] for r in df.filter(F.col("n") > budget).select("code").collect()], np.int64).view(np.uint64)
+    heavy, heavy_pairs = names.value.of(over(words))[0], over(pairs)
 
     def leaves(slices):
         for words in slices:
-            found = Suffixes(words, *(f.value for f in filters))
-            depth = found.depths(heavy)
-            every = np.arange(len(depth))
-            parts = [(every, found.length, depth)]
-            # A prefix that was made longer is a leaf of its own for each suffix below it.
-            parts += [(every[depth > k], np.full(np.count_nonzero(depth > k), k), np.full(np.count_nonzero(depth > k), k)) for k in range(2, MOST_WORDS)]
-            for which, lengths, depths in parts:
-                codes = np.stack([found.codes[k][which] for k in range(1, MOST_WORDS + 1)])
-                whole = _mixed(codes[lengths - 1, np.arange(len(which))] ^ lengths.astype(np.uint64))
-                whole, first, n = np.unique(whole, return_index=True, return_counts=True)
-                yield whole, n, lengths[first].astype(np.int8), depths[first].astype(np.int8), found.matrix(which[first])
+            yield from Suffixes(words, names.value, pair_bits.value, heavy, heavy_pairs).leaves()
 
     def deal(slices):
         import pyarrow as pa
 
         for _, n, lengths, depths, matrix in _added_up(leaves(slices)):
-            yield [packed(matrix, lengths.astype(np.int64)), pa.array(depths.astype(np.int32)), pa.array(n.astype(np.int64))]
+            yield [packed(matrix, lengths.astype(np.int64), width), pa.array(depths.astype(np.int32)), pa.array(n.astype(np.int64))]
 
     suffixes = _mapped(docs, deal, "key binary, depth int, n bigint")
     groups = int(min(100_000, max(1, -(-n_suffixes // GROUP_ROWS))))
-    dealt = suffixes.repartition(groups, F.expr("substring(key, 1, 8 * depth)")).sortWithinPartitions("key")
-    return settle(dealt.mapInArrow(_subtrees, "key binary, a bigint"))
+    dealt = suffixes.repartition(groups, F.expr(f"substring(key, 1, {width} * depth)")).sortWithinPartitions("key")
+    longer = settle(dealt.mapInArrow(lambda rows: _subtrees(rows, names.value), "key binary, a bigint"))
+    if names.value.shortest == 2:
+        return longer
+    return settle(longer.unionByName(pairs.select(F.expr(f"unhex(lpad(hex(code), {4 * width}, '0'))").alias("key"), F.col("n").alias("a"))))
 
 
 def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
@@ -358,17 +417,20 @@ def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
     words = word_counts(docs)
     totals = settle(words.groupBy("lang").agg(F.sum("n").alias("n")))
     frequent = settle(words.filter(F.col("n") >= LEAST))
-    found = phrase_counts(docs, words)
-    counts = settle(found.unionByName(frequent.select(F.expr("unhex(lpad(hex(code), 16, '0'))").alias("key"), F.col("n").alias("a"))))
-
-    cuts = found.select("key", "a", F.explode(F.expr("sequence(1, length(key) div 8 - 1)")).alias("cut"))
-    cuts = cuts.select("key", "a", "cut", F.expr("substring(key, 1, 8 * cut)").alias("left"), F.expr("substring(key, 8 * cut + 1)").alias("right"))
+    names = docs.sparkSession.sparkContext.broadcast(Names(frequent))
+    w = names.value.width
+    frequent = settle(_keyed(frequent, names))
+    found = phrase_counts(docs, frequent, names)
+    counts = settle(found.unionByName(frequent.select("key", F.col("n").alias("a"))))
+
+    cuts = found.select("key", "a", F.explode(F.expr(f"sequence(1, length(key) div {w} - 1)")).alias("cut"))
+    cuts = cuts.select("key", "a", "cut", F.expr(f"substring(key, 1, {w} * cut)").alias("left"), F.expr(f"substring(key, {w} * cut + 1)").alias("right"))
     side = lambda name, count: counts.select(F.col("key").alias(name), F.col("a").alias(count))
-    first = frequent.select(F.expr("unhex(lpad(hex(code), 16, '0'))").alias("head"), "lang")
+    first = frequent.select(F.col("key").alias("head"), "lang")
     rated = (
         cuts.join(side("left", "l"), "left")
         .join(side("right", "r"), "right")
-        .withColumn("head", F.expr("substring(key, 1, 8)"))
+        .withColumn("head", F.expr(f"substring(key, 1, {w})"))
         .join(first, "head")
         .join(if_small(totals), "lang")
         .withColumn("score", F.expr(SCORE))
@@ -376,8 +438,8 @@ def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
         .agg(F.min(F.struct("score", "cut", "l", "r")).alias("best"))
     )
     # Parts of two words or more of longer phrases, and the greatest count of a phrase that has them.
-    spans = "flatten(transform(sequence(0, k - 2), i -> transform(sequence(2, k - i), m -> substring(key, 8 * i + 1, 8 * m))))"
-    inner = found.withColumn("k", F.expr("cast(length(key) div 8 as int)")).filter("k > 2")
+    spans = f"flatten(transform(sequence(0, k - 2), i -> transform(sequence(2, k - i), m -> substring(key, {w} * i + 1, {w} * m))))"
+    inner = found.withColumn("k", F.expr(f"cast(length(key) div {w} as int)")).filter("k > 2")
     inner = inner.select("key", "a", F.explode(F.expr(spans)).alias("part")).filter("part <> key")
     around = inner.groupBy("part").agg(F.max("a").alias("longer"))
     kept = rated.join(around, F.col("key") == F.col("part"), "left").filter(F.coalesce("longer", F.lit(0)) < F.col("a"))
@@ -386,9 +448,9 @@ def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
     # Ties at the end stay until the phrases are spelled out.
     order = [F.col("score").desc(), F.col("a").desc()]
     near = settle(kept.withColumn("place", F.rank().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("place") <= top).drop("place"))
-    spelled = near.select("key", F.explode(F.expr("sequence(0, cast(length(key) div 8 as int) - 1)")).alias("i"))
-    spelled = spelled.withColumn("code", F.expr("cast(conv(hex(substring(key, 8 * i + 1, 8)), 16, -10) as bigint)"))
-    spelled = settle(spelled)
+    spelled = near.select("key", F.explode(F.expr(f"sequence(0, cast(length(key) div {w} as int) - 1)")).alias("i"))
+    spelled = spelled.withColumn("head", F.expr(f"substring(key, {w} * i + 1, {w})"))
+    spelled = settle(spelled.join(frequent.select(F.col("key").alias("head"), "code"), "head").select("key", "i", "code"))
     spelled = spelled.join(_spelled(docs, spelled.select("code").distinct()), "code").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("i", "word"))).alias("w"))
     phrases = near.join(spelled, "key").withColumn("phrase", F.array_join("w.word", " "))
     ranked = phrases.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order, "phrase")).cast("bigint"))

@@ -54,3 +54,21 @@ def test_filter_holds_every_code(spark):
     table = spark.createDataFrame([(int(c),) for c in codes] + [(0,), (-1,), (2**63 - 1,), (phrases.FILTER_BITS - 1,)], "code bigint")
     bits = phrases._filter(table)
     assert phrases._may_hold(bits, codes.view(np.uint64)).all() and np.unpackbits(bits).sum() <= 3004
+
+
+@pytest.mark.parametrize("budget", [1 << 19, 150])
+def test_phrases_of_more_words_than_have_numbers(spark, rows, budget, monkeypatch):
+    monkeypatch.setattr(phrases, "NUMBERED", 3)
+    monkeypatch.setattr(phrases, "GROUP_ROWS", budget)
+    table = spark.createDataFrame(rows, "lang string, text string").repartition(5)
+    assert sorted(map(tuple, phrases.collocations(table).collect())) == plain.collocations(rows)
+
+
+def test_counted_pairs_are_not_dealt_again(spark, monkeypatch):
+    """Each task would give away nearly every frequent pair once more, and both grow with the table."""
+    made, mapped = [], phrases._mapped
+    monkeypatch.setattr(phrases, "_mapped", lambda docs, make, schema: made.append((schema, mapped(docs, make, schema))) or made[-1][1])
+    texts = [("en", f"w{i % 3} v{i % 2}") for i in range(1200)]
+    found = phrases.collocations(spark.createDataFrame(texts, "lang string, text string").coalesce(2))
+    assert sorted(map(tuple, found.collect())) == plain.collocations(texts) and found.count() == 6
+    assert [df.count() for schema, df in made if schema.startswith("key")] == [0]
