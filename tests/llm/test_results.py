@@ -597,3 +597,54 @@ def test_small_tables_are_dealt_over_few_partitions(spark):
     found = connected(edges)
     assert {r["id"]: r["root"] for r in found.collect()} == {i: i // 10 * 10 for i in range(300)}
     assert found.rdd.getNumPartitions() < 40
+
+
+def _edited(rng, line, letters):
+    """A line with about as many edits as leave it similar, alone or in a row."""
+    out, n = list(line), max(0, len(line) // 5 + rng.randint(-2, 2))
+    if rng.random() < 0.4:
+        at = rng.randrange(len(out))
+        out[at : at + rng.choice([0, n])] = rng.choices(letters, k=n)
+    else:
+        for _ in range(n):
+            at = rng.randrange(len(out))
+            out[at : at + rng.choice([0, 1, 1])] = rng.choices(letters, k=rng.choice([0, 1, 1]))
+            out = out or ["a"]
+    return "".join(out)
+
+
+@pytest.mark.parametrize("few, cells, hits", [(12, 1 << 19, 1 << 18), (0, 100, 30)])
+def test_shared_segments_miss_no_similar_pair(monkeypatch, few, cells, hits):
+    for name, value in (("FEW", few), ("CELLS", cells), ("HITS", hits)):
+        monkeypatch.setattr(sweep, name, value)
+    rng = random.Random(23)
+    similar = 0
+    for n in (5, 6, 8, 10, 11, 15, 16, 24, 60, 79, 80, 100, 160, 300):
+        for letters in ("ab", "abc ", "abcdefghijklmnopqrstuvwxyz é中0"):
+            own = ["".join(rng.choices(letters, k=rng.randint(max(5, n - n // 6), n))) for _ in range(5)]
+            others = [x for line in own for x in (_edited(rng, line, letters) for _ in range(4)) if len(x) >= 5]
+            every = list(dict.fromkeys([*own, *others]))
+            whole = sweep.Lines(every, np.arange(len(every)))
+            found = [(int(x), int(y)) for i, j in sweep.unlinked(whole, whole) for x, y in zip(i, j, strict=True)]
+            assert len({frozenset(p) for p in found}) == len(found)
+            want = {(x, y) for y in range(len(every)) for x in range(y) if alike(every[x], every[y])}
+            assert want <= {tuple(sorted(p)) for p in found}
+            sides = [sweep.Lines(x, np.arange(len(x)) + 1000 * k) for k, x in enumerate((own, others))]
+            found = {(int(x), int(y)) for i, j in sweep.unlinked(*sides) for x, y in zip(i, j, strict=True)}
+            assert {(x, y) for x in range(len(own)) for y in range(len(others)) if alike(own[x], others[y])} <= found
+            similar += len(want)
+    assert similar > 300
+
+
+def test_few_pairs_of_long_lines_are_compared_by_edits(monkeypatch):
+    """Lines that share most trigrams, though not at like places, are told apart without a table of distances."""
+    rng = random.Random(24)
+    parts = ["".join(rng.choices("abcdefghiklmnoprstu", k=rng.randint(1, 3))) for _ in range(150)]
+    word = lambda: "".join(rng.choices(parts, k=rng.randint(1, 3)))
+    every = [" ".join(word() for _ in range(140))[:600] for _ in range(200)]
+    compared = []
+    bound = sweep.least_edits
+    monkeypatch.setattr(sweep, "least_edits", lambda *args: compared.append(len(args[4][0])) or bound(*args))
+    whole = sweep.Lines(every, np.arange(len(every)))
+    left = sum(len(i) for i, _ in sweep.unlinked(whole, whole))
+    assert sum(compared) + left < len(every) * (len(every) - 1) / 2 / 50
